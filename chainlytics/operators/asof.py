@@ -7,7 +7,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chainlytics.operators.audit import audit_summary
-from chainlytics.session import shuffle_width
+from chainlytics.session import shuffle_width, workspace, written
+
+
+MOST_RANGES = 1024
 
 
 def _ticks(column: Column) -> Column:
@@ -32,7 +35,7 @@ def asof(left: DataFrame, left_time: str, right: DataFrame, right_time: str, val
         .groupBy("_t")
         .agg(F.max("_v").alias("_v"))
     )
-    ranges = shuffle_width(spark)
+    ranges = min(shuffle_width(spark), MOST_RANGES)
     wanted = [i / ranges for i in range(1, ranges)]
     cuts = sorted(set(instants.approxQuantile("_t", wanted, 0.25 / ranges))) if wanted else []
     splits = [float("-inf"), *cuts, float("inf")]
@@ -71,7 +74,8 @@ def audited_blocks(mined: DataFrame, predictions: DataFrame) -> DataFrame:
 def audit_history(mined: DataFrame, actual: DataFrame, predicted: DataFrame) -> DataFrame:
     """Audit every block the cycle sees. ``actual`` has block and txid, ``predicted`` has
     prediction_time and txid."""
-    pairs = audited_blocks(mined, predicted)
+    # One row per prediction round, read three times below.
+    pairs = written(audited_blocks(mined, predicted), workspace(mined.sparkSession, "pairs"))
     seen = actual.join(pairs.select("block"), "block", "left_semi")
     expected = predicted.join(pairs, "prediction_time").select("block", "txid")
     # A block that lists no transaction has no row above; it still gets its audit, with accuracy 0.

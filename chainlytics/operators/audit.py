@@ -13,12 +13,12 @@ MATCHED, ADDED, MISSING = "matches", "added", "missing"
 def matches(actual: DataFrame, predicted: DataFrame, keys: Sequence[str] = ("block", "txid")) -> DataFrame:
     """Set intersection. As in the two differences below, copies are dropped map-side before the
     join, so a transaction listed very often is one row when it meets the other side."""
-    return _distinct(actual, keys).join(_distinct(predicted, keys), list(keys), "left_semi")
+    return _compare(actual, predicted, keys, "left_semi")
 
 
 def added(actual: DataFrame, predicted: DataFrame, keys: Sequence[str] = ("block", "txid")) -> DataFrame:
     """Mined but not predicted."""
-    return _distinct(actual, keys).join(_distinct(predicted, keys), list(keys), "left_anti")
+    return _compare(actual, predicted, keys, "left_anti")
 
 
 def missing(actual: DataFrame, predicted: DataFrame, keys: Sequence[str] = ("block", "txid")) -> DataFrame:
@@ -26,8 +26,10 @@ def missing(actual: DataFrame, predicted: DataFrame, keys: Sequence[str] = ("blo
     return added(predicted, actual, keys)
 
 
-def _distinct(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.select(*keys).distinct()
+def _compare(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    right = right.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return left.select(*keys).distinct().join(right, same, how)
 
 
 def audit_status(actual: DataFrame, predicted: DataFrame, block: str = "block") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chainlytics.session import workspace
+from chainlytics.session import workspace, written
 
 
 def candidate_tip(tips: DataFrame) -> DataFrame:
@@ -14,50 +14,53 @@ def candidate_tip(tips: DataFrame) -> DataFrame:
     return tips.select(F.get("tips", F.lit(0)).alias("tip")).select("tip.*").where("status <> 'active'")
 
 
+# Ancestors one level adds: a level is a quarter of the one before, in three joins against it.
+FAN = 4
+
+
 def walk(headers: DataFrame, tip_hash: str, tip_height: int, start_height: int = 0) -> DataFrame:
     """Headers met when following ``previousblockhash`` from the tip down to ``start_height``.
 
-    The walk is pointer doubling over depths below the tip. Level k keeps the headers at depths that
-    are multiples of 2^k, each with its ancestor 2^k further down; a level is half as long as the one
-    before, so all levels together hold about twice the headers, and 2 log2(n) joins do a walk of n
-    steps. Levels are written to the shared folder: that ends the lineage, and their file sizes
-    tell Spark which joins are small. Hashes are unique, so no join side has a hot build key."""
+    The walk is pointer jumping over depths below the tip. Level k keeps the headers at depths that
+    are multiples of 4^k, each with its ancestor 4^k further down, so all levels together hold a
+    third more than the headers. Going back down the levels, every header found names the three that
+    lie between it and the next one found, until the path is whole: a walk of n steps takes
+    6 log4(n) joins, and none of them a step at a time.
+
+    Levels are written to the shared folder: that ends the lineage, and their file sizes tell Spark
+    which joins are small. Hashes are unique, so no join has a hot key on its build side."""
     spark = headers.sparkSession
     steps = tip_height - start_height + 1
     if steps < 1:
         return headers.limit(0)
     folder = workspace(spark, "walk")
 
-    def write(df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{folder}/{name}")
-        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
-
     near = headers.where(F.col("height").between(start_height, tip_height))
-    levels = [
-        write(
-            near.select(
-                "hash",
-                F.col("previousblockhash").alias("up"),
-                (F.lit(tip_height) - F.col("height")).alias("depth"),
-            ),
-            "level0",
-        )
-    ]
-    while 2 ** len(levels) < steps:
-        below = levels[-1]
-        kept = below.where(F.col("depth") % 2 ** len(levels) == 0).alias("a")
-        hop = below.select(F.col("hash").alias("up"), F.col("up").alias("further"))
-        levels.append(
-            write(kept.join(hop, "up").select("hash", F.col("further").alias("up"), "depth"), f"level{len(levels)}")
-        )
+    depth = F.lit(tip_height) - F.col("height")
+    bottom = near.select("hash", F.col("previousblockhash").alias("up"), depth.alias("depth"))
+    levels = [written(bottom, f"{folder}/level0")]
+    while FAN ** len(levels) < steps:
+        longer = levels[-1].where(F.col("depth") % FAN ** len(levels) == 0)
+        for _ in range(FAN - 1):
+            longer = longer.join(_hop(levels[-1], "up", "further"), "up").select(
+                "hash", F.col("further").alias("up"), "depth"
+            )
+        levels.append(written(longer, f"{folder}/level{len(levels)}"))
 
     path = spark.createDataFrame([(tip_hash,)], "hash string")
-    for k in reversed(range(len(levels))):
-        found = path.join(levels[k], "hash").where(F.col("depth") + 2**k < steps)
-        path = write(path.unionAll(found.select(F.col("up").alias("hash")).where("hash IS NOT NULL")), f"path{k}")
+    for level in reversed(levels):
+        names = ["hash", *[f"below{i}" for i in range(1, FAN)]]
+        for here, below in zip(names, names[1:]):
+            # A left join: the last headers of a chain have nothing that far below them, and stay.
+            path = path.join(_hop(level, here, below), here, "left")
+        path = path.select(F.explode(F.array(*names)).alias("hash")).where("hash IS NOT NULL")
     return near.join(path, "hash", "left_semi")
 
 
+def _hop(level: DataFrame, here: str, below: str) -> DataFrame:
+    return level.select(F.col("hash").alias(here), F.col("up").alias(below))
+
+
 def walk_short(headers: DataFrame, tip_hash: str, tip_height: int, start_height: int, limit: int = 100) -> DataFrame:
     """The same walk as a recursive query, one join per step: for the usual gap of a few headers."""
     steps = tip_height - start_height + 1
@@ -67,14 +70,14 @@ def walk_short(headers: DataFrame, tip_hash: str, tip_height: int, start_height:
     return near.sparkSession.sql(
         f"""
         WITH RECURSIVE trail(hash, previousblockhash) MAX RECURSION LEVEL {limit + 1} AS (
-            SELECT hash, previousblockhash FROM {{near}} WHERE hash = {{tip}}
+            SELECT hash, previousblockhash FROM {{near}} WHERE hash = :tip
             UNION ALL
             SELECT n.hash, n.previousblockhash FROM trail JOIN {{near}} n ON n.hash = trail.previousblockhash
         )
         SELECT * FROM {{near}} WHERE hash IN (SELECT hash FROM trail)
         """,
+        args={"tip": tip_hash},
         near=near,
-        tip=F.lit(tip_hash),
     )
 
 

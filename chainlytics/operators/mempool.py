@@ -79,10 +79,13 @@ def predict_block(
         rated.groupBy(*by, "_band")
         .agg(F.sum("weight").alias("_w"), F.sum("sigops").alias("_s"))
         .select(*by, "_band", over.alias("_over"))
-        .groupBy(*by)
+        .groupBy(*[F.col(b).alias(f"_by_{b}") for b in by])
         .agg(F.max(F.when(F.col("_over"), F.col("_band"))).alias("_cut"))
     )
-    candidates = rated.join(cut, by) if by else rated.crossJoin(F.broadcast(cut))
+    # Without groups the cut is one row. With groups their number is the data's affair: Spark
+    # broadcasts it only if its measured size allows, and splits hot groups of the join otherwise.
+    same = [F.col(b).eqNullSafe(F.col(f"_by_{b}")) for b in by]
+    candidates = rated.join(cut, same) if by else rated.crossJoin(F.broadcast(cut))
     candidates = candidates.where(F.col("_cut").isNull() | (F.col("_band") >= F.col("_cut")))
 
     def fitting(df: DataFrame, *parts: str) -> DataFrame:

@@ -259,9 +259,9 @@ SELECT hash, "timestamp", difficulty, height FROM trail""",
        CAST(round(difficulty / 100) AS BIGINT) AS difficulty, height, previousblockhash FROM headers""",
     "blocks_ahead": _with(BLOCKS) + "SELECT * FROM blocks",
     "parse_mempool_map": _with(MEMPOOL)
-    + """SELECT txid, CAST(trunc(fee / 100 * 100000000) AS BIGINT) AS fee, weight, sigops, 0 AS pos FROM mempool
+    + """SELECT txid, CAST(trunc(fee / 100 * 100000000) AS BIGINT) AS fee, weight, sigops FROM mempool
 UNION ALL
-SELECT txid || '-child', CAST(trunc(fee / 100 * 2 * 100000000) AS BIGINT), weight, 0, 1 FROM mempool""",
+SELECT txid || '-child', CAST(trunc(fee / 100 * 2 * 100000000) AS BIGINT), weight, 0 FROM mempool""",
     "snapshot_days": _with(SNAPSHOTS)
     + "SELECT snapshot, count(*) AS sightings, CAST(sum(weight) AS BIGINT) AS weight FROM snapshots GROUP BY 1",
 }

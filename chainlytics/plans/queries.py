@@ -472,15 +472,20 @@ def blocks_ahead(spark, sf_dir):
 
 @query
 def parse_mempool_map(spark, sf_dir):
-    """Snapshots as JSON objects of two entries, one of them without sigops."""
-    rows = standins.mempool(spark, sf_dir)
-    fee = (F.col("fee") / 100).cast("double")
-    whole = F.struct(fee.alias("fee"), "weight", F.col("sigops").cast("int").alias("sigops"))
+    """Snapshots as JSON objects of some 500 transactions, each with a child that has no sigops."""
+    rows = standins.mempool(spark, sf_dir).select("txid", "fee", "weight", F.col("sigops").cast("int").alias("sigops"))
+    documents = rows.count() // 500 + 1
+    fee = F.col("fee") / 100
+    whole = F.struct(fee.alias("fee"), "weight", "sigops")
     child = F.struct((fee * 2).alias("fee"), "weight", F.lit(None).cast("int").alias("sigops"))
-    texts = rows.select(
-        F.to_json(F.create_map(F.col("txid"), whole, F.concat("txid", F.lit("-child")), child)).alias("value")
+    pair = F.create_map(F.col("txid"), whole, F.concat("txid", F.lit("-child")), child)
+    texts = (
+        rows.select(F.pmod(F.xxhash64("txid"), F.lit(documents)).alias("document"), F.explode(pair).alias("txid", "entry"))
+        .groupBy("document")
+        .agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("txid", "entry")))).alias("value"))
+        .select("value")
     )
-    return records.parse_mempool(texts)
+    return records.parse_mempool(texts).drop("pos")
 
 
 @query

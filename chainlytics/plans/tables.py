@@ -93,8 +93,9 @@ def with_slice(df: DataFrame, table: KeyedTable) -> DataFrame:
     return df.withColumn(table.slice_column, F.expr(table.slice_rule))
 
 
-def publish(rows: DataFrame, table: KeyedTable, replaced: Sequence) -> None:
-    """Make ``rows`` the whole content of the slices ``replaced``.
+def publish(rows: DataFrame, table: KeyedTable, may_empty: Sequence = ()) -> None:
+    """Make ``rows`` the whole content of every slice they cover, and of the slices ``may_empty``
+    even if no row is left for one of those.
 
     Rows are written in full to a staging folder first and copied from there, replacing slices. A
     crash before staging is complete leaves the table as it was; a crash later is made good by
@@ -102,9 +103,9 @@ def publish(rows: DataFrame, table: KeyedTable, replaced: Sequence) -> None:
     of the advisory size and splits a hot slice over tasks."""
     spark = rows.sparkSession
     rows.hint("rebalance", table.slice_column).write.mode("overwrite").parquet(table.staging)
-    filled = _slices(spark.read.schema(table.stored).parquet(table.staging), table)
+    filled = _slices(spark.read.schema(table.stored).parquet(table.staging), table) if may_empty else []
     finish_publish(spark, table)
-    for emptied in set(replaced) - set(filled):
+    for emptied in set(may_empty) - set(filled):
         storage.drop(spark, f"{table.path}/{table.slice_column}={emptied}")
 
 
@@ -135,7 +136,7 @@ def upsert(
     touched, stored = _affected(latest, table)
     if touched:
         keys = [*table.keys, table.slice_column]
-        publish(merge(stored, latest, keys, table.values).select(*table.stored.names), table, touched)
+        publish(merge(stored, latest, keys, table.values).select(*table.stored.names), table)
     storage.drop(changes.sparkSession, table.incoming)
 
 

@@ -5,10 +5,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
+_own_roots: dict[str, str] = {}
+
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -26,13 +28,15 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only where the setting is missing (tests, a laptop) is a folder made on this machine, and
-    then it is remembered on the session so that one session uses one root.
+    Only where the setting is missing (tests, a laptop) is a folder made on this machine, one per
+    application.
     """
     root = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getConf().get(CHECKPOINT_SETTING)
     if not root:
-        root = tempfile.mkdtemp(prefix="chainlytics-")
-        spark.conf.set(CHECKPOINT_SETTING, root)
+        application = spark.sparkContext.applicationId
+        if application not in _own_roots:
+            _own_roots[application] = tempfile.mkdtemp(prefix="chainlytics-")
+        root = _own_roots[application]
     return root.rstrip("/")
 
 
@@ -41,6 +45,13 @@ def workspace(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, path: str) -> DataFrame:
+    """``df`` as a Parquet table under the shared root: computed once, safe from lost executors, and
+    of known size when Spark plans the joins it goes into."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     """Number of shuffle partitions of the session, the unit in which hot groups are split."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -16,14 +16,14 @@ from chainlytics.schemas import BLOCK_BODY, CHAIN_INFO, CHAIN_TIP, HEADER_RECORD
 CORRUPT = "_corrupt_record"
 
 
-def _with_corrupt(schema: T.StructType) -> T.StructType:
+def with_corrupt(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
 
 
 def read_records(spark: SparkSession, path: str, schema: T.StructType, whole_files: bool = False) -> DataFrame:
     """JSON records, one per line, or one per file with ``whole_files``."""
     return (
-        spark.read.schema(_with_corrupt(schema))
+        spark.read.schema(with_corrupt(schema))
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("multiLine", whole_files)
         .json(path)
@@ -35,7 +35,9 @@ def malformed(records: DataFrame) -> DataFrame:
 
 
 def blocks_of(records: DataFrame) -> DataFrame:
-    """Header records of mined blocks -> rows of the block table, plus the link to the parent."""
+    """Header records of mined blocks -> rows of the block table, plus the link to the parent and
+    whatever else the record carries."""
+    others = [c for c in records.columns if c not in (*HEADER_RECORD.names, CORRUPT)]
     return records.where(_parsed(records)).select(
         "hash",
         epoch_to_time("time").alias("timestamp"),
@@ -43,6 +45,7 @@ def blocks_of(records: DataFrame) -> DataFrame:
         as_bigint("difficulty").alias("difficulty"),
         "height",
         "previousblockhash",
+        *others,
     )
 
 
@@ -77,8 +80,8 @@ def read_block_bodies(spark: SparkSession, path: str) -> DataFrame:
 
 def blocks_ahead(blocks: DataFrame, info: DataFrame, start_block: int) -> DataFrame:
     """Blocks to process when the chain is ahead of ``start_block``: from it (again, it is the
-    boundary) to the newest. ``info`` is one row."""
-    tip = info.select(F.col("blocks").alias("_newest"))
+    boundary) to the newest. ``info`` holds the node's replies."""
+    tip = info.agg(F.max("blocks").alias("_newest"))
     return (
         blocks.crossJoin(F.broadcast(tip))
         .where((F.col("_newest") > start_block) & F.col("height").between(start_block, F.col("_newest")))

@@ -6,14 +6,17 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from chainlytics import schemas
 from chainlytics.operators.mempool import mempool_state
 from chainlytics.plans import rollup_store, tables
 from chainlytics.plans.rollup_store import Policy, Rollup
 from chainlytics.plans.tables import KeyedTable
+from chainlytics.sources.records import CORRUPT, blocks_of, malformed, with_corrupt
+from chainlytics.sources.topics import landed_stream
 
 # How often the node is asked for blocks, and for a new height while predicting.
 BLOCK_POLL = "2 seconds"
@@ -57,6 +60,40 @@ def block_stream(
     return upsert_stream(records, table, checkpoint, {"nTx": F.col("kind") != "header"}, trigger)
 
 
+def header_stream(
+    spark: SparkSession,
+    folder: str,
+    table: KeyedTable,
+    checkpoint: str,
+    kind: str = "block",
+    files_per_trigger: int | None = None,
+    trigger: Mapping = DRAIN,
+) -> StreamingQuery:
+    """Landed header records (JSON lines) into the block table. ``kind`` tells whether the folder
+    gets records of mined blocks, or headers that run ahead of their blocks.
+
+    Lines that do not parse stop nothing: they are kept under :func:`malformed_path`, one folder per
+    micro-batch, so that a replay does not repeat them. Two versions of a key within one file have
+    no order; they must come in different files."""
+    tables.create(spark, table)
+    lines = landed_stream(spark, folder, with_corrupt(schemas.HEADER_RECORD), "json", files_per_trigger)
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        bad = malformed(batch)
+        if not bad.isEmpty():
+            bad.select(CORRUPT).write.mode("overwrite").text(f"{malformed_path(table)}/batch={batch_id}")
+        rows = blocks_of(batch).withColumn("kind", F.lit(kind))
+        tables.upsert(table, rows, given={"nTx": F.col("kind") != "header"})
+        batch.unpersist()
+
+    return _start(lines, apply, checkpoint, trigger)
+
+
+def malformed_path(table: KeyedTable) -> str:
+    return f"{table.path}__malformed"
+
+
 def mempool_stream(
     transactions: DataFrame, table: KeyedTable, checkpoint: str, trigger: Mapping = DRAIN
 ) -> StreamingQuery:
