@@ -40,8 +40,8 @@ def merge(stored: DataFrame, latest: DataFrame, keys: Sequence[str], columns: Se
     """Stored rows with the flagged values of ``latest`` laid over them, plus the keys not stored yet.
 
     Keys are unique on both sides. The big side is only ever the left of a left or semi join, so a
-    small batch is broadcast by its measured size and the stored rows do not move; a large batch
-    falls back to a sort-merge join."""
+    small batch is broadcast by its measured size and stored rows are not shuffled for the join; a
+    large batch falls back to a sort-merge join."""
     incoming = latest.select(
         *keys,
         *[F.col(c).alias(f"new_{c}") for c in columns],

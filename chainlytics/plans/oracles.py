@@ -113,6 +113,27 @@ WHERE w <= {weight} AND s <= {sigops}"""
 
 DAILY = _with(BLOCKS) + _volume("1 day")
 IN_RANGE = "BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-20'"
+SERIES = (
+    _with(BLOCKS)
+    + f"SELECT {_bucket('1 day')} AS time, max({{0}}) AS {{0}} FROM blocks GROUP BY 1"
+)
+SUMMARY = """SELECT block, CAST(count(*) FILTER (WHERE status = 'matches') AS INTEGER) AS matches,
+       CAST(count(*) FILTER (WHERE status = 'added') AS INTEGER) AS added,
+       CAST(count(*) FILTER (WHERE status = 'missing') AS INTEGER) AS missing,
+       round(CASE WHEN sum(listed) > 0 THEN count(*) FILTER (WHERE status = 'matches') / sum(listed)
+             ELSE 0 END, 9) AS accuracy
+FROM both_sides GROUP BY block"""
+TRAIL = (
+    "WITH RECURSIVE "
+    + HEADERS
+    + """,
+trail AS (
+    SELECT hash, previousblockhash, "timestamp", difficulty, height
+    FROM (SELECT * FROM headers ORDER BY height DESC, event_id DESC LIMIT 1)
+    UNION ALL
+    SELECT h.hash, h.previousblockhash, h."timestamp", h.difficulty, h.height
+    FROM trail JOIN headers h ON h.hash = trail.previousblockhash)"""
+)
 PARTIAL = (
     _with(VERSIONS)
     + """SELECT "timestamp", hash, arg_max_null(nTx, seq) FILTER (WHERE whole) AS nTx,
@@ -181,12 +202,7 @@ WHERE NOT EXISTS (SELECT 1 FROM mempool x WHERE x.txid = m.txid AND x.l_returnfl
     "audit_missing": _with(SIDES) + "SELECT * FROM predicted EXCEPT SELECT * FROM actual",
     "audit_status": _with(SIDES) + "SELECT block, txid, status, listed FROM both_sides",
     "audit_summary": _with(SIDES)
-    + """SELECT block, CAST(count(*) FILTER (WHERE status = 'matches') AS INTEGER) AS matches,
-       CAST(count(*) FILTER (WHERE status = 'added') AS INTEGER) AS added,
-       CAST(count(*) FILTER (WHERE status = 'missing') AS INTEGER) AS missing,
-       round(CASE WHEN sum(listed) > 0 THEN count(*) FILTER (WHERE status = 'matches') / sum(listed)
-             ELSE 0 END, 9) AS accuracy
-FROM both_sides GROUP BY block""",
+    + SUMMARY,
     "audit_lists": _with(SIDES)
     + """SELECT block, status, substr(sha256(txid), 1, 1) AS shard, string_agg(txid, ',' ORDER BY txid) AS txids
 FROM both_sides GROUP BY 1, 2, 3""",
@@ -244,16 +260,12 @@ FROM blocks GROUP BY 1""",
     SELECT 'ticker_price_initial_data', "timestamp", price,
            row_number() OVER (ORDER BY "timestamp" DESC) FROM ticker)
 WHERE n <= 10""",
-    "chain_walk": "WITH RECURSIVE "
-    + HEADERS
-    + """,
-trail AS (
-    SELECT hash, previousblockhash, "timestamp", difficulty, height
-    FROM (SELECT * FROM headers ORDER BY height DESC, event_id DESC LIMIT 1)
-    UNION ALL
-    SELECT h.hash, h.previousblockhash, h."timestamp", h.difficulty, h.height
-    FROM trail JOIN headers h ON h.hash = trail.previousblockhash)
-SELECT hash, "timestamp", difficulty, height FROM trail""",
+    "chain_walk": TRAIL + 'SELECT hash, "timestamp", difficulty, height FROM trail',
+    "canonical_transactions": TRAIL
+    + f""",
+{BLOCKS}
+SELECT CAST(date_trunc('day', b."timestamp") AS TIMESTAMP) AS time, CAST(sum(nTx) AS BIGINT) AS transactions
+FROM blocks b JOIN trail ON trail.hash = b.hash GROUP BY 1""",
     "parse_headers": _with(HEADERS)
     + """SELECT hash, date_trunc('second', "timestamp") AS "timestamp", CAST(event_id % 50 AS INTEGER) AS nTx,
        CAST(round(difficulty / 100) AS BIGINT) AS difficulty, height, previousblockhash FROM headers""",
@@ -264,4 +276,27 @@ UNION ALL
 SELECT txid || '-child', CAST(trunc(fee / 100 * 2 * 100000000) AS BIGINT), weight, 0 FROM mempool""",
     "snapshot_days": _with(SNAPSHOTS)
     + "SELECT snapshot, count(*) AS sightings, CAST(sum(weight) AS BIGINT) AS weight FROM snapshots GROUP BY 1",
+    "stream_headers": _with(VERSIONS)
+    + """SELECT CAST(seq AS VARCHAR) AS hash, TIMESTAMP '2024-01-01' + to_seconds(seq) AS "timestamp",
+       CASE WHEN whole THEN nTx END AS nTx, CAST(round(difficulty / 100) AS BIGINT) AS difficulty, height
+FROM versions""",
+    "stream_mempool": _with(SNAPSHOTS)
+    + """SELECT txid, arg_max(fee, seq) AS fee, arg_max(weight, seq) AS weight, arg_max(sigops, seq) AS sigops,
+       max(first_seen) AS first_seen FROM snapshots GROUP BY txid""",
+    "stream_ticker": _with(TICKER) + "SELECT * FROM ticker",
+    "saved_prediction": _with(MEMPOOL, f"block AS ({_greedy('mempool', 4_000_000, 80_000, 'txid')})")
+    + "SELECT TIMESTAMP '2024-01-05' AS prediction_time, txid, position, fee, weight FROM block",
+    "saved_audits": _with(SIDES, f"summary AS ({SUMMARY})")
+    + """SELECT CAST(block AS INTEGER) AS block_height, TIMESTAMP '2024-01-05' AS audit_time,
+       matches, added, missing, accuracy FROM summary""",
+    "panel_transactions_daily": DAILY,
+    "panel_transactions_daily_range": _with(BLOCKS, f"d AS ({_volume('1 day')})")
+    + f"SELECT * FROM d WHERE time {IN_RANGE}",
+    "panel_sigma_hourly": _sigma(_volume("1 hour", where=f'"timestamp" {IN_RANGE}'), "hours_in_range"),
+    "panel_sigma_daily": _sigma(_volume("1 day"), "days_in_range"),
+    "panel_block_height": _with(BLOCKS) + "SELECT max(height) AS height FROM blocks",
+    "panel_block_height_daily": SERIES.format("height"),
+    "panel_block_difficulty": _with(BLOCKS)
+    + 'SELECT arg_max(difficulty, "timestamp") AS difficulty FROM blocks',
+    "panel_block_difficulty_daily": SERIES.format("difficulty"),
 }

@@ -13,7 +13,7 @@ from chainlytics.functions import decode, encode, time_bucket
 from chainlytics.operators import audit, chain, changes, latest, mempool, rollups
 from chainlytics.operators.asof import asof, audit_history
 from chainlytics.operators.sigma import sigma_histogram
-from chainlytics.plans import rollup_store, standins, tables
+from chainlytics.plans import catalog, cycle, panels, rollup_store, standins, tables
 from chainlytics.plans.rollup_store import Rollup
 from chainlytics.session import configure, workspace
 from chainlytics.sources import records
@@ -252,6 +252,22 @@ def audit_lists(spark, sf_dir):
     return lists.withColumn("txids", F.concat_ws(",", "txids"))
 
 
+@query
+def saved_prediction(spark, sf_dir):
+    path = f"{workspace(spark, 'saved')}/predicted"
+    cycle.save_prediction(mempool.predict_block(standins.mempool(spark, sf_dir)), path, RANGE[0])
+    return _ntz(cycle.predictions(spark, path), "prediction_time")
+
+
+@query
+def saved_audits(spark, sf_dir):
+    path = f"{workspace(spark, 'saved')}/audits"
+    found = audit.audit_summary(standins.actual(spark, sf_dir), standins.predicted(spark, sf_dir))
+    cycle.save_audits(found, path, RANGE[0])
+    saved = cycle.audits(spark, path).withColumn("accuracy", F.round("accuracy", 9))
+    return _ntz(saved, "audit_time")
+
+
 @query
 def asof_prediction(spark, sf_dir):
     events = standins.events(spark, sf_dir)
@@ -430,6 +446,107 @@ def snapshot_envelopes(spark, sf_dir):
     )
 
 
+@query
+def stream_headers(spark, sf_dir):
+    """Header lines of all events land first, then block lines of those that are more than a view."""
+    root = workspace(spark, "stream_headers")
+    table = tables.block_table(f"{root}/blocks")
+    rows = standins.versions_from(standins.events(spark, sf_dir))
+    line = encode(
+        F.struct(
+            F.col("seq").cast("string").alias("hash"),
+            (F.lit(1704067200) + F.col("seq")).alias("time"),
+            (F.col("difficulty") / 100).alias("difficulty"),
+            "height",
+            "nTx",
+        )
+    ).alias("value")
+    rows.select(line).write.text(f"{root}/headers")
+    rows.where("kind = 'block'").select(line).write.text(f"{root}/landed")
+    for folder, kind in (("headers", "header"), ("landed", "block")):
+        ingest.header_stream(spark, f"{root}/{folder}", table, f"{root}/{kind}", kind).awaitTermination()
+    return _ntz(tables.read(spark, table), "timestamp")
+
+
+@query
+def stream_mempool(spark, sf_dir):
+    root = workspace(spark, "stream_mempool")
+    table = tables.mempool_table(f"{root}/mempool", 8)
+    rows = standins.as_utc(standins.snapshots_from(_event_stream(spark, sf_dir).drop("seq")), "first_seen")
+    ingest.mempool_stream(rows, table, f"{root}/checkpoint").awaitTermination()
+    return _ntz(cycle.load_mempool(spark, table), "first_seen")
+
+
+@query
+def stream_ticker(spark, sf_dir):
+    root = workspace(spark, "stream_ticker")
+    prices = standins.ticker_from(_event_stream(spark, sf_dir))
+    ingest.append_stream(prices, f"{root}/prices", f"{root}/checkpoint").awaitTermination()
+    return spark.read.schema(prices.schema).parquet(f"{root}/prices")
+
+
+# --- panels over stored tables ------------------------------------------------------------------
+
+_catalogs: dict[tuple[str, str], catalog.Catalog] = {}
+
+
+def _panel(spark: SparkSession, sf_dir: str, name: str, **params) -> DataFrame:
+    """Run a panel on a catalog whose rollups were refreshed before the last third of the blocks came."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _catalogs:
+        found = catalog.apply(spark, workspace(spark, "catalog"))
+        blocks = standins.blocks(spark, sf_dir)
+        early = F.col("timestamp") < _literal(RANGE[1])
+        tables.upsert(found.tables[panels.BLOCKS], _with_seq(blocks.where(early)))
+        for policy in found.policies.values():
+            rollup_store.run_policy(spark, found.rollups[policy.rollup], policy, RANGE[1])
+        tables.upsert(found.tables[panels.BLOCKS], _with_seq(blocks.where(~early)))
+        _catalogs[key] = found
+    catalog.register_views(spark, _catalogs[key])
+    rows = panels.panel(spark, name, **params)
+    return _ntz(rows, "time") if "time" in rows.columns else rows
+
+
+@query
+def panel_transactions_daily(spark, sf_dir):
+    return _panel(spark, sf_dir, "transactions_daily")
+
+
+@query
+def panel_transactions_daily_range(spark, sf_dir):
+    return _panel(spark, sf_dir, "transactions_daily", start=RANGE[0], end=RANGE[1])
+
+
+@query
+def panel_sigma_hourly(spark, sf_dir):
+    return _panel(spark, sf_dir, "transactions_sigma_hourly", start=RANGE[0], end=RANGE[1])
+
+
+@query
+def panel_sigma_daily(spark, sf_dir):
+    return _panel(spark, sf_dir, "transactions_sigma_daily")
+
+
+@query
+def panel_block_height(spark, sf_dir):
+    return panels.stat(_panel(spark, sf_dir, "block_height"), "height")
+
+
+@query
+def panel_block_height_daily(spark, sf_dir):
+    return _panel(spark, sf_dir, "block_height_daily", as_of=RANGE[1])
+
+
+@query
+def panel_block_difficulty(spark, sf_dir):
+    return panels.stat(_panel(spark, sf_dir, "block_difficulty"), "difficulty")
+
+
+@query
+def panel_block_difficulty_daily(spark, sf_dir):
+    return _panel(spark, sf_dir, "block_difficulty_daily")
+
+
 # --- chain and records --------------------------------------------------------------------------
 
 
@@ -442,6 +559,15 @@ def chain_walk(spark, sf_dir):
     return chain.process_headers(headers, reply, 0)
 
 
+@query
+def canonical_transactions(spark, sf_dir):
+    """Transactions per day on the chain of the newest tip alone."""
+    headers = standins.headers(spark, sf_dir)
+    tip = headers.orderBy(F.desc("height"), F.desc("event_id")).first()
+    kept = chain.canonical_only(standins.blocks(spark, sf_dir), headers, tip["hash"], tip["height"])
+    return rollups.daily_transactions(kept)
+
+
 @query
 def parse_headers(spark, sf_dir):
     """Header records as landed JSON lines, read back as block rows."""

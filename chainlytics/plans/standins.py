@@ -7,6 +7,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chainlytics.functions import time_bucket
+
 EVENTS_SCHEMA = (
     "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 )
@@ -100,22 +102,26 @@ def actual(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mempool(spark, sf_dir).where("l_returnflag <> 'N'").select("block", "txid")
 
 
+def ticker_from(rows: DataFrame) -> DataFrame:
+    return rows.where("event_type = 'purchase'").select(F.col("ts").alias("timestamp"), F.col("value").alias("price"))
+
+
 def ticker(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        events(spark, sf_dir)
-        .where("event_type = 'purchase'")
-        .select(F.col("ts").alias("timestamp"), F.col("value").alias("price"))
-    )
+    return ticker_from(events(spark, sf_dir))
 
 
-def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+def snapshots_from(rows: DataFrame) -> DataFrame:
     """Mempool versions: an event is a sighting of its user's transaction in the snapshot of its day."""
-    return events(spark, sf_dir).select(
+    return rows.select(
         F.concat(F.lit("tx"), F.col("user_id")).alias("txid"),
         F.round(F.col("value") * 100).cast("bigint").alias("fee"),
         ((F.get_json_object("props", "$.k").cast("int") + 1) * 4).cast("bigint").alias("weight"),
         F.length("event_type").alias("sigops"),
         F.col("ts").alias("first_seen"),
         F.col("event_id").alias("seq"),
-        F.window("ts", "1 day").start.alias("snapshot"),
+        time_bucket("ts", "1 day").alias("snapshot"),
     )
+
+
+def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return snapshots_from(events(spark, sf_dir))

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,31 +14,48 @@ from chainlytics import storage
 from chainlytics.operators.changes import latest_by_key, merge
 from chainlytics.schemas import BLOCKS, MEMPOOL_STATE
 
-DAY = ("day", "cast({} as date)", T.DateType())
-MONTH = ("month", "cast(date_trunc('MONTH', {}) as date)", T.DateType())
+@dataclass(frozen=True)
+class Unit:
+    """How rows are cut into slices: column name, its value from the time column, and the same value
+    for a literal."""
+
+    name: str
+    rule: str
+    kind: T.DataType
+    of: Callable[[datetime], object]
+
+
+MONTH = Unit("month", "cast(date_trunc('MONTH', {}) as date)", T.DateType(), lambda m: m.date().replace(day=1))
+DAY = Unit("day", "cast({} as date)", T.DateType(), lambda m: m.date())
+HOUR = Unit("hour", "date_format({}, 'yyyy-MM-dd-HH')", T.StringType(), lambda m: m.strftime("%Y-%m-%d-%H"))
 
 
 @dataclass(frozen=True)
 class KeyedTable:
     """A table unique on ``keys`` and stored in slices: partitions derived from a key column, the
-    unit that an upsert rewrites and a range read skips."""
+    unit that an upsert rewrites and a range read skips. Choose it by the size of one slice: days
+    as a rule, hours where a day is too much to rewrite."""
 
     path: str
     columns: T.StructType
     keys: tuple[str, ...]
-    slice_column: str
-    slice_rule: str
-    slice_type: T.DataType
+    unit: Unit
+    source: str
 
     @classmethod
-    def by_time(cls, path: str, columns: T.StructType, keys: Sequence[str], time: str, unit=DAY) -> KeyedTable:
-        name, rule, kind = unit
-        return cls(path, columns, tuple(keys), name, rule.format(time), kind)
+    def by_time(
+        cls, path: str, columns: T.StructType, keys: Sequence[str], time: str, unit: Unit = DAY
+    ) -> KeyedTable:
+        return cls(path, columns, tuple(keys), unit, time)
 
     @classmethod
     def by_hash(cls, path: str, columns: T.StructType, keys: Sequence[str], slices: int = 64) -> KeyedTable:
-        rule = f"cast(pmod(xxhash64({', '.join(keys)}), {slices}) as int)"
-        return cls(path, columns, tuple(keys), "shard", rule, T.IntegerType())
+        rule = f"cast(pmod(xxhash64({{}}), {slices}) as int)"
+        return cls(path, columns, tuple(keys), Unit("shard", rule, T.IntegerType(), int), ", ".join(keys))
+
+    @property
+    def slice_column(self) -> str:
+        return self.unit.name
 
     @property
     def values(self) -> list[str]:
@@ -46,7 +63,7 @@ class KeyedTable:
 
     @property
     def stored(self) -> T.StructType:
-        return T.StructType([*self.columns.fields, T.StructField(self.slice_column, self.slice_type)])
+        return T.StructType([*self.columns.fields, T.StructField(self.slice_column, self.unit.kind)])
 
     @property
     def staging(self) -> str:
@@ -79,18 +96,14 @@ def read_range(
     """Rows with ``start <= time <= end`` of a table sliced by ``time``. A filter on the time alone
     reads every slice, so the matching filter on the slice column is added."""
     rows = read_slices(spark, table).where(F.col(time) >= start)
-    rows = rows.where(F.col(table.slice_column) >= _slice_of(table, start))
+    rows = rows.where(F.col(table.slice_column) >= table.unit.of(start))
     if end is not None:
-        rows = rows.where(F.col(time) <= end).where(F.col(table.slice_column) <= _slice_of(table, end))
+        rows = rows.where(F.col(time) <= end).where(F.col(table.slice_column) <= table.unit.of(end))
     return rows.select(*table.columns.names)
 
 
-def _slice_of(table: KeyedTable, moment: datetime) -> date:
-    return moment.date().replace(day=1) if table.slice_column == "month" else moment.date()
-
-
 def with_slice(df: DataFrame, table: KeyedTable) -> DataFrame:
-    return df.withColumn(table.slice_column, F.expr(table.slice_rule))
+    return df.withColumn(table.slice_column, F.expr(table.unit.rule.format(table.source)))
 
 
 def publish(rows: DataFrame, table: KeyedTable, may_empty: Sequence = ()) -> None:
@@ -99,8 +112,9 @@ def publish(rows: DataFrame, table: KeyedTable, may_empty: Sequence = ()) -> Non
 
     Rows are written in full to a staging folder first and copied from there, replacing slices. A
     crash before staging is complete leaves the table as it was; a crash later is made good by
-    :func:`finish_publish`, as staging still has every row. ``REBALANCE`` packs each slice into files
-    of the advisory size and splits a hot slice over tasks."""
+    :func:`finish_publish`, as staging still has every row. ``REBALANCE`` is the one shuffle of the
+    touched slices: it packs each into files of the advisory size, so small batches do not pile up
+    small files, and it splits a hot slice over tasks."""
     spark = rows.sparkSession
     rows.hint("rebalance", table.slice_column).write.mode("overwrite").parquet(table.staging)
     filled = _slices(spark.read.schema(table.stored).parquet(table.staging), table) if may_empty else []
@@ -167,7 +181,8 @@ def _affected(batch: DataFrame, table: KeyedTable) -> tuple[list, DataFrame]:
 
 
 def _slices(df: DataFrame, table: KeyedTable) -> list:
-    """Slices with rows: calendar days or months, or a fixed number of shards - never row keys."""
+    """Slices with rows: hours, days or months of the calendar, or a fixed number of shards - never
+    row keys, so the list stays small."""
     return [r[0] for r in df.select(table.slice_column).distinct().collect()]
 
 

@@ -133,13 +133,15 @@ def read_mempool_lines(spark: SparkSession, path: str, exact: bool = False) -> D
     """Landed entries, one JSON record per line with its ``txid``: the layout that splits a big
     snapshot over executors."""
     record = T.StructType([T.StructField("txid", T.StringType()), *MEMPOOL_ENTRY.fields])
-    rows = read_records(spark, path, record)
-    entries = rows.where(_parsed(rows)).select(
-        "txid",
-        F.struct("fee", "weight", "sigops").alias("entry"),
-        F.col("_metadata.file_modification_time").alias("snapshot"),
-    )
-    return _stamped(transactions_of(entries, exact))
+    rows = read_records(spark, path, record).withColumn("snapshot", F.col("_metadata.file_modification_time"))
+    return _stamped(transactions_of(entries_of(rows), exact))
+
+
+def entries_of(rows: DataFrame) -> DataFrame:
+    """Flat entry records, as lines or topic messages have them, in the shape of map entries."""
+    others = [c for c in rows.columns if c not in ("txid", CORRUPT, *MEMPOOL_ENTRY.names)]
+    entry = F.struct(*MEMPOOL_ENTRY.names).alias("entry")
+    return rows.where(_parsed(rows)).select("txid", entry, *others)
 
 
 def _stamped(rows: DataFrame) -> DataFrame:
