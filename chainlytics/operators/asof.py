@@ -14,8 +14,8 @@ MOST_RANGES = 1024
 
 
 def _ticks(column: Column) -> Column:
-    """Microseconds since the epoch as a DOUBLE (exact for some 285 years either way)."""
-    return F.unix_micros(column.cast("timestamp")).cast("double")
+    """Microseconds since the epoch."""
+    return F.unix_micros(column.cast("timestamp"))
 
 
 def asof(left: DataFrame, left_time: str, right: DataFrame, right_time: str, value: str) -> DataFrame:
@@ -34,12 +34,15 @@ def asof(left: DataFrame, left_time: str, right: DataFrame, right_time: str, val
         .where("_t IS NOT NULL")
         .groupBy("_t")
         .agg(F.max("_v").alias("_v"))
+        # A DOUBLE holds microseconds exactly for some 285 years around the epoch.
+        .withColumn("_x", F.col("_t").cast("double"))
     )
+    instants = written(instants, workspace(spark, "instants"))  # read for the cuts and for the ranges
     ranges = min(shuffle_width(spark), MOST_RANGES)
     wanted = [i / ranges for i in range(1, ranges)]
-    cuts = sorted(set(instants.approxQuantile("_t", wanted, 0.25 / ranges))) if wanted else []
+    cuts = sorted(set(instants.approxQuantile("_x", wanted, 0.5 / ranges))) if wanted else []
     splits = [float("-inf"), *cuts, float("inf")]
-    placed = Bucketizer(splits=splits, inputCol="_t", outputCol="_r").transform(instants)
+    placed = Bucketizer(splits=splits, inputCol="_x", outputCol="_r").transform(instants)
 
     lasts = placed.where("_v IS NOT NULL").groupBy("_r").agg(F.max_by("_v", "_t").alias("_v"))
     before = Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from chainlytics.functions import fee_rate, rate_band
 from chainlytics.operators.changes import without_keys
-from chainlytics.session import shuffle_width
+from chainlytics.session import shuffle_width, workspace, written
 
 # Budgets of one block.
 BLOCK_WEIGHT_LIMIT = 4_000_000
@@ -59,26 +59,31 @@ def predict_block(
     does not, even if a later one would. One block, or one per group of ``by``.
 
     Weights are positive and sigops are not negative, so both running sums only rise and "stop" is
-    the same as "running sum within the limit". The state is never sorted as a whole:
-
-    1. weight and sigops are summed per narrow band of fee rates (a tiny hash aggregate);
-    2. running sums over the bands give the band in which a budget runs out; bands below are cut
-       by a filter in the scan;
-    3. that band may still hold most rows, when they share one rate. It is spread over the shuffle
-       partitions, and each part keeps only what would fit if the part were alone - a row within
-       the overall budget is also within the budget of its part, so nothing is lost;
-    4. what is left per block is bounded by the budgets, and gets the final running sums.
+    the same as "running sum within the limit". The state is never sorted or shuffled as a whole:
+
+    1. weight and sigops are summed per narrow band of fee rates: a small hash aggregate, run right
+       away and written, as it steers the rest;
+    2. running sums over the bands give the band in which a budget runs out; worse bands are
+       filtered out in the scan;
+    3. that band may still hold most rows, when they share one rate. Each task keeps only what
+       would fit if its rows were alone - a row within the overall budget is also within the budget
+       of its part, so nothing is lost. No more than limit / lightest weight rows can fit, which
+       lets Spark cut every task's rows before the shuffle;
+    4. what is left is brought together in steps, and is bounded by the budgets, not by the data.
     """
     by = list(by)
+    spark = state.sparkSession
     rated = state.withColumns({"sigops": _counted("sigops"), "fee_rate": fee_rate()})
     rated = rated.withColumn("_band", rate_band("fee_rate"))
+    sums = [F.sum("weight").alias("_w"), F.sum("sigops").alias("_s"), F.min("weight").alias("_lightest")]
+    bands = written(rated.groupBy(*by, "_band").agg(*sums), workspace(spark, "bands"))
+    lightest = bands.agg(F.min("_lightest")).first()[0]
+    most = weight_limit // lightest if lightest else 0
 
     rising = Window.partitionBy(*by).orderBy(F.desc("_band")).rowsBetween(Window.unboundedPreceding, 0)
     over = (F.sum("_w").over(rising) > weight_limit) | (F.sum("_s").over(rising) > sigops_limit)
     cut = (
-        rated.groupBy(*by, "_band")
-        .agg(F.sum("weight").alias("_w"), F.sum("sigops").alias("_s"))
-        .select(*by, "_band", over.alias("_over"))
+        bands.select(*by, "_band", over.alias("_over"))
         .groupBy(*[F.col(b).alias(f"_by_{b}") for b in by])
         .agg(F.max(F.when(F.col("_over"), F.col("_band"))).alias("_cut"))
     )
@@ -91,15 +96,13 @@ def predict_block(
     def fitting(df: DataFrame, *parts: str) -> DataFrame:
         order = Window.partitionBy(*by, *parts).orderBy(F.desc("fee_rate"), *ties)
         upto = order.rowsBetween(Window.unboundedPreceding, 0)
-        return (
-            df.withColumns({"_w": F.sum("weight").over(upto), "_s": F.sum("sigops").over(upto)})
-            .where((F.col("_w") <= weight_limit) & (F.col("_s") <= sigops_limit))
-            .withColumn("_n", F.row_number().over(order))
-        )
-
-    width = shuffle_width(state.sparkSession)
-    spread = F.when(F.col("_band") == F.col("_cut"), F.pmod(F.xxhash64(*ties), F.lit(width))).otherwise(-1)
-    parts = fitting(candidates.withColumn("_part", spread), "_part")
+        running = {"_n": F.row_number().over(order), "_w": F.sum("weight").over(upto), "_s": F.sum("sigops").over(upto)}
+        fits = (F.col("_n") <= most) & (F.col("_w") <= weight_limit) & (F.col("_s") <= sigops_limit)
+        return df.withColumns(running).where(fits)
+
+    # Which part a row falls into does not matter, so parts follow the tasks that read the rows.
+    width = shuffle_width(spark)
+    parts = fitting(candidates.withColumn("_part", F.spark_partition_id() % F.lit(width)), "_part")
     if width > 64:  # many parts: bring them together in two steps, so that no task merges all
         parts = fitting(parts.withColumn("_part", F.col("_part") % F.lit(isqrt(width))), "_part")
     block = fitting(parts)

@@ -15,6 +15,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Per-group row limits are applied map-side up to this limit (Spark's default is 1000).
+    "spark.sql.optimizer.windowGroupLimitThreshold": "100000000",
 }
 
 
