@@ -86,9 +86,14 @@ def test_one_block_per_group_with_missing_group(spark):
 def test_no_task_gets_the_whole_state(spark):
     df = spark.createDataFrame([("a", 1, 1, 1)], STATE)
     plan = physical(mempool.predict_block(df))
-    first = plan[plan.rindex("Exchange") :]
-    assert "SinglePartition" not in first  # nothing is brought together before it was reduced
-    assert plan.count("SinglePartition") == 2  # band sums, and what passed the parts
+    # From the result down: brought together only after the parts were cut, and those only after
+    # every task had cut its own rows.
+    steps = ["SinglePartition", ", Final", "hashpartitioning(_part", ", Partial", "Scan ExistingRDD"]
+    at = [plan.index(step) for step in steps]
+    assert at == sorted(at)
+    # The only other gathering is that of the written band sums.
+    assert plan.count("SinglePartition") == 2
+    assert "/bands-" in plan[plan.rindex("SinglePartition") :]
 
 
 def test_negative_sigops_are_an_error(spark):
