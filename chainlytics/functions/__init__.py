@@ -1,4 +1,11 @@
-from chainlytics.functions.buckets import bucket_ceil, bucket_floor, time_bucket, width_micros
+from chainlytics.functions.buckets import (
+    bucket_ceil,
+    bucket_floor,
+    moment,
+    register_sql,
+    time_bucket,
+    width_micros,
+)
 from chainlytics.functions.scalars import (
     as_bigint,
     decode,
@@ -19,8 +26,10 @@ __all__ = [
     "encode",
     "epoch_to_time",
     "fee_rate",
+    "moment",
     "number",
     "rate_band",
+    "register_sql",
     "time_bucket",
     "to_smallest_unit",
     "two_decimals",

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 UNIT_MICROS = {
@@ -27,8 +27,17 @@ def width_micros(width: str) -> int:
     return int(count) * UNIT_MICROS[unit.rstrip("s")]
 
 
-def _micros(moment: datetime) -> int:
-    return (moment - EPOCH) // timedelta(microseconds=1)
+def _micros(at: datetime) -> int:
+    return (at - EPOCH) // timedelta(microseconds=1)
+
+
+def moment(value: date | datetime | Column) -> Column:
+    """A literal in UTC, whatever time zone the driver's machine is in. Columns pass through."""
+    if isinstance(value, Column):
+        return value
+    if isinstance(value, datetime) and value.tzinfo is None:
+        value = value.replace(tzinfo=timezone.utc)
+    return F.lit(value)
 
 
 def time_bucket(column: str | Column, width: str) -> Column:
@@ -42,13 +51,24 @@ def time_bucket(column: str | Column, width: str) -> Column:
     ).getField("start")
 
 
-def bucket_floor(moment: datetime, width: str) -> datetime:
+def register_sql(spark: SparkSession) -> None:
+    """Give SQL text the function ``time_bucket('1 hour', ts)``. It is a SQL function, so Spark puts its
+    body into the query and folds the width into one constant."""
+    sizes = " ".join(f"WHEN '{unit}' THEN {size}" for unit, size in UNIT_MICROS.items() if unit != "month")
+    size = f"(bigint(split(width, ' ')[0]) * CASE rtrim('s', split(width, ' ')[1]) {sizes} END)"
+    spark.sql(
+        f"""CREATE OR REPLACE TEMPORARY FUNCTION time_bucket(width STRING, ts TIMESTAMP) RETURNS TIMESTAMP
+        RETURN timestamp_micros(unix_micros(ts) - pmod(unix_micros(ts) - {_micros(ORIGIN)}, {size}))"""
+    )
+
+
+def bucket_floor(at: datetime, width: str) -> datetime:
     """Start of the bucket a literal (UTC, naive) lies in."""
     size = width_micros(width)
-    return moment - timedelta(microseconds=(_micros(moment) - _micros(ORIGIN)) % size)
+    return at - timedelta(microseconds=(_micros(at) - _micros(ORIGIN)) % size)
 
 
-def bucket_ceil(moment: datetime, width: str) -> datetime:
+def bucket_ceil(at: datetime, width: str) -> datetime:
     """First bucket start that is not before the literal."""
-    floor = bucket_floor(moment, width)
-    return floor if floor == moment else floor + timedelta(microseconds=width_micros(width))
+    floor = bucket_floor(at, width)
+    return floor if floor == at else floor + timedelta(microseconds=width_micros(width))

@@ -7,14 +7,15 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chainlytics.functions import moment
 from chainlytics.operators.rollups import daily_height
 
 SNAPSHOT_ROWS = 10  # fixed value: rows a snapshot carries
 
 
 def in_range(df: DataFrame, time: str, start: datetime | Column, end: datetime | Column) -> DataFrame:
-    """Both ends included."""
-    return df.where(F.col(time).between(start, end))
+    """Both ends included. Literals are in UTC."""
+    return df.where(F.col(time).between(moment(start), moment(end)))
 
 
 def latest(df: DataFrame, by: str, rows: int = SNAPSHOT_ROWS, ties: tuple[str, ...] = ()) -> DataFrame:
@@ -36,8 +37,7 @@ def height_series(
 ) -> DataFrame:
     """Stored daily heights before ``as_of`` (default: today) joined with live ones from it on,
     newest first. Both sides hold one row per day, so the join has no hot key."""
-    day = F.current_date() if as_of is None else as_of
-    day = day if isinstance(day, Column) else F.lit(day)
+    day = F.current_date() if as_of is None else moment(as_of)
     history = stored.where(F.col("time") < day).select("time", F.col("height").alias("stored"))
     live = daily_height(blocks.where(F.col("timestamp") >= day)).select("time", F.col("height").alias("live"))
     return (

@@ -56,7 +56,8 @@ def predict_block(
     ties: Sequence[str] = ("txid",),
 ) -> DataFrame:
     """Take transactions by falling fee rate while both running sums fit; stop at the first that
-    does not, even if a later one would. One block, or one per group of ``by``.
+    does not, even if a later one would. One block, or one per group of ``by``. ``ties`` order
+    equal rates and must tell any two rows apart.
 
     Weights are positive and sigops are not negative, so both running sums only rise and "stop" is
     the same as "running sum within the limit". The state is never sorted or shuffled as a whole:

@@ -7,25 +7,26 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chainlytics.functions import moment
 from chainlytics.operators.audit import audit_summary
 from chainlytics.plans import tables
 from chainlytics.plans.tables import KeyedTable
 from chainlytics.schemas import BLOCK_AUDITS, MEMPOOL_STATE, PREDICTED_BLOCKS
 
 
-def _at(moment: datetime | None) -> Column:
-    return F.current_timestamp() if moment is None else F.lit(moment.isoformat(sep=" ")).cast("timestamp")
+def _at(at: datetime | None) -> Column:
+    return F.current_timestamp() if at is None else moment(at)
 
 
-def save_prediction(block: DataFrame, path: str, moment: datetime | None = None) -> None:
+def save_prediction(block: DataFrame, path: str, at: datetime | None = None) -> None:
     """Append a predicted block with its 0-based positions; all of its rows or none."""
-    rows = block.withColumn("prediction_time", _at(moment))
+    rows = block.withColumn("prediction_time", _at(at))
     tables.append(rows.select(*[F.col(f.name).cast(f.dataType) for f in PREDICTED_BLOCKS]), path)
 
 
-def save_audits(summary: DataFrame, path: str, moment: datetime | None = None) -> None:
+def save_audits(summary: DataFrame, path: str, at: datetime | None = None) -> None:
     """Append audit counts and accuracy, one row per block."""
-    rows = summary.withColumnRenamed("block", "block_height").withColumn("audit_time", _at(moment))
+    rows = summary.withColumnRenamed("block", "block_height").withColumn("audit_time", _at(at))
     tables.append(rows.select(*[F.col(f.name).cast(f.dataType) for f in BLOCK_AUDITS]), path)
 
 

@@ -294,6 +294,7 @@ FROM versions""",
     + f"SELECT * FROM d WHERE time {IN_RANGE}",
     "panel_sigma_hourly": _sigma(_volume("1 hour", where=f'"timestamp" {IN_RANGE}'), "hours_in_range"),
     "panel_sigma_daily": _sigma(_volume("1 day"), "days_in_range"),
+    "panel_sql_text": _with(BLOCKS) + _volume("1 hour", where=f'"timestamp" {IN_RANGE}'),
     "panel_block_height": _with(BLOCKS) + "SELECT max(height) AS height FROM blocks",
     "panel_block_height_daily": SERIES.format("height"),
     "panel_block_difficulty": _with(BLOCKS)

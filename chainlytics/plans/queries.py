@@ -527,6 +527,17 @@ def panel_sigma_daily(spark, sf_dir):
     return _panel(spark, sf_dir, "transactions_sigma_daily")
 
 
+@query
+def panel_sql_text(spark, sf_dir):
+    """A panel as SQL text with the range macros, over the block table of the catalog."""
+    _panel(spark, sf_dir, "block_height")
+    text = """
+        SELECT time_bucket('1 hour', timestamp) AS time, sum(ntx) AS transactions
+        FROM l0_btc_blocks WHERE timestamp BETWEEN $__timeFrom() AND $__timeTo()
+        GROUP BY time ORDER BY time ASC;"""
+    return _ntz(panels.panel_sql(spark, text, *RANGE), "time")
+
+
 @query
 def panel_block_height(spark, sf_dir):
     return panels.stat(_panel(spark, sf_dir, "block_height"), "height")

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chainlytics import storage
-from chainlytics.functions import bucket_ceil, bucket_floor, width_micros
+from chainlytics.functions import bucket_ceil, bucket_floor, moment, width_micros
 from chainlytics.operators.rollups import rollup as aggregate
 from chainlytics.plans import tables
 from chainlytics.plans.tables import MONTH, KeyedTable
@@ -61,9 +61,9 @@ def mark(spark: SparkSession, rollup: Rollup) -> datetime | None:
     return datetime.fromisoformat(text)
 
 
-def _set_mark(spark: SparkSession, rollup: Rollup, moment: datetime) -> None:
+def _set_mark(spark: SparkSession, rollup: Rollup, at: datetime) -> None:
     # Lost between delete and write, the mark reads as None: everything is then computed live.
-    spark.createDataFrame([(moment.isoformat(),)], "mark string").coalesce(1).write.mode("overwrite").json(
+    spark.createDataFrame([(at.isoformat(),)], "mark string").coalesce(1).write.mode("overwrite").json(
         rollup.mark_path
     )
 
@@ -75,7 +75,7 @@ def read(spark: SparkSession, rollup: Rollup) -> DataFrame:
     if reached is None:
         return rollup.of(tables.read(spark, rollup.base))
     store = rollup.store(spark)
-    stored = tables.read(spark, store).where(F.col("time") < _moment(reached))
+    stored = tables.read(spark, store).where(F.col("time") < moment(reached))
     return stored.unionByName(rollup.of(_base_rows(spark, rollup, reached, None)))
 
 
@@ -122,14 +122,14 @@ def _replace(spark: SparkSession, rollup: Rollup, start: datetime | None, end: d
     tables.finish_publish(spark, store)
     fresh = rollup.of(_base_rows(spark, rollup, start, end))
     if start is None:
-        kept = tables.read(spark, store).where(F.col("time") >= _moment(end))
+        kept = tables.read(spark, store).where(F.col("time") >= moment(end))
         months = [r[0] for r in tables.read_slices(spark, store).select("month").distinct().collect()]
     else:
         months = _months(start, end)
         kept = (
             tables.read_slices(spark, store)
             .where(F.col("month").isin(months))
-            .where((F.col("time") < _moment(start)) | (F.col("time") >= _moment(end)))
+            .where((F.col("time") < moment(start)) | (F.col("time") >= moment(end)))
             .select(*store.columns.names)
         )
     rows = tables.with_slice(kept.unionByName(fresh), store)
@@ -143,7 +143,7 @@ def _base_rows(spark: SparkSession, rollup: Rollup, start: datetime | None, end:
         if start is None
         else tables.read_range(spark, rollup.base, rollup.time, start)
     )
-    return rows if end is None else rows.where(F.col(rollup.time) < _moment(end))
+    return rows if end is None else rows.where(F.col(rollup.time) < moment(end))
 
 
 def _months(start: datetime, end: datetime) -> list[date]:
@@ -157,7 +157,3 @@ def _months(start: datetime, end: datetime) -> list[date]:
 def _offset(text: str) -> timedelta:
     return timedelta(microseconds=width_micros(text))
 
-
-def _moment(moment: datetime):
-    """UTC literal, whatever time zone the driver's machine is in."""
-    return F.lit(moment.isoformat(sep=" ")).cast("timestamp")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chainlytics import storage
+from chainlytics.functions import moment
 from chainlytics.operators.changes import latest_by_key, merge
 from chainlytics.schemas import BLOCKS, MEMPOOL_STATE
 
@@ -95,10 +96,10 @@ def read_range(
 ) -> DataFrame:
     """Rows with ``start <= time <= end`` of a table sliced by ``time``. A filter on the time alone
     reads every slice, so the matching filter on the slice column is added."""
-    rows = read_slices(spark, table).where(F.col(time) >= start)
+    rows = read_slices(spark, table).where(F.col(time) >= moment(start))
     rows = rows.where(F.col(table.slice_column) >= table.unit.of(start))
     if end is not None:
-        rows = rows.where(F.col(time) <= end).where(F.col(table.slice_column) <= table.unit.of(end))
+        rows = rows.where(F.col(time) <= moment(end)).where(F.col(table.slice_column) <= table.unit.of(end))
     return rows.select(*table.columns.names)
 
 

@@ -131,8 +131,8 @@ def policy_stream(
     spark = changes.sparkSession
 
     def apply(_: DataFrame, __: int) -> None:
-        moment = now() if now else datetime.now(timezone.utc).replace(tzinfo=None)
-        rollup_store.run_policy(spark, rollup, policy, moment)
+        at = now() if now else datetime.now(timezone.utc).replace(tzinfo=None)
+        rollup_store.run_policy(spark, rollup, policy, at)
 
     return _start(changes, apply, checkpoint, trigger or every(policy.schedule))
 

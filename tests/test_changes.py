@@ -86,6 +86,20 @@ def files(spark, path):
     return spark.read.format("binaryFile").load(path).select("path", "modificationTime").collect()
 
 
+def test_hour_slices(spark, root):
+    from chainlytics.schemas import BLOCKS
+
+    table = tables.KeyedTable.by_time(f"{root}/hours", BLOCKS, ("timestamp", "hash"), "timestamp", tables.HOUR)
+    tables.create(spark, table)
+    later = datetime(2024, 1, 1, 11, 30)
+    tables.upsert(table, batch(spark, BLOCK, ("b", later, 1, 1, 2, 1, "block")))
+    tables.upsert(table, batch(spark, ("b", later, 4, 1, 2, 1, "block")))
+    assert stored(spark, table) == [("a", T1, 7, 6, 1), ("b", later, 4, 1, 2)]
+    found = tables.read_range(spark, table, "timestamp", datetime(2024, 1, 1, 11), later)
+    assert [r["hash"] for r in found.collect()] == ["b"]
+    assert storage.exists(spark, f"{table.path}/hour=2024-01-01-11")
+
+
 def test_null_keys_are_refused(spark, table):
     with pytest.raises(ValueError):
         tables.upsert(table, batch(spark, ("a", None, 1, 1, 1, 1, "block")))

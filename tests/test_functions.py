@@ -30,6 +30,28 @@ def test_time_bucket(spark, text, width, start):
         assert found.select(F.col("b").cast("string")).first()[0] == str(start)
 
 
+@pytest.mark.parametrize("width", ["1 day", "1 hour", "5 minutes", "1 week", "2 weeks", "7 hours"])
+def test_sql_buckets_are_the_same(spark, width):
+    fn.register_sql(spark)
+    df = spark.sql("SELECT timestamp_micros(id * 12345678901234 - 99999999999999) AS t FROM range(300)")
+    df.createOrReplaceTempView("moments")
+    found = spark.sql(f"SELECT t, time_bucket('{width}', t) AS b FROM moments")
+    assert sorted(found.collect()) == sorted(df.select("t", fn.time_bucket("t", width).alias("b")).collect())
+    assert "_bucket" not in found._jdf.queryExecution().optimizedPlan().toString()  # put in, not called
+
+
+def test_literals_are_utc_on_any_machine(spark, monkeypatch):
+    import time
+
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    try:
+        assert one(spark, fn.moment(datetime(2024, 1, 1, 5)).cast("string")) == "2024-01-01 05:00:00"
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+
+
 def test_months_are_no_buckets():
     with pytest.raises(ValueError):
         fn.time_bucket("t", "1 month")
