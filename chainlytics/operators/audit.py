@@ -7,51 +7,48 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chainlytics.session import workspace, written
+
 MATCHED, ADDED, MISSING = "matches", "added", "missing"
+LONGEST_LIST = 10_000
+PAIR = ("block", "txid")
 
 
-def matches(actual: DataFrame, predicted: DataFrame, keys: Sequence[str] = ("block", "txid")) -> DataFrame:
-    """Set intersection. As in the two differences below, copies are dropped map-side before the
-    join, so a transaction listed very often is one row when it meets the other side."""
-    return _compare(actual, predicted, keys, "left_semi")
+def _sides(actual: DataFrame, predicted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per distinct key: how often the mined side lists it, and its status.
 
+    Both sides go through one shuffle on the whole key and are counted map-side first, so copies of
+    one transaction never travel and a hot block is spread over its transactions. NULL is a key like
+    any other."""
+    both = actual.select(*keys, F.lit(1).alias("mined"), F.lit(0).alias("foreseen")).unionAll(
+        predicted.select(*keys, F.lit(0).alias("mined"), F.lit(1).alias("foreseen"))
+    )
+    status = F.when(F.col("listed") == 0, MISSING).when(F.col("foreseen") == 1, MATCHED).otherwise(ADDED)
+    return (
+        both.groupBy(*keys)
+        .agg(F.sum("mined").alias("listed"), F.max("foreseen").alias("foreseen"))
+        .select(*keys, status.alias("status"), "listed")
+    )
 
-def added(actual: DataFrame, predicted: DataFrame, keys: Sequence[str] = ("block", "txid")) -> DataFrame:
-    """Mined but not predicted."""
-    return _compare(actual, predicted, keys, "left_anti")
 
+def matches(actual: DataFrame, predicted: DataFrame, keys: Sequence[str] = PAIR) -> DataFrame:
+    """Predicted and mined: the intersection of two sets."""
+    return _sides(actual, predicted, keys).where(F.col("status") == MATCHED).select(*keys)
 
-def missing(actual: DataFrame, predicted: DataFrame, keys: Sequence[str] = ("block", "txid")) -> DataFrame:
-    """Predicted but not mined."""
-    return added(predicted, actual, keys)
 
+def added(actual: DataFrame, predicted: DataFrame, keys: Sequence[str] = PAIR) -> DataFrame:
+    """Mined but not predicted."""
+    return _sides(actual, predicted, keys).where(F.col("status") == ADDED).select(*keys)
 
-def _compare(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    right = right.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    return left.select(*keys).distinct().join(right, same, how)
 
+def missing(actual: DataFrame, predicted: DataFrame, keys: Sequence[str] = PAIR) -> DataFrame:
+    """Predicted but not mined."""
+    return _sides(actual, predicted, keys).where(F.col("status") == MISSING).select(*keys)
 
-def audit_status(actual: DataFrame, predicted: DataFrame, block: str = "block") -> DataFrame:
-    """One row per distinct (block, txid) with its status and how often the block lists it.
 
-    Both sides go through one shuffle on (block, txid) and are counted map-side first, so copies
-    of one transaction never travel and a hot block is spread over its transactions."""
-    sides = actual.select(block, "txid", F.lit(1).alias("mined"), F.lit(0).alias("foreseen")).unionAll(
-        predicted.select(block, "txid", F.lit(0).alias("mined"), F.lit(1).alias("foreseen"))
-    )
-    return (
-        sides.groupBy(block, "txid")
-        .agg(F.sum("mined").alias("listed"), F.max("foreseen").alias("foreseen"))
-        .select(
-            block,
-            "txid",
-            F.when(F.col("listed") == 0, MISSING).when(F.col("foreseen") == 1, MATCHED).otherwise(ADDED).alias(
-                "status"
-            ),
-            "listed",
-        )
-    )
+def audit_status(actual: DataFrame, predicted: DataFrame, block: str = "block") -> DataFrame:
+    """One row per distinct (block, txid) with its status and how often the block lists it."""
+    return _sides(actual, predicted, (block, "txid"))
 
 
 def audit_summary(actual: DataFrame, predicted: DataFrame, block: str = "block") -> DataFrame:
@@ -73,16 +70,28 @@ def audit_summary(actual: DataFrame, predicted: DataFrame, block: str = "block")
 
 
 def audit_lists(
-    actual: DataFrame, predicted: DataFrame, block: str = "block", shard_digits: int = 1
+    actual: DataFrame, predicted: DataFrame, block: str = "block", shard_digits: int | None = None
 ) -> DataFrame:
     """Sorted transaction lists per block and status.
 
     A list is cut into 16^digits shards by the first hex digits of the transaction's SHA-256, so
-    no row has to hold a whole hot block; the shards of a status together are its full list.
-    Raise ``shard_digits`` with block size. :func:`audit_status` is the unsharded long form."""
+    no row has to hold a whole hot block; the shards of a status together are its full list. Unless
+    given, the digits follow the largest list there is, for shards of some 10,000 transactions; that
+    count runs right away. :func:`audit_status` is the unsharded long form."""
+    status = audit_status(actual, predicted, block)
+    if shard_digits is None:
+        status = written(status, workspace(actual.sparkSession, "status"))
+        sizes = status.groupBy(block, "status").count()
+        shard_digits = digits_for(sizes.agg(F.max("count")).first()[0] or 0)
     shard = F.substring(F.sha2(F.col("txid").cast("binary"), 256), 1, shard_digits)
-    return (
-        audit_status(actual, predicted, block)
-        .groupBy(block, "status", shard.alias("shard"))
-        .agg(F.sort_array(F.collect_list("txid")).alias("txids"))
+    return status.groupBy(block, "status", shard.alias("shard")).agg(
+        F.sort_array(F.collect_list("txid")).alias("txids")
     )
+
+
+def digits_for(largest: int) -> int:
+    """Hex digits, at least one, that cut ``largest`` evenly hashed entries to lists of bounded length."""
+    digits = 1
+    while largest > LONGEST_LIST * 16**digits:
+        digits += 1
+    return digits
