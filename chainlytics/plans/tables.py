@@ -117,7 +117,7 @@ def publish(rows: DataFrame, table: KeyedTable, may_empty: Sequence = ()) -> Non
     touched slices: it packs each into files of the advisory size, so small batches do not pile up
     small files, and it splits a hot slice over tasks."""
     spark = rows.sparkSession
-    rows.hint("rebalance", table.slice_column).write.mode("overwrite").parquet(table.staging)
+    _packed(rows, table).write.mode("overwrite").parquet(table.staging)
     filled = _slices(spark.read.schema(table.stored).parquet(table.staging), table) if may_empty else []
     finish_publish(spark, table)
     for emptied in set(may_empty) - set(filled):
@@ -128,15 +128,23 @@ def finish_publish(spark: SparkSession, table: KeyedTable) -> None:
     """Copy a completely staged change into the table, if there is one. Safe to repeat."""
     if storage.complete(spark, table.staging):
         staged = spark.read.schema(table.stored).parquet(table.staging)
-        (
-            staged.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(table.slice_column)
-            .parquet(table.path)
-        )
+        _replace_slices(staged, table)
         storage.drop(spark, table.staging)
 
 
+def _packed(rows: DataFrame, table: KeyedTable) -> DataFrame:
+    return rows.hint("rebalance", table.slice_column)
+
+
+def _replace_slices(rows: DataFrame, table: KeyedTable) -> None:
+    (
+        rows.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(table.slice_column)
+        .parquet(table.path)
+    )
+
+
 def upsert(
     table: KeyedTable, changes: DataFrame, seq: str = "seq", given: Mapping[str, Column] | None = None
 ) -> None:
@@ -146,23 +154,32 @@ def upsert(
     same changes again gives the same table. One writer at a time per table.
 
     Changes are reduced to one row per key and written out, so that Spark knows their size for the
-    join and never computes them twice. Only the slices they touch are read and rewritten."""
+    join and never computes them twice. Only the slices they touch are read and rewritten. Slices
+    that are new hold nothing to merge with or to lose: they are written straight away, which makes
+    a first load or a backfill one write without a join."""
+    spark = changes.sparkSession
     latest = _land(latest_by_key(changes, table.keys, table.values, seq, given, flags=True), table)
-    touched, stored = _affected(latest, table)
-    if touched:
+    known, new = _split(latest, table)
+    if new:
+        first = latest.where(F.col(table.slice_column).isin(new)).select(*table.stored.names)
+        _replace_slices(_packed(first, table), table)
+    if known:
+        later = latest.where(F.col(table.slice_column).isin(known))
         keys = [*table.keys, table.slice_column]
-        publish(merge(stored, latest, keys, table.values).select(*table.stored.names), table)
-    storage.drop(changes.sparkSession, table.incoming)
+        merged = merge(_stored(spark, table, known), later, keys, table.values)
+        publish(merged.select(*table.stored.names), table)
+    storage.drop(spark, table.incoming)
 
 
 def delete(table: KeyedTable, removed: DataFrame) -> None:
     """Remove rows by key. Keys that are not stored are ignored."""
+    spark = removed.sparkSession
     gone = _land(removed.select(*table.keys).distinct(), table)
-    touched, stored = _affected(gone, table)
-    if touched:
-        kept = stored.join(gone, [*table.keys, table.slice_column], "left_anti")
-        publish(kept.select(*table.stored.names), table, touched)
-    storage.drop(removed.sparkSession, table.incoming)
+    known, _ = _split(gone, table)
+    if known:
+        kept = _stored(spark, table, known).join(gone, [*table.keys, table.slice_column], "left_anti")
+        publish(kept.select(*table.stored.names), table, known)
+    storage.drop(spark, table.incoming)
 
 
 def _land(batch: DataFrame, table: KeyedTable) -> DataFrame:
@@ -173,12 +190,18 @@ def _land(batch: DataFrame, table: KeyedTable) -> DataFrame:
     return spark.read.schema(batch.schema).parquet(table.incoming)
 
 
-def _affected(batch: DataFrame, table: KeyedTable) -> tuple[list, DataFrame]:
-    """The slices a batch touches, and the stored rows of them."""
+def _split(batch: DataFrame, table: KeyedTable) -> tuple[list, list]:
+    """The slices a batch touches: those the table has, and new ones."""
     touched = _slices(batch, table)
     if None in touched:
         raise ValueError(f"{table.path}: key columns {table.keys} must not be NULL")
-    return touched, read_slices(batch.sparkSession, table).where(F.col(table.slice_column).isin(touched))
+    folders = storage.children(batch.sparkSession, table.path)
+    known = [value for value in touched if f"{table.slice_column}={value}" in folders]
+    return known, [value for value in touched if value not in known]
+
+
+def _stored(spark: SparkSession, table: KeyedTable, slices: list) -> DataFrame:
+    return read_slices(spark, table).where(F.col(table.slice_column).isin(slices))
 
 
 def _slices(df: DataFrame, table: KeyedTable) -> list:

@@ -16,6 +16,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return file_system.exists(target)
 
 
+def children(spark: SparkSession, path: str) -> set[str]:
+    """Names directly under a folder."""
+    file_system, target = _path(spark, path)
+    return {entry.getPath().getName() for entry in file_system.listStatus(target)}
+
+
 def complete(spark: SparkSession, path: str) -> bool:
     """True when a Spark write to ``path`` was committed."""
     return exists(spark, f"{path}/_SUCCESS")

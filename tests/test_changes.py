@@ -86,6 +86,12 @@ def files(spark, path):
     return spark.read.format("binaryFile").load(path).select("path", "modificationTime").collect()
 
 
+def test_a_batch_with_a_known_and_a_new_day(spark, table):
+    tables.upsert(table, batch(spark, BLOCK))
+    tables.upsert(table, batch(spark, ("a", T1, 8, 6, 1, 3, "block"), ("b", T2, 1, 1, 2, 1, "block")))
+    assert stored(spark, table) == [("a", T1, 8, 6, 1), ("b", T2, 1, 1, 2)]
+
+
 def test_hour_slices(spark, root):
     from chainlytics.schemas import BLOCKS
 
