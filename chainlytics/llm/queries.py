@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from chainlytics.llm import urls
+from chainlytics.llm import tokens, urls
 
 QUERIES = {
+    "op3_token_files": tokens.op3_token_files,
     "op7_url_filter": urls.op7_url_filter,
 }
 
