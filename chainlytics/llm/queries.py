@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from chainlytics.llm import tokens, urls
+from chainlytics.llm import search, tokens, urls
 
 QUERIES = {
     "op3_token_files": tokens.op3_token_files,
     "op7_url_filter": urls.op7_url_filter,
+    "op10_top_k": search.op10_top_k,
 }
 
 ORACLES = {
     "op7_url_filter": urls.ORACLE,
+    "op10_top_k": search.ORACLE,
 }
