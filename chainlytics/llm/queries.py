@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from chainlytics.llm import search, tokens, urls
+from chainlytics.llm import quality, search, tokens, urls
 
 QUERIES = {
     "op3_token_files": tokens.op3_token_files,
     "op7_url_filter": urls.op7_url_filter,
+    "op8_quality": quality.op8_quality,
     "op10_top_k": search.op10_top_k,
 }
 
