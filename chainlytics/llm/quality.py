@@ -221,7 +221,7 @@ def _calibrate(network: Network, texts: list[bytes], labels: np.ndarray) -> None
 def labelled(docs: DataFrame, labels: DataFrame, label: str, held_out, sample: int = SAMPLE) -> tuple[list[bytes], np.ndarray]:
     """Texts and labels to train on: of each class the ``sample`` rows with the smallest hash of their id, none held out.
 
-    This is the bounded sample the classifier is fitted on. Labels that are neither 0 nor 1 rows without text
+    This is the bounded sample the classifier is fitted on. Labels that are neither 0 nor 1, rows without text
     and rows with more than ``LONGEST`` characters are left out; a document labelled twice counts for each label."""
     spark = docs.sparkSession
     known = labels.select("doc_id", F.col(label).cast("int").alias("label")).where(~held_out(F.col("doc_id"))).distinct()
