@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from chainlytics.llm import quality, search, tokens, toxicity, urls
+from chainlytics.llm import language, quality, search, tokens, toxicity, urls
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
+    "op2_language_model": language.op2_language_model,
     "op3_token_files": tokens.op3_token_files,
     "op7_url_filter": urls.op7_url_filter,
     "op8_quality": quality.op8_quality,
