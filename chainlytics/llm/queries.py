@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from chainlytics.llm import language, quality, search, tokens, toxicity, urls
+from chainlytics.llm import jaccard, language, quality, search, tokens, toxicity, urls
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_token_files": tokens.op3_token_files,
     "op7_url_filter": urls.op7_url_filter,
     "op8_quality": quality.op8_quality,
+    "op9_jaccard_join": jaccard.op9_jaccard_join,
     "op10_top_k": search.op10_top_k,
 }
 
