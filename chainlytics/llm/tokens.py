@@ -11,11 +11,11 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -23,15 +23,39 @@ from chainlytics.llm.arrays import parts
 from chainlytics.llm.tables import table
 from chainlytics.session import shuffle_width, workspace
 
-#: The split pattern of the byte-level vocabulary.
-SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+#: Letters, numbers and white space up to U+017F; no Unicode version changes their classes.
+LETTER, NUMBER, SPACE = r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u017f", r"0-9\xb2\xb3\xb9\xbc-\xbe", r"\t-\r \x85\xa0"
 
-#: Characters whose classes no Unicode version changes; a text with others, or with what may be a special token, is
-#: handed to the tokenizer whole.
-PLAIN = re.compile(r"[^\x00-ɏ]|<\|")
+#: The split pattern of the byte-level vocabulary for such characters. Its alternatives exclude each other by their first
+#: characters, so the most frequent one comes first.
+SPLIT = re.compile(rf" ?[{LETTER}]+| ?[{NUMBER}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[^{SPACE}{LETTER}{NUMBER}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 
-#: Longest piece, and most pieces, that a task keeps the ids of; longer ones are encoded each time.
-MEMO_CHARS, MEMO_PIECES = 48, 400_000
+OTHER = re.compile("[^\x00-\u017f]")
+
+
+def plain(text: str) -> bool:
+    """True if SPLIT holds for a text and it has nothing that may be a special token; others go to the tokenizer whole."""
+    if "<|" in text:
+        return False
+    if text.isascii():
+        return True
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return OTHER.search(text) is None
+    return True
+
+
+def byte_characters() -> dict[int, int]:
+    """The character that stands for each byte in a byte-level vocabulary: printable ones stand for themselves, the others
+    follow from U+0100 on."""
+    same = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in same]
+    return {b: b for b in same} | {b: 256 + k for k, b in enumerate(others)}
+
+
+#: Longest piece that a task keeps the ids of, and most pieces of each of the two generations it keeps.
+MEMO_CHARS, MEMO_PIECES = 48, 250_000
 
 #: Ids, bytes: an ORC stripe and the rows a row index entry and a Bloom filter stand for.
 STRIPE_BYTES, INDEX_ROWS = 64 << 20, 1_000
@@ -40,19 +64,24 @@ STORED = "doc_id bigint, ids array<int>, n_tokens bigint"
 
 
 class Memo(dict):
-    """Piece -> its ids as little-endian 32-bit integers. Full, it starts anew."""
+    """Piece -> its ids as little-endian 32-bit integers, by the tokenizer's model. When full, what has not been asked for
+    since the last time it was full is forgotten."""
 
     def __init__(self, tokenizer):
         super().__init__()
-        self.tokenizer = tokenizer
+        self.tokenizer, self.model, self.older = tokenizer, tokenizer.model, {}
+        self.characters = byte_characters()
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self.whole(piece)
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = array("I", [t.id for t in self.model.tokenize(piece.encode("utf-8").decode("latin-1").translate(self.characters))]).tobytes()
         if len(piece) <= MEMO_CHARS:
             if len(self) >= MEMO_PIECES:
+                self.older = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
@@ -71,17 +100,27 @@ def load(path: str):
     return tokenizer
 
 
+#: A worker process keeps its tokenizers and memos from task to task.
+_memos: dict[str, Memo] = {}
+
+
+def memo_of(path: str) -> Memo:
+    if path not in _memos:
+        _memos[path] = Memo(load(path))
+    return _memos[path]
+
+
 def encode_batches(batches: Iterator[pa.RecordBatch], path: str, end_id: int | None) -> Iterator[pa.RecordBatch]:
     """(doc_id, text) to (doc_id, ids, n_tokens). A text's pieces are what the tokenizer splits it into, and each distinct
     piece is encoded by the tokenizer once, so a text costs a lookup a word."""
-    memo = Memo(load(path))
+    memo = memo_of(path)
     end = b"" if end_id is None else np.array([end_id], dtype="<u4").tobytes()
     for batch in batches:
         for rows, _, _ in parts(batch):
             found = []
             for text in rows.column("text").to_pylist():
                 text = text or ""
-                found.append((memo.whole(text) if PLAIN.search(text) else b"".join(map(memo.__getitem__, SPLIT.findall(text)))) + end)
+                found.append((b"".join(map(memo.__getitem__, SPLIT.findall(text))) if plain(text) else memo.whole(text)) + end)
             sizes = np.array([len(x) // 4 for x in found], dtype=np.int64)
             flat = pa.array(np.frombuffer(b"".join(found), dtype=np.int32), type=pa.int32())
             bounds = pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32))
