@@ -252,17 +252,28 @@ def score(docs: DataFrame, network: Network) -> DataFrame:
     return docs.select(*[f"`{c}`" for c in keep]).mapInArrow(lambda it: score_batches(it, shared.value, keep), f"{fields}, score double")
 
 
+def _accepted(batches: Iterator[pa.RecordBatch], network: Network, cut: float) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for rows, data, bounds in parts(batch):
+            yield rows.filter(pa.array(probabilities(data, bounds, network) >= cut))
+
+
+def accepted(docs: DataFrame, network: Network, cut: float = CUT) -> DataFrame:
+    """The rows of ``docs`` whose text is of good quality with probability ``cut`` at least; all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(network)
+    return docs.mapInArrow(lambda it: _accepted(it, shared.value, cut), docs.schema)
+
+
 def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def fitted(spark: SparkSession, folder: str) -> Network:
-    texts, labels = labelled(table(spark, folder, "documents"), table(spark, folder, "labels"), "quality", held_out)
-    return train(texts, labels)
+def fitted(docs: DataFrame, labels: DataFrame) -> Network:
+    return train(*labelled(docs, labels, "quality", held_out))
 
 
 def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Quality of every document."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    scored = score(docs, fitted(spark, folder))
+    scored = score(docs, fitted(docs, table(spark, folder, "labels")))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from chainlytics.llm import jaccard, language, quality, search, tokens, toxicity, urls
+from chainlytics.llm import bpe, jaccard, language, leaks, quality, repeats, search, tokens, toxicity, urls
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
     "op2_language_model": language.op2_language_model,
     "op3_token_files": tokens.op3_token_files,
+    "op4_decontaminate": leaks.op4_decontaminate,
+    "op5_bpe": bpe.op5_bpe,
+    "op6_repeats": repeats.op6_repeats,
     "op7_url_filter": urls.op7_url_filter,
     "op8_quality": quality.op8_quality,
     "op9_jaccard_join": jaccard.op9_jaccard_join,
