@@ -133,16 +133,17 @@ def _windows(texts: list[bytes], labels: np.ndarray, rng) -> tuple[np.ndarray, n
     return np.array(rows).reshape(-1, size + WIDTH - 1 + LAGS), np.array(marks, dtype=np.float32), rng
 
 
-def train(texts: list[bytes], labels: np.ndarray, seed: int = 11, rounds: int = 6) -> Network:
-    """Fit by Adam on the cross entropy of single chunks, then scale the texts' mean logits to probabilities.
+def train(texts: list[bytes], labels: np.ndarray, share: float | None = None, seed: int = 11, rounds: int = 6) -> Network:
+    """Fit by Adam on the cross entropy of single chunks, then scale the texts' mean logits to probabilities for a share of
+    label 1 as given (default: as in the labels).
 
     Without both labels among the texts the network gives their share of label 1 to every text (0.5 without texts)."""
     network = Network(seed)
     labels = np.asarray(labels, dtype=np.float32)
     if len(labels) == 0 or labels.min() == labels.max():
         network.scale = 0.0
-        share = (labels.sum() + 0.5) / (len(labels) + 1)
-        network.shift = float(np.log(share / (1 - share)))
+        only = (labels.sum() + 0.5) / (len(labels) + 1)
+        network.shift = float(np.log(only / (1 - only)))
         return network
     rng = np.random.default_rng(seed)
     pieces, marks, _ = _windows(texts, labels, rng)
@@ -167,7 +168,7 @@ def train(texts: list[bytes], labels: np.ndarray, seed: int = 11, rounds: int =
                 v *= 0.999
                 v += 0.001 * g * g
                 w -= 0.004 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-7)
-    _calibrate(network, texts, labels)
+    _calibrate(network, texts, labels, float(labels.mean()) if share is None else share)
     return network
 
 
@@ -199,14 +200,14 @@ def _gradients(net: Network, pieces: np.ndarray, lags: np.ndarray, marks: np.nda
     return [byte, filters, pooled_back.sum(axis=0), features.T @ back, back.sum(axis=0), after.T @ slope, np.array([slope.sum()], dtype=np.float32)]
 
 
-def _calibrate(network: Network, texts: list[bytes], labels: np.ndarray) -> None:
-    """Scale and shift of the logits by logistic regression on the texts, each class with equal weight."""
+def _calibrate(network: Network, texts: list[bytes], labels: np.ndarray, share: float) -> None:
+    """Scale and shift of the logits by logistic regression on the texts, classes weighted as they are in the corpus."""
     logits = []
     for raw in texts:
         features, _ = chunk_features(np.frombuffer(raw, dtype=np.uint8), np.array([0, len(raw)]), network)
         logits.append(network.logits(features).mean())
     x, y = np.array(logits, dtype=np.float64), labels.astype(np.float64)
-    w = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
+    w = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))
     scale, shift = 1.0, 0.0
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(scale * x + shift, -30, 30)))
@@ -218,13 +219,14 @@ def _calibrate(network: Network, texts: list[bytes], labels: np.ndarray) -> None
     network.scale, network.shift = max(scale, 0.05), shift
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str, held_out, sample: int = SAMPLE) -> tuple[list[bytes], np.ndarray]:
-    """Texts and labels to train on: of each class the ``sample`` rows with the smallest hash of their id, none held out.
+def labelled(docs: DataFrame, labels: DataFrame, label: str, held_out, sample: int = SAMPLE) -> tuple[list[bytes], np.ndarray, float | None]:
+    """Texts and labels to train on, and the share of label 1 among all that may be learned from: of each class the ``sample`` rows with the smallest hash of their id, none held out.
 
     This is the bounded sample the classifier is fitted on. Labels that are neither 0 nor 1, rows without text
     and rows with more than ``LONGEST`` characters are left out; a document labelled twice counts for each label."""
     spark = docs.sparkSession
     known = labels.select("doc_id", F.col(label).cast("int").alias("label")).where(~held_out(F.col("doc_id"))).distinct()
+    counts = {r["label"]: r["count"] for r in known.where("label in (0, 1)").groupBy("label").count().collect()}
     picked = None
     for value in (0, 1):
         own = known.where(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
@@ -232,7 +234,8 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, held_out, sample: i
     chosen = spark.createDataFrame([tuple(r) for r in picked.collect()], "doc_id bigint, label int")
     rows = docs.where(F.length("text") <= LONGEST).select("doc_id", "text").join(F.broadcast(chosen), "doc_id").orderBy("doc_id", "label", "text").limit(4 * sample)
     found = [(r["text"].encode("utf-8"), r["label"]) for r in rows.toLocalIterator()]
-    return [t for t, _ in found], np.array([y for _, y in found], dtype=np.float32)
+    share = counts[1] / (counts[0] + counts[1]) if len(counts) == 2 else None
+    return [t for t, _ in found], np.array([y for _, y in found], dtype=np.float32), share
 
 
 def score_batches(batches: Iterator[pa.RecordBatch], network: Network, keep: list[str]) -> Iterator[pa.RecordBatch]:

@@ -205,13 +205,13 @@ def _solve(x: np.ndarray, y: np.ndarray, cost: np.ndarray) -> np.ndarray:
     return w
 
 
-def train(texts: list[bytes], labels: np.ndarray, seed: int = 5) -> Machine:
-    """Fit the machine; without both labels every text gets the share of label 1 (0.5 without texts)."""
+def train(texts: list[bytes], labels: np.ndarray, share: float | None = None, seed: int = 5) -> Machine:
+    """Fit the machine, and its probabilities for a share of label 1 as given (default: as in the labels). Without both labels every text gets that of the labels (0.5 without texts)."""
     machine = Machine()
     labels = np.asarray(labels, dtype=np.float64)
     if len(labels) == 0 or labels.min() == labels.max():
-        share = (labels.sum() + 0.5) / (len(labels) + 1)
-        machine.scale, machine.shift = 0.0, float(np.log(share / (1 - share)))
+        only = (labels.sum() + 0.5) / (len(labels) + 1)
+        machine.scale, machine.shift = 0.0, float(np.log(only / (1 - only)))
         return machine
     rng = np.random.default_rng(seed)
     data = np.frombuffer(b"".join(texts), dtype=np.uint8)
@@ -240,7 +240,15 @@ def train(texts: list[bytes], labels: np.ndarray, seed: int = 5) -> Machine:
         return t_word[at[np.r_[True, t_text[at][1:] != t_text[at][:-1]]]]
 
     chosen = best(merit)
-    positive = np.unique(chosen[merit[chosen] > 0])
+    # Copies of a text are one witness: texts are taken together by the smallest hash of their words.
+    witness = np.repeat(np.minimum.reduceat(rng.permutation(n)[t_word], edges), np.diff(np.r_[edges, len(t_word)]))
+    seen = np.bincount(np.unique(witness * n + t_word) % n, minlength=n)
+    rate = labels.mean()
+    uses = np.bincount(np.minimum(in_toxic + in_clean, 60), minlength=61)[::-1].cumsum()[::-1]
+    # So many witnesses that about one word would have them by chance.
+    least = next((k for k in range(2, 60) if rate**k * uses[k] <= 1), 60)
+    shown = np.flatnonzero((odds > 8) & (seen >= least))
+    positive = np.unique(np.r_[shown, chosen[merit[chosen] > 0]])
     if len(positive) == 0:
         positive = np.unique(best(odds))
     hard = np.zeros(0, dtype=np.int64)
@@ -270,20 +278,20 @@ def train(texts: list[bytes], labels: np.ndarray, seed: int = 5) -> Machine:
         machine.weights[0] = 0
         machine.offset = float(3.0 * w[-1])
         margin = folded(codes, starts[:n], ends[:n], machine.weights) + machine.offset
-        positive = np.unique(np.r_[positive[in_clean[positive] == 0], best(np.where(in_clean > 0.02 * (1 - labels).sum(), -9, margin))])
-        positive = positive[margin[positive] > -0.5]
+        positive = np.r_[positive[in_clean[positive] == 0], best(np.where(in_clean > 0.02 * (1 - labels).sum(), -9, margin))]
+        positive = np.unique(np.r_[shown, positive[margin[positive] > -0.5]])
         if len(positive) == 0:
             positive = np.unique(best(margin))
         hard = clean_words[np.argsort(-margin[clean_words])[:2_000]]
     top = np.full(len(texts), machine.floor)
     np.maximum.at(top, text, margin[word])
-    _calibrate(machine, top, labels)
+    _calibrate(machine, top, labels, labels.mean() if share is None else share)
     return machine
 
 
-def _calibrate(machine: Machine, top: np.ndarray, labels: np.ndarray) -> None:
-    """Logistic regression of the label on the worst margin, each class with equal weight."""
-    weight = np.where(labels == 1, 0.5 / labels.mean(), 0.5 / (1 - labels.mean()))
+def _calibrate(machine: Machine, top: np.ndarray, labels: np.ndarray, share: float) -> None:
+    """Logistic regression of the label on the worst margin, classes weighted as they are in the corpus."""
+    weight = np.where(labels == 1, share / labels.mean(), (1 - share) / (1 - labels.mean()))
     scale, shift = 1.0, 0.0
     for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(scale * top + shift, -30, 30)))
@@ -319,6 +327,5 @@ def held_out(doc_id):
 def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of every document."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    texts, labels = labelled(docs, table(spark, folder, "labels"), "toxic", held_out, SAMPLE)
-    scored = score(docs, train(texts, labels))
+    scored = score(docs, train(*labelled(docs, table(spark, folder, "labels"), "toxic", held_out, SAMPLE)))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"))
