@@ -7,10 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chainlytics.session import workspace, written
-
 MATCHED, ADDED, MISSING = "matches", "added", "missing"
-LONGEST_LIST = 10_000
+SHARD_DIGITS = 1  # hex digits of a list shard
 PAIR = ("block", "txid")
 
 
@@ -70,28 +68,17 @@ def audit_summary(actual: DataFrame, predicted: DataFrame, block: str = "block")
 
 
 def audit_lists(
-    actual: DataFrame, predicted: DataFrame, block: str = "block", shard_digits: int | None = None
+    actual: DataFrame, predicted: DataFrame, block: str = "block", shard_digits: int = SHARD_DIGITS
 ) -> DataFrame:
     """Sorted transaction lists per block and status.
 
     A list is cut into 16^digits shards by the first hex digits of the transaction's SHA-256, so
-    no row has to hold a whole hot block; the shards of a status together are its full list. Unless
-    given, the digits follow the largest list there is, for shards of some 10,000 transactions; that
-    count runs right away. :func:`audit_status` is the unsharded long form."""
+    no row has to hold a whole hot block; the shards of a status together are its full list. One
+    digit suits blocks of up to some 100,000 transactions, each further one 16 times as many.
+    :func:`audit_status` is the unsharded long form."""
     status = audit_status(actual, predicted, block)
-    if shard_digits is None:
-        status = written(status, workspace(actual.sparkSession, "status"))
-        sizes = status.groupBy(block, "status").count()
-        shard_digits = digits_for(sizes.agg(F.max("count")).first()[0] or 0)
     shard = F.substring(F.sha2(F.col("txid").cast("binary"), 256), 1, shard_digits)
     return status.groupBy(block, "status", shard.alias("shard")).agg(
         F.sort_array(F.collect_list("txid")).alias("txids")
     )
 
-
-def digits_for(largest: int) -> int:
-    """Hex digits, at least one, that cut ``largest`` evenly hashed entries to lists of bounded length."""
-    digits = 1
-    while largest > LONGEST_LIST * 16**digits:
-        digits += 1
-    return digits

@@ -61,26 +61,6 @@ def _hop(level: DataFrame, here: str, below: str) -> DataFrame:
     return level.select(F.col("hash").alias(here), F.col("up").alias(below))
 
 
-def walk_short(headers: DataFrame, tip_hash: str, tip_height: int, start_height: int, limit: int = 100) -> DataFrame:
-    """The same walk as a recursive query, one join per step: for the usual gap of a few headers."""
-    steps = tip_height - start_height + 1
-    if steps > limit:
-        raise ValueError(f"{steps} steps: use walk()")
-    near = headers.where(F.col("height").between(start_height, tip_height))
-    return near.sparkSession.sql(
-        f"""
-        WITH RECURSIVE trail(hash, previousblockhash) MAX RECURSION LEVEL {limit + 1} AS (
-            SELECT hash, previousblockhash FROM {{near}} WHERE hash = :tip
-            UNION ALL
-            SELECT n.hash, n.previousblockhash FROM trail JOIN {{near}} n ON n.hash = trail.previousblockhash
-        )
-        SELECT * FROM {{near}} WHERE hash IN (SELECT hash FROM trail)
-        """,
-        args={"tip": tip_hash},
-        near=near,
-    )
-
-
 def process_headers(headers: DataFrame, tips: DataFrame, start_height: int) -> DataFrame:
     """Header rows between ``start_height`` and the first listed tip, without ``nTx``: they land
     before their blocks do. No row where the tip is active. Only the tip's one row is read here."""

@@ -48,6 +48,24 @@ def ranked_by_rate(state: DataFrame, ties: Sequence[str] = ("txid",)) -> DataFra
     return state.withColumn("fee_rate", fee_rate()).orderBy(F.desc("fee_rate"), *ties)
 
 
+def with_rank(state: DataFrame, ties: Sequence[str] = ("txid",)) -> DataFrame:
+    """Every transaction with its fee rate and its rank, from 1 in the order of :func:`ranked_by_rate`.
+
+    The sorted rows are written; ranks then are a row's number in its range plus the rows of the
+    ranges before (one number a range), so no task sees more than a range."""
+    spark = state.sparkSession
+    width = shuffle_width(spark)
+    rated = state.withColumn("fee_rate", fee_rate())
+    order = [F.desc("fee_rate"), *[F.col(t) for t in ties]]
+    spread = rated.repartitionByRange(width, *order).withColumn("_range", F.spark_partition_id())
+    numbered = written(spread.sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()), workspace(spark, "ranks"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = numbered.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    offsets = sizes.select("_range", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    rank = (F.col("_before") + F.col("_at") - F.col("_first") + 1).cast("bigint").alias("rank")
+    return numbered.join(F.broadcast(offsets), "_range").select(*state.columns, "fee_rate", rank)
+
+
 def predict_block(
     state: DataFrame,
     weight_limit: int = BLOCK_WEIGHT_LIMIT,
@@ -66,11 +84,17 @@ def predict_block(
        away and written, as it steers the rest;
     2. running sums over the bands give the band in which a budget runs out; worse bands are
        filtered out in the scan;
-    3. that band may still hold most rows, when they share one rate. Each task keeps only what
-       would fit if its rows were alone - a row within the overall budget is also within the budget
-       of its part, so nothing is lost. No more than limit / lightest weight rows can fit, which
-       lets Spark cut every task's rows before the shuffle;
-    4. what is left is brought together in steps, and is bounded by the budgets, not by the data.
+    3. that band may still hold most rows, when they share one rate. Each part keeps the rows that
+       would fit if its rows were alone, and the first that would not: whatever ends the block is the
+       first misfit of its own part too, so it is still there at the end to stop it. No more than
+       limit / lightest weight rows can fit, which lets Spark cut every task's rows before the
+       shuffle, as far as that number stays below ``windowGroupLimitThreshold`` (see ``configure``);
+       above it the rows of the cut band are shuffled to their parts, which are as many as the
+       session's shuffle partitions;
+    4. what is left is brought together in two steps, and is bounded by the budgets, not by the data.
+
+    ``state`` is read twice, for the bands and for the rows, so it must be a fixed set: a table, or
+    landed files no more of which arrive meanwhile.
     """
     by = list(by)
     spark = state.sparkSession
@@ -94,19 +118,22 @@ def predict_block(
     candidates = rated.join(cut, same) if by else rated.crossJoin(F.broadcast(cut))
     candidates = candidates.where(F.col("_cut").isNull() | (F.col("_band") >= F.col("_cut")))
 
-    def fitting(df: DataFrame, *parts: str) -> DataFrame:
+    def running(df: DataFrame, *parts: str) -> DataFrame:
         order = Window.partitionBy(*by, *parts).orderBy(F.desc("fee_rate"), *ties)
         upto = order.rowsBetween(Window.unboundedPreceding, 0)
-        running = {"_n": F.row_number().over(order), "_w": F.sum("weight").over(upto), "_s": F.sum("sigops").over(upto)}
-        fits = (F.col("_n") <= most) & (F.col("_w") <= weight_limit) & (F.col("_s") <= sigops_limit)
-        return df.withColumns(running).where(fits)
+        sums = {"_n": F.row_number().over(order), "_w": F.sum("weight").over(upto), "_s": F.sum("sigops").over(upto)}
+        return df.withColumns(sums)
+
+    def up_to_the_misfit(df: DataFrame) -> DataFrame:
+        """Rows of a part before which both sums are within the limits."""
+        before = (F.col("_w") - F.col("weight") <= weight_limit) & (F.col("_s") - F.col("sigops") <= sigops_limit)
+        return running(df, "_part").where((F.col("_n") <= most + 1) & before)
 
     # Which part a row falls into does not matter, so parts follow the tasks that read the rows.
     width = shuffle_width(spark)
-    parts = fitting(candidates.withColumn("_part", F.spark_partition_id() % F.lit(width)), "_part")
-    if width > 64:  # many parts: bring them together in two steps, so that no task merges all
-        parts = fitting(parts.withColumn("_part", F.col("_part") % F.lit(isqrt(width))), "_part")
-    block = fitting(parts)
+    parts = up_to_the_misfit(candidates.withColumn("_part", F.spark_partition_id() % F.lit(width)))
+    parts = up_to_the_misfit(parts.withColumn("_part", F.col("_part") % F.lit(isqrt(width))))
+    block = running(parts).where((F.col("_n") <= most) & (F.col("_w") <= weight_limit) & (F.col("_s") <= sigops_limit))
     return block.select(
         *by,
         "txid",

@@ -88,5 +88,5 @@ def drop_table(spark: SparkSession, catalog: Catalog, name: str) -> None:
             del catalog.aliases[alias]
             spark.catalog.dropTempView(alias)
     spark.catalog.dropTempView(name)
-    for path in (table.path, table.staging, table.incoming):
+    for path in (table.path, table.staging, table.incoming, table.ready):
         storage.drop(spark, path)

@@ -55,17 +55,13 @@ class Policy:
 
 def mark(spark: SparkSession, rollup: Rollup) -> datetime | None:
     """The high-water mark (UTC), or None where the rollup was never refreshed."""
-    if not storage.complete(spark, rollup.mark_path):
-        return None
-    text = spark.read.schema("mark string").json(rollup.mark_path).first()["mark"]
-    return datetime.fromisoformat(text)
+    text = storage.read_text(spark, rollup.mark_path)
+    return None if text is None else datetime.fromisoformat(text)
 
 
 def _set_mark(spark: SparkSession, rollup: Rollup, at: datetime) -> None:
     # Lost between delete and write, the mark reads as None: everything is then computed live.
-    spark.createDataFrame([(at.isoformat(),)], "mark string").coalesce(1).write.mode("overwrite").json(
-        rollup.mark_path
-    )
+    storage.write_text(spark, rollup.mark_path, at.isoformat())
 
 
 def read(spark: SparkSession, rollup: Rollup) -> DataFrame:
@@ -123,7 +119,7 @@ def _replace(spark: SparkSession, rollup: Rollup, start: datetime | None, end: d
     fresh = rollup.of(_base_rows(spark, rollup, start, end))
     if start is None:
         kept = tables.read(spark, store).where(F.col("time") >= moment(end))
-        months = [r[0] for r in tables.read_slices(spark, store).select("month").distinct().collect()]
+        months = [name.partition("=")[2] for name in storage.children(spark, store.path) if "=" in name]
     else:
         months = _months(start, end)
         kept = (

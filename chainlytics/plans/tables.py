@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
@@ -15,6 +16,7 @@ from chainlytics.functions import moment
 from chainlytics.operators.changes import latest_by_key, merge
 from chainlytics.schemas import BLOCKS, MEMPOOL_STATE
 
+
 @dataclass(frozen=True)
 class Unit:
     """How rows are cut into slices: column name, its value from the time column, and the same value
@@ -74,6 +76,19 @@ class KeyedTable:
     def incoming(self) -> str:
         return f"{self.path}__incoming"
 
+    @property
+    def ready(self) -> str:
+        """Marks a staged change as complete and names its slices."""
+        return f"{self.path}__ready"
+
+    @property
+    def order(self) -> list[str]:
+        """How rows lie within a file: by slice, then by what slices are derived from."""
+        return [self.slice_column, *self.source.split(", ")]
+
+    def folder(self, value: object) -> str:
+        return f"{self.slice_column}={value}"
+
 
 def create(spark: SparkSession, table: KeyedTable) -> KeyedTable:
     """Make an empty table; an existing one is left as it is."""
@@ -83,8 +98,28 @@ def create(spark: SparkSession, table: KeyedTable) -> KeyedTable:
 
 
 def read_slices(spark: SparkSession, table: KeyedTable) -> DataFrame:
-    """All columns and the slice column."""
-    return spark.read.schema(table.stored).parquet(table.path)
+    """All columns and the slice column. A change that was staged, but not yet published when its
+    writer stopped, is read as if it had been: whole."""
+    rows = spark.read.schema(table.stored).parquet(table.path)
+    change = _ready(spark, table)
+    if change is None:
+        return rows
+    staged = [name for name in change["slices"] if storage.exists(spark, f"{table.staging}/{name}")]
+    covered = [name.partition("=")[2] for name in staged + change["emptied"]]
+    kept = rows.where(~F.col(table.slice_column).cast("string").isin(covered))
+    return kept.unionByName(_folders(spark, table, table.staging, staged)) if staged else kept
+
+
+def _ready(spark: SparkSession, table: KeyedTable) -> dict | None:
+    text = storage.read_text(spark, table.ready)
+    return None if text is None else json.loads(text)
+
+
+def _folders(spark: SparkSession, table: KeyedTable, root: str, names: Sequence[str]) -> DataFrame:
+    """Some slices, by their folders: no other folder is listed, and no list of slices is in the plan."""
+    if not names:
+        return spark.createDataFrame([], table.stored)
+    return spark.read.schema(table.stored).option("basePath", root).parquet(*[f"{root}/{name}" for name in names])
 
 
 def read(spark: SparkSession, table: KeyedTable) -> DataFrame:
@@ -111,38 +146,37 @@ def publish(rows: DataFrame, table: KeyedTable, may_empty: Sequence = ()) -> Non
     """Make ``rows`` the whole content of every slice they cover, and of the slices ``may_empty``
     even if no row is left for one of those.
 
-    Rows are written in full to a staging folder first and copied from there, replacing slices. A
-    crash before staging is complete leaves the table as it was; a crash later is made good by
-    :func:`finish_publish`, as staging still has every row. ``REBALANCE`` is the one shuffle of the
-    touched slices: it packs each into files of the advisory size, so small batches do not pile up
-    small files, and it splits a hot slice over tasks."""
+    Rows are written once, to a staging folder; a marker then names the staged and the emptied slices,
+    and the folders are moved into the table. A crash before the marker leaves the table as it was; one
+    after it is made good by :func:`finish_publish`, which the next change begins with, and reads take
+    what is still staged into account. ``REBALANCE`` is the one shuffle of the touched slices: it packs
+    each into files of the advisory size, so small batches do not pile up small files, and it splits a
+    hot slice over tasks. While folders are moved, a query that has already been planned may fail
+    on a file that is gone; run it again."""
     spark = rows.sparkSession
-    _packed(rows, table).write.mode("overwrite").parquet(table.staging)
-    filled = _slices(spark.read.schema(table.stored).parquet(table.staging), table) if may_empty else []
     finish_publish(spark, table)
-    for emptied in set(may_empty) - set(filled):
-        storage.drop(spark, f"{table.path}/{table.slice_column}={emptied}")
+    packed = rows.hint("rebalance", table.slice_column).sortWithinPartitions(*table.order)
+    packed.write.mode("overwrite").partitionBy(table.slice_column).parquet(table.staging)
+    staged = {name for name in storage.children(spark, table.staging) if "=" in name}
+    emptied = {table.folder(value) for value in may_empty} - staged
+    storage.write_text(spark, table.ready, json.dumps({"slices": sorted(staged), "emptied": sorted(emptied)}))
+    finish_publish(spark, table)
 
 
 def finish_publish(spark: SparkSession, table: KeyedTable) -> None:
-    """Copy a completely staged change into the table, if there is one. Safe to repeat."""
-    if storage.complete(spark, table.staging):
-        staged = spark.read.schema(table.stored).parquet(table.staging)
-        _replace_slices(staged, table)
-        storage.drop(spark, table.staging)
-
-
-def _packed(rows: DataFrame, table: KeyedTable) -> DataFrame:
-    return rows.hint("rebalance", table.slice_column)
-
-
-def _replace_slices(rows: DataFrame, table: KeyedTable) -> None:
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(table.slice_column)
-        .parquet(table.path)
-    )
+    """Move a completely staged change into the table, if there is one. Safe to repeat after a crash
+    at any of its steps: a slice is either still staged, or in place."""
+    change = _ready(spark, table)
+    if change is None:
+        return
+    for name in change["slices"]:
+        if storage.exists(spark, f"{table.staging}/{name}"):
+            storage.drop(spark, f"{table.path}/{name}")
+            storage.move(spark, f"{table.staging}/{name}", f"{table.path}/{name}")
+    for name in change["emptied"]:
+        storage.drop(spark, f"{table.path}/{name}")
+    storage.drop(spark, table.ready)
+    storage.drop(spark, table.staging)
 
 
 def upsert(
@@ -155,19 +189,17 @@ def upsert(
 
     Changes are reduced to one row per key and written out, so that Spark knows their size for the
     join and never computes them twice. Only the slices they touch are read and rewritten. Slices
-    that are new hold nothing to merge with or to lose: they are written straight away, which makes
-    a first load or a backfill one write without a join."""
+    that are new hold nothing to merge with, which makes a first load or a backfill a write without
+    a join."""
     spark = changes.sparkSession
     latest = _land(latest_by_key(changes, table.keys, table.values, seq, given, flags=True), table)
-    known, new = _split(latest, table)
-    if new:
-        first = latest.where(F.col(table.slice_column).isin(new)).select(*table.stored.names)
-        _replace_slices(_packed(first, table), table)
+    known = _known(latest, table)
+    if known is None:
+        return
     if known:
-        later = latest.where(F.col(table.slice_column).isin(known))
         keys = [*table.keys, table.slice_column]
-        merged = merge(_stored(spark, table, known), later, keys, table.values)
-        publish(merged.select(*table.stored.names), table)
+        latest = merge(_folders(spark, table, table.path, known), latest, keys, table.values)
+    publish(latest.select(*table.stored.names), table)
     storage.drop(spark, table.incoming)
 
 
@@ -175,10 +207,11 @@ def delete(table: KeyedTable, removed: DataFrame) -> None:
     """Remove rows by key. Keys that are not stored are ignored."""
     spark = removed.sparkSession
     gone = _land(removed.select(*table.keys).distinct(), table)
-    known, _ = _split(gone, table)
+    known = _known(gone, table)
     if known:
-        kept = _stored(spark, table, known).join(gone, [*table.keys, table.slice_column], "left_anti")
-        publish(kept.select(*table.stored.names), table, known)
+        stored = _folders(spark, table, table.path, known)
+        kept = stored.join(gone, [*table.keys, table.slice_column], "left_anti")
+        publish(kept.select(*table.stored.names), table, [name.partition("=")[2] for name in known])
     storage.drop(spark, table.incoming)
 
 
@@ -190,24 +223,24 @@ def _land(batch: DataFrame, table: KeyedTable) -> DataFrame:
     return spark.read.schema(batch.schema).parquet(table.incoming)
 
 
-def _split(batch: DataFrame, table: KeyedTable) -> tuple[list, list]:
-    """The slices a batch touches: those the table has, and new ones."""
-    touched = _slices(batch, table)
+def _known(batch: DataFrame, table: KeyedTable) -> list[str] | None:
+    """Folders of the slices that a batch touches and the table has; None for a batch without rows.
+
+    Slices are hours, days or months of the calendar, or a fixed number of shards - never row keys, so
+    the list stays small."""
+    touched = [r[0] for r in batch.select(F.col(table.slice_column).cast("string")).distinct().collect()]
     if None in touched:
         raise ValueError(f"{table.path}: key columns {table.keys} must not be NULL")
-    folders = storage.children(batch.sparkSession, table.path)
-    known = [value for value in touched if f"{table.slice_column}={value}" in folders]
-    return known, [value for value in touched if value not in known]
-
+    if not touched:
+        return None
+    return sorted({table.folder(value) for value in touched} & storage.children(batch.sparkSession, table.path))
 
-def _stored(spark: SparkSession, table: KeyedTable, slices: list) -> DataFrame:
-    return read_slices(spark, table).where(F.col(table.slice_column).isin(slices))
 
-
-def _slices(df: DataFrame, table: KeyedTable) -> list:
-    """Slices with rows: hours, days or months of the calendar, or a fixed number of shards - never
-    row keys, so the list stays small."""
-    return [r[0] for r in df.select(table.slice_column).distinct().collect()]
+def newest(spark: SparkSession, table: KeyedTable) -> DataFrame:
+    """Rows of the newest slice of a table sliced by time: all that a "latest row" needs to open."""
+    finish_publish(spark, table)
+    names = sorted(name for name in storage.children(spark, table.path) if name.startswith(f"{table.slice_column}="))
+    return _folders(spark, table, table.path, names[-1:])
 
 
 def append(rows: DataFrame, path: str) -> None:

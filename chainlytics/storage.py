@@ -1,7 +1,9 @@
-"""Small path helpers that work on every file system Spark can reach."""
+"""Small path helpers that work on every file system Spark can reach, through the Hadoop API of Spark's own session."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -22,11 +24,37 @@ def children(spark: SparkSession, path: str) -> set[str]:
     return {entry.getPath().getName() for entry in file_system.listStatus(target)}
 
 
-def complete(spark: SparkSession, path: str) -> bool:
-    """True when a Spark write to ``path`` was committed."""
-    return exists(spark, f"{path}/_SUCCESS")
-
-
 def drop(spark: SparkSession, path: str) -> None:
     file_system, target = _path(spark, path)
     file_system.delete(target, True)
+
+
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a folder or file; ``to`` must not exist."""
+    file_system, target = _path(spark, path)
+    if not file_system.rename(target, _path(spark, to)[1]):
+        raise OSError(f"cannot move {path} to {to}")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Make ``text`` the content of a small file. It is there as a whole or not at all."""
+    half = f"{path}.{uuid.uuid4().hex}"
+    file_system, target = _path(spark, half)
+    stream = file_system.create(target, True)
+    stream.write(bytearray(text, "utf-8"))
+    stream.close()
+    drop(spark, path)
+    move(spark, half, path)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """Content of a small file, None where there is none."""
+    file_system, target = _path(spark, path)
+    if not file_system.exists(target):
+        return None
+    size = file_system.getFileStatus(target).getLen()
+    stream = file_system.open(target)
+    try:
+        return bytes(stream.readNBytes(size)).decode("utf-8")
+    finally:
+        stream.close()

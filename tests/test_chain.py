@@ -39,7 +39,6 @@ def test_forks_stay_out(spark):
     df = headers(spark, links)
     assert names(chain.walk(df, "m29", 29)) == set(line(30))
     assert names(chain.walk(df, "g9", 9, 4)) == {"g9", "g8", "f7", "m6", "m5", "m4"}
-    assert names(chain.walk_short(df, "g9", 9, 4)) == {"g9", "g8", "f7", "m6", "m5", "m4"}
 
 
 def test_walk_ends_where_a_header_is_missing(spark):
@@ -53,11 +52,6 @@ def test_nothing_above_the_tip(spark):
     assert chain.walk(df, "m3", 3, 4).isEmpty()
 
 
-def test_short_walk_refuses_long_ones(spark):
-    with pytest.raises(ValueError):
-        chain.walk_short(headers(spark, line(3)), "m2", 1000, 0)
-
-
 def test_active_tip_gives_no_headers(spark):
     df = headers(spark, line(5))
     assert chain.process_headers(df, tips(spark, ("m4", 4, "active"), ("m3", 3, "valid-fork")), 0).isEmpty()

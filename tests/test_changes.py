@@ -111,26 +111,84 @@ def test_null_keys_are_refused(spark, table):
         tables.upsert(table, batch(spark, ("a", None, 1, 1, 1, 1, "block")))
 
 
-def test_a_crash_while_publishing_is_made_good(spark, table, monkeypatch):
-    tables.upsert(table, batch(spark, BLOCK))
-    finish = tables.finish_publish
-    calls = []
-
-    def crash(session, t):
-        calls.append(1)
-        if len(calls) == 2:  # the first call looks for leftovers, the second publishes
-            storage.drop(session, f"{t.path}/day=2024-01-01")  # the worst moment: old rows are gone
-            raise RuntimeError("killed")
-        finish(session, t)
-
-    monkeypatch.setattr(tables, "finish_publish", crash)
-    change = batch(spark, ("b", T1, 3, 3, 2, 5, "block"))
-    with pytest.raises(RuntimeError):
-        tables.upsert(table, change)
-    monkeypatch.setattr(tables, "finish_publish", finish)
+class Killed(RuntimeError):
+    pass
+
+
+def crashing(monkeypatch, at):
+    """Let the ``at``-th file-system change from now on fail; returns how many there were."""
+    done = [0]
+    for name in ("drop", "move", "write_text"):
+        real = getattr(storage, name)
+
+        def step(*args, real=real):
+            done[0] += 1
+            if done[0] == at:
+                raise Killed
+            return real(*args)
+
+        monkeypatch.setattr(storage, name, step)
+    return done
+
+
+@pytest.mark.parametrize("at", range(1, 9))
+def test_an_upsert_survives_a_crash_at_every_step(spark, table, monkeypatch, at):
+    tables.upsert(table, batch(spark, BLOCK, ("z", T2, 1, 1, 1, 1, "block")))
+    before = stored(spark, table)
+    change = batch(spark, ("b", T1, 3, 3, 2, 5, "block"), ("z", T2, 9, 9, 9, 5, "block"))
+    after = sorted([("a", T1, 7, 6, 1), ("b", T1, 3, 3, 2), ("z", T2, 9, 9, 9)], key=repr)
+    with monkeypatch.context() as patch:
+        crashing(patch, at)
+        try:
+            tables.upsert(table, change)
+        except Killed:
+            pass
+    assert stored(spark, table) in (before, after)  # a read sees all of the change or nothing
     tables.upsert(table, change)
-    assert stored(spark, table) == [("a", T1, 7, 6, 1), ("b", T1, 3, 3, 2)]
-    assert not storage.exists(spark, table.staging)
+    assert stored(spark, table) == after
+    assert not storage.exists(spark, table.staging) and not storage.exists(spark, table.ready)
+
+
+@pytest.mark.parametrize("at", range(1, 8))
+def test_a_deleted_row_stays_away_after_a_crash(spark, table, monkeypatch, at):
+    tables.upsert(table, batch(spark, BLOCK, ("z", T2, 1, 1, 1, 1, "block")))
+    before = stored(spark, table)
+    with monkeypatch.context() as patch:
+        crashing(patch, at)
+        try:
+            tables.delete(table, batch(spark, BLOCK))  # its day runs empty
+        except Killed:
+            pass
+    seen = stored(spark, table)
+    assert seen in (before, [("z", T2, 1, 1, 1)])
+    tables.upsert(table, batch(spark, ("y", T2, 2, 2, 2, 2, "block")))
+    want = seen + [("y", T2, 2, 2, 2)]
+    assert stored(spark, table) == sorted(want, key=repr)
+
+
+def test_success_markers_may_be_off(spark, table):
+    setting = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set(setting, "false")
+    try:
+        tables.upsert(table, batch(spark, BLOCK))
+        tables.upsert(table, batch(spark, ("a", T1, 8, 8, 8, 9, "block")))
+    finally:
+        conf.unset(setting)
+    assert stored(spark, table) == [("a", T1, 8, 8, 8)]
+
+
+def test_files_have_bounds_of_time_and_are_sorted_by_it(spark, table):
+    from glob import glob
+
+    from pyarrow import parquet
+
+    tables.upsert(table, batch(spark, *[(f"h{i}", T1.replace(minute=i), 1, 1, i, 1, "block") for i in range(50, 0, -1)]))
+    (path,) = glob(f"{table.path}/day=2024-01-01/*.parquet")
+    column = next(c for c in (parquet.ParquetFile(path).metadata.row_group(0).column(k) for k in range(5)) if c.path_in_schema == "timestamp")
+    assert column.statistics.has_min_max and column.statistics.min.minute == 1
+    times = parquet.read_table(path)["timestamp"].to_pylist()
+    assert times == sorted(times)
 
 
 @pytest.mark.parametrize("seed", range(2))
