@@ -9,8 +9,10 @@ from chainlytics.session import workspace, written
 
 
 def candidate_tip(tips: DataFrame) -> DataFrame:
-    """First listed tip, unless it is the active chain already. ``tips`` is one row with the listed
-    ``tips`` array, as the node returns it."""
+    """First listed tip, unless it is the active chain already. ``tips`` has the listed ``tips`` array of
+    a node's reply; of several replies, told apart by ``landed`` and ``file``, the newest counts."""
+    if "landed" in tips.columns:
+        tips = tips.agg(F.max_by("tips", F.struct("landed", "file")).alias("tips"))
     return tips.select(F.get("tips", F.lit(0)).alias("tip")).select("tip.*").where("status <> 'active'")
 
 

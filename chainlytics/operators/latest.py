@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
@@ -10,12 +11,23 @@ from pyspark.sql import functions as F
 from chainlytics.functions import moment
 from chainlytics.operators.rollups import daily_height
 
+SLICE = "day"  # the column that block tables are sliced by
 SNAPSHOT_ROWS = 10  # fixed value: rows a snapshot carries
 
 
-def in_range(df: DataFrame, time: str, start: datetime | Column, end: datetime | Column) -> DataFrame:
-    """Both ends included. Literals are in UTC."""
-    return df.where(F.col(time).between(moment(start), moment(end)))
+def in_range(
+    df: DataFrame, time: str, start: datetime | Column | None = None, end: datetime | Column | None = None
+) -> DataFrame:
+    """Both ends included; an end that is not given is open. Literals are in UTC. On a table sliced by
+    the day of its ``timestamp`` the matching filter on the slices is added."""
+    sliced = SLICE in df.columns and time == "timestamp"
+    if start is not None:
+        df = df.where(F.col(time) >= moment(start))
+        df = df.where(F.col(SLICE) >= moment(start).cast("date")) if sliced else df
+    if end is not None:
+        df = df.where(F.col(time) <= moment(end))
+        df = df.where(F.col(SLICE) <= moment(end).cast("date")) if sliced else df
+    return df
 
 
 def latest(df: DataFrame, by: str, rows: int = SNAPSHOT_ROWS, ties: tuple[str, ...] = ()) -> DataFrame:
@@ -23,6 +35,20 @@ def latest(df: DataFrame, by: str, rows: int = SNAPSHOT_ROWS, ties: tuple[str, .
     return df.orderBy(F.desc_nulls_first(by), *[F.desc_nulls_first(t) for t in ties]).limit(rows)
 
 
+def latest_in_slices(df: DataFrame, by: str, rows: int = SNAPSHOT_ROWS, ties: tuple[str, ...] = (), slices: str = SLICE) -> DataFrame:
+    """:func:`latest` of a sliced table: the order columns tell which slices hold the rows, and only
+    those are then read with all columns."""
+    ahead = latest(df.select(by, *[t for t in ties if t != by], slices), by, rows, ties)
+    names = [r[0] for r in ahead.select(slices).distinct().collect()]
+    return latest(df.where(F.col(slices).isin(names)), by, rows, ties)
+
+
+def newest_slice(df: DataFrame, slices: str = SLICE) -> DataFrame:
+    """Rows of the newest slice of a table, found by the names of its files; they are not opened."""
+    values = {m[1] for m in (re.search(rf"/{slices}=([^/]+)/", name) for name in df.inputFiles()) if m}
+    return df.where(F.col(slices).cast("string") == max(values)) if values else df
+
+
 def latest_difficulty(blocks: DataFrame) -> DataFrame:
     """Difficulty of the newest row, also when that row came from a header only."""
     return latest(blocks, "timestamp", 1, ("height", "hash")).select("difficulty")
@@ -39,7 +65,10 @@ def height_series(
     newest first. Both sides hold one row per day, so the join has no hot key."""
     day = F.current_date() if as_of is None else moment(as_of)
     history = stored.where(F.col("time") < day).select("time", F.col("height").alias("stored"))
-    live = daily_height(blocks.where(F.col("timestamp") >= day)).select("time", F.col("height").alias("live"))
+    recent = blocks.where(F.col("timestamp") >= day)
+    if SLICE in blocks.columns:
+        recent = recent.where(F.col(SLICE) >= day.cast("date"))
+    live = daily_height(recent).select("time", F.col("height").alias("live"))
     return (
         history.join(live, "time", "full_outer")
         .select(

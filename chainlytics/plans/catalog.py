@@ -29,7 +29,7 @@ class Catalog:
 
 
 def definitions() -> dict:
-    """The block table, its three daily rollups and their refresh policies."""
+    """Fixed values, names and offsets that must be as they are in ``definitions.json``: the block table, its three daily rollups and their refresh policies."""
     return json.loads(Path(__file__).with_name("definitions.json").read_text())
 
 
@@ -71,7 +71,8 @@ def register_views(spark: SparkSession, catalog: Catalog) -> None:
     A rollup view holds the mark of this moment: register again after a refresh to move the
     boundary. Rows are right either way, as everything from the mark on is computed live."""
     for name, table in catalog.tables.items():
-        tables.read(spark, table).createOrReplaceTempView(name)
+        # With the slice column, so that panels and readers can filter on it.
+        tables.read_slices(spark, table).createOrReplaceTempView(name)
     for name in [*catalog.rollups, *catalog.aliases]:
         rollup_store.read(spark, catalog.rollup(name)).createOrReplaceTempView(name)
 

@@ -1,0 +1,73 @@
+"""The mempool state as a log of versions: each micro-batch adds a small table, nothing stored is rewritten.
+
+A version holds what one batch knows of a transaction: its latest values, when it was first seen, and its place (lowest
+``seq``, and position within that snapshot), which is what orders equal fee rates. Versions are resolved on reading by
+maxima and minima, so reading one twice does no harm: a replayed batch overwrites its own folder, and compaction may stop at
+any step. Compact now and then, so that reading stays as cheap as the number of transactions."""
+
+from __future__ import annotations
+
+import hashlib
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from chainlytics import storage
+from chainlytics.operators.changes import without_keys
+from chainlytics.operators.mempool import mempool_state
+from chainlytics.schemas import MEMPOOL_VERSIONS
+
+
+@dataclass(frozen=True)
+class MempoolStore:
+    path: str
+
+    def folder(self, source: str, batch: int) -> str:
+        """Where a batch of a source (a stream's checkpoint) is kept."""
+        return f"{self.path}/{hashlib.md5(source.encode()).hexdigest()[:12]}-{batch:012d}"
+
+
+def _folders(spark: SparkSession, store: MempoolStore) -> list[str]:
+    return sorted(storage.children(spark, store.path)) if storage.exists(spark, store.path) else []
+
+
+def append(store: MempoolStore, snapshots: DataFrame, source: str, batch: int) -> None:
+    """Add a batch of snapshot rows (txid, fee, weight, sigops, first_seen, seq, and pos if known)."""
+    rows = snapshots if "pos" in snapshots.columns else snapshots.withColumn("pos", F.lit(0))
+    state = mempool_state(rows).join(rows.groupBy("txid").agg(F.max("seq").alias("last")), "txid")
+    state.select(*[F.col(f.name).cast(f.dataType) for f in MEMPOOL_VERSIONS]).write.mode("overwrite").parquet(store.folder(source, batch))
+
+
+def _resolved(versions: DataFrame) -> DataFrame:
+    return versions.groupBy("txid").agg(
+        *[F.max_by(c, "last").alias(c) for c in ("fee", "weight", "sigops", "first_seen")],
+        F.min("first_ever_seen").alias("first_ever_seen"),
+        F.min("place").alias("place"),
+        F.min_by("pos", "place").alias("pos"),
+        F.max("last").alias("last"),
+    )
+
+
+def _versions(spark: SparkSession, store: MempoolStore, names: list[str]) -> DataFrame:
+    if not names:
+        return spark.createDataFrame([], MEMPOOL_VERSIONS)
+    return spark.read.schema(MEMPOOL_VERSIONS).parquet(*[f"{store.path}/{name}" for name in names])
+
+
+def load(spark: SparkSession, store: MempoolStore) -> DataFrame:
+    """The state: one row per transaction; predict from it with ties ("place", "pos")."""
+    return _resolved(_versions(spark, store, _folders(spark, store))).drop("last")
+
+
+def compact(spark: SparkSession, store: MempoolStore, mined: DataFrame | None = None) -> None:
+    """Put all batches into one, without the transactions of ``mined`` if given. One compaction at a time."""
+    names = _folders(spark, store)
+    if not names:
+        return
+    state = _resolved(_versions(spark, store, names))
+    if mined is not None:
+        state = without_keys(state, mined, ["txid"])
+    state.write.parquet(f"{store.path}/{names[-1]}-compact")
+    for name in names:
+        storage.drop(spark, f"{store.path}/{name}")

@@ -40,7 +40,7 @@ SNAPSHOTS = """snapshots AS (
     FROM events)"""
 
 VERSIONS = """versions AS (
-    SELECT TIMESTAMP '2024-01-01' AS "timestamp", CAST(user_id AS VARCHAR) AS hash,
+    SELECT TIMESTAMP '2024-01-01' + to_days(CAST(user_id % 30 AS INTEGER)) AS "timestamp", CAST(user_id AS VARCHAR) AS hash,
            CAST(json_extract_string(props, '$.k') AS INTEGER) AS nTx,
            CAST(round(value * 100) AS BIGINT) AS difficulty, CAST(event_id AS INTEGER) AS height,
            event_id AS seq, event_type <> 'view' AS whole
@@ -173,7 +173,15 @@ WHERE time {IN_RANGE}""",
     "latest_daily": _with(BLOCKS, f"d AS ({_volume('1 day')})") + "SELECT * FROM d ORDER BY time DESC LIMIT 10",
     "last_not_null": _with(BLOCKS)
     + 'SELECT difficulty FROM blocks WHERE nTx > 20 AND difficulty IS NOT NULL ORDER BY "timestamp" DESC LIMIT 1',
-    "fee_rate_ranking": _with(MEMPOOL) + "SELECT txid, fee, weight, fee / weight AS fee_rate FROM mempool",
+    "fee_rate_ranking": _with(MEMPOOL) + "SELECT txid, fee, weight, fee / weight AS fee_rate, row_number() OVER (ORDER BY fee / weight DESC, txid) AS rank FROM mempool",
+    "predict_equal_rates": _with(
+        MEMPOOL, "equal AS (SELECT * REPLACE (weight * (1 + sigops % 3) AS fee) FROM mempool)"
+    )
+    + _greedy("equal", 4_000_000, 80_000, "txid"),
+    "predict_equal_rates_sigops": _with(
+        MEMPOOL, "equal AS (SELECT * REPLACE (weight * (1 + sigops % 3) AS fee) FROM mempool)"
+    )
+    + _greedy("equal", 4_000_000, 700, "txid"),
     "predict_block": _with(MEMPOOL) + _greedy("mempool", 4_000_000, 80_000, "txid"),
     "predict_sigops_bound": _with(MEMPOOL) + _greedy("mempool", 4_000_000, 500, "txid"),
     "predict_block_rounds": _with(
@@ -269,7 +277,27 @@ FROM blocks b JOIN trail ON trail.hash = b.hash GROUP BY 1""",
     "parse_headers": _with(HEADERS)
     + """SELECT hash, date_trunc('second', "timestamp") AS "timestamp", CAST(event_id % 50 AS INTEGER) AS nTx,
        CAST(round(difficulty / 100) AS BIGINT) AS difficulty, height, previousblockhash FROM headers""",
-    "blocks_ahead": _with(BLOCKS) + "SELECT * FROM blocks",
+    "blocks_ahead": _with(BLOCKS) + "SELECT * FROM blocks WHERE height >= 100",
+    "headers_start": "SELECT CAST(100 AS INTEGER) AS start FROM (SELECT max(event_id) AS top FROM events) WHERE top > 100",
+    "parse_numbers": "SELECT event_id, event_id AS number FROM events",
+    "lookup_block": _with(BLOCKS) + "SELECT * FROM blocks WHERE height = 77",
+    "height_series_today": SERIES.format("height"),
+    "saved_prediction_now": _with(MEMPOOL, f"block AS ({_greedy('mempool', 4_000_000, 80_000, 'txid')})")
+    + "SELECT txid, position, fee, weight, TRUE AS in_time FROM block",
+    "audit_of_nothing": "SELECT CAST(max(event_id) AS INTEGER) AS block_height, 0 AS matches, 0 AS added, 0 AS missing, CAST(0 AS DOUBLE) AS accuracy FROM events",
+    "drop_with_rollups": "SELECT count(*) AS rows_before, FALSE AS stored_after, FALSE AS listed_after FROM events",
+    "topic_landed": _with(HEADERS)
+    + """SELECT hash, date_trunc('second', "timestamp") AS "timestamp", CAST(event_id % 50 AS INTEGER) AS nTx, height FROM headers""",
+    "feed_transactions": DAILY.replace("SELECT CAST(time_bucket", "SELECT 'transactions_new_row' AS event, CAST(time_bucket").replace("GROUP BY 1", "GROUP BY 1, 2"),
+    "feed_ticker": _with(TICKER) + "SELECT 'ticker_price_new_row' AS event, * FROM ticker",
+    "stream_rollup_replay": DAILY,
+    "predict_from_store": _with(
+        SNAPSHOTS,
+        """state AS (
+    SELECT * EXCLUDE (seq), min(seq) OVER (PARTITION BY txid) AS place FROM snapshots
+    QUALIFY row_number() OVER (PARTITION BY txid ORDER BY seq DESC) = 1)""",
+    )
+    + _greedy("state", 4_000, 80, "place"),
     "parse_mempool_map": _with(MEMPOOL)
     + """SELECT txid, CAST(trunc(fee / 100 * 100000000) AS BIGINT) AS fee, weight, sigops FROM mempool
 UNION ALL

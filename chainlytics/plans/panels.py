@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chainlytics.functions import moment, register_sql
-from chainlytics.operators.latest import height_series, in_range, latest_difficulty, max_height
+from chainlytics.operators.latest import height_series, in_range, latest_difficulty, max_height, newest_slice
 from chainlytics.operators.rollups import last_not_null, rebucket, transactions_per
 from chainlytics.operators.sigma import sigma_histogram
 
-# Names of the views, macros of the range, and the range shown when none is given.
+# Names of the views, macros of the range, and the range a dashboard shows at first. A
+# panel without a range shows all rows; pass these two to see what the dashboard starts with.
 BLOCKS = "l0_btc_blocks"
 VOLUME = "l1_btc_transactions_volume_daily"
 HEIGHT = "l1_btc_block_height_daily"
@@ -24,19 +25,19 @@ DEFAULT_TO = datetime(2024, 12, 31)
 
 
 def _series(view: str, value: str) -> Callable[..., DataFrame]:
-    def run(spark: SparkSession, start: datetime = DEFAULT_FROM, end: datetime = DEFAULT_TO) -> DataFrame:
+    def run(spark: SparkSession, start: datetime | None = None, end: datetime | None = None) -> DataFrame:
         rows = in_range(spark.table(view), "time", start, end)
         return rows.select("time", value).orderBy(F.asc_nulls_last("time"))
 
     return run
 
 
-def _sigma_hourly(spark: SparkSession, start: datetime = DEFAULT_FROM, end: datetime = DEFAULT_TO) -> DataFrame:
+def _sigma_hourly(spark: SparkSession, start: datetime | None = None, end: datetime | None = None) -> DataFrame:
     rows = in_range(spark.table(BLOCKS), "timestamp", start, end)
     return sigma_histogram(transactions_per(rows, "1 hour"), "transactions", "hours_in_range")
 
 
-def _sigma_daily(spark: SparkSession, start: datetime = DEFAULT_FROM, end: datetime = DEFAULT_TO) -> DataFrame:
+def _sigma_daily(spark: SparkSession, start: datetime | None = None, end: datetime | None = None) -> DataFrame:
     rows = in_range(spark.table(VOLUME), "time", start, end)
     return sigma_histogram(rebucket(rows, "1 day", "transactions"), "transactions", "days_in_range")
 
@@ -51,13 +52,14 @@ PANELS: dict[str, Callable[..., DataFrame]] = {
     "transactions_sigma_daily": _sigma_daily,
     "block_height": lambda spark: max_height(spark.table(BLOCKS)),
     "block_height_daily": _height_series,
-    "block_difficulty": lambda spark: latest_difficulty(spark.table(BLOCKS)),
+    "block_difficulty": lambda spark: latest_difficulty(newest_slice(spark.table(BLOCKS))),
     "block_difficulty_daily": _series(DIFFICULTY, "difficulty"),
 }
 
 
 def panel(spark: SparkSession, name: str, **params) -> DataFrame:
-    """Run one panel, e.g. ``panel(spark, "transactions_daily", start=..., end=...)``."""
+    """Run one panel, e.g. ``panel(spark, "transactions_daily", start=..., end=...)``. Either end may be
+    left out: the range is then open there."""
     return PANELS[name](spark, **params)
 
 

@@ -9,15 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chainlytics.functions import decode, encode, time_bucket
+from chainlytics import storage
+from chainlytics.functions import decode, encode, number, time_bucket
 from chainlytics.operators import audit, chain, changes, latest, mempool, rollups
 from chainlytics.operators.asof import asof, audit_history
 from chainlytics.operators.sigma import sigma_histogram
-from chainlytics.plans import catalog, cycle, panels, rollup_store, standins, tables
+from chainlytics.plans import catalog, cycle, mempool_store, panels, rollup_store, standins, tables
+from chainlytics.plans.mempool_store import MempoolStore
 from chainlytics.plans.rollup_store import Rollup
+from chainlytics.schemas import MEMPOOL_STATE
 from chainlytics.session import configure, workspace
 from chainlytics.sources import records
-from chainlytics.sources.topics import landed_stream
+from chainlytics.sources.topics import RAW_BLOCKS, landed_stream, topic_stream
 from chainlytics.streaming import feed, ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -175,7 +178,7 @@ def last_not_null(spark, sf_dir):
 
 @query
 def fee_rate_ranking(spark, sf_dir):
-    return mempool.ranked_by_rate(standins.mempool(spark, sf_dir).select("txid", "fee", "weight"))
+    return mempool.with_rank(standins.mempool(spark, sf_dir).select("txid", "fee", "weight"))
 
 
 @query
@@ -188,6 +191,21 @@ def predict_sigops_bound(spark, sf_dir):
     return mempool.predict_block(standins.mempool(spark, sf_dir), sigops_limit=500)
 
 
+def _equal_rates(spark, sf_dir):
+    """Three fee rates over mixed weights, so that the order within a rate decides."""
+    return standins.mempool(spark, sf_dir).withColumn("fee", F.col("weight") * (1 + F.col("sigops") % 3))
+
+
+@query
+def predict_equal_rates(spark, sf_dir):
+    return mempool.predict_block(_equal_rates(spark, sf_dir))
+
+
+@query
+def predict_equal_rates_sigops(spark, sf_dir):
+    return mempool.predict_block(_equal_rates(spark, sf_dir), sigops_limit=700)
+
+
 @query
 def predict_block_rounds(spark, sf_dir):
     rows = standins.mempool(spark, sf_dir).withColumn("round", F.date_format("first_seen", "yyyy-MM"))
@@ -268,6 +286,28 @@ def saved_audits(spark, sf_dir):
     return _ntz(saved, "audit_time")
 
 
+@query
+def saved_prediction_now(spark, sf_dir):
+    """Saved with the present time, which no query text can know."""
+    path = f"{workspace(spark, 'saved')}/predicted"
+    cycle.save_prediction(mempool.predict_block(standins.mempool(spark, sf_dir)), path)
+    age = F.current_timestamp() - F.col("prediction_time")
+    return cycle.predictions(spark, path).select("txid", "position", "fee", "weight", (age < F.expr("INTERVAL '1' HOUR")).alias("in_time"))
+
+
+@query
+def audit_of_nothing(spark, sf_dir):
+    """After a prediction with rows an empty one was saved; the block mined then is empty too."""
+    path = f"{workspace(spark, 'saved')}/predicted"
+    block = mempool.predict_block(standins.mempool(spark, sf_dir), 100_000)
+    cycle.save_prediction(block, path, RANGE[0])
+    cycle.save_prediction(block.limit(0), path, RANGE[1])
+    height = standins.blocks(spark, sf_dir).agg(F.max("height")).first()[0]
+    mined = standins.mempool(spark, sf_dir).where("false").select("txid")
+    found = cycle.audit_next(mined, cycle.predictions(spark, path), height, cycle.rounds(spark, path))
+    return found.withColumnRenamed("block", "block_height")
+
+
 @query
 def asof_prediction(spark, sf_dir):
     events = standins.events(spark, sf_dir)
@@ -333,6 +373,11 @@ def delete_store(spark, sf_dir):
     return _ntz(tables.read(spark, table), "first_seen")
 
 
+@query
+def lookup_block(spark, sf_dir):
+    return changes.lookup(standins.blocks(spark, sf_dir), height=77)
+
+
 @query
 def unique_violations(spark, sf_dir):
     return changes.unique_violations(standins.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
@@ -388,25 +433,39 @@ def rollup_stale(spark, sf_dir):
 # --- streams ------------------------------------------------------------------------------------
 
 
-def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _event_stream(spark: SparkSession, sf_dir: str, root: str, times: int = 1) -> DataFrame:
+    """The events landed in three files (``times`` over), which come as a micro-batch each."""
+    for _ in range(times):
+        events = standins.events(spark, sf_dir)
+        events.repartitionByRange(3, "event_id").write.mode("append").parquet(f"{root}/events")
     schema = T.StructType.fromDDL(standins.EVENTS_SCHEMA)
-    return landed_stream(spark, sf_dir, schema, "parquet", 1, "events.parquet")
+    return landed_stream(spark, f"{root}/events", schema, "parquet", 1)
 
 
 @query
 def stream_daily(spark, sf_dir):
     root = workspace(spark, "stream_daily")
     volume = _volume(root)
-    blocks = standins.as_utc(standins.blocks_from(_event_stream(spark, sf_dir)))
+    blocks = _with_seq(standins.blocks_from(_event_stream(spark, sf_dir, root)))
     ingest.rollup_stream(blocks, volume, f"{root}/checkpoint").awaitTermination()
-    return _ntz(rollup_store.read_stored(spark, volume), "time")
+    return _ntz(rollup_store.read(spark, volume), "time")
+
+
+@query
+def stream_rollup_replay(spark, sf_dir):
+    """Every block landed twice, in other files: the rollup counts what the base table holds."""
+    root = workspace(spark, "stream_rollup_replay")
+    volume = _volume(root)
+    blocks = _with_seq(standins.blocks_from(_event_stream(spark, sf_dir, root, 2)))
+    ingest.rollup_stream(blocks, volume, f"{root}/checkpoint").awaitTermination()
+    return _ntz(rollup_store.read(spark, volume), "time")
 
 
 @query
 def stream_upsert(spark, sf_dir):
     root = workspace(spark, "stream_upsert")
     table = tables.block_table(f"{root}/blocks")
-    rows = standins.as_utc(standins.versions_from(_event_stream(spark, sf_dir)))
+    rows = standins.as_utc(standins.versions_from(_event_stream(spark, sf_dir, root)))
     ingest.block_stream(rows, table, f"{root}/checkpoint").awaitTermination()
     return _ntz(tables.read(spark, table), "timestamp")
 
@@ -415,7 +474,7 @@ def stream_upsert(spark, sf_dir):
 def feed_envelopes(spark, sf_dir):
     """Every block as a message of the feed, read back from the sink and opened again."""
     root = workspace(spark, "feed")
-    blocks = standins.as_utc(standins.blocks_from(_event_stream(spark, sf_dir)))
+    blocks = standins.as_utc(standins.blocks_from(_event_stream(spark, sf_dir, root)))
     feed.feed_stream(blocks, "new_block", f"{root}/checkpoint", f"{root}/messages").awaitTermination()
     message = decode("value", T.StructType.fromDDL("event string, data string"))
     row = decode("message.data", tables.BLOCKS)
@@ -423,6 +482,28 @@ def feed_envelopes(spark, sf_dir):
     return _ntz(opened.select("message.event", row.alias("row")).select("event", "row.*"), "timestamp")
 
 
+@query
+def feed_transactions(spark, sf_dir):
+    """Daily totals as messages of their channel, opened again."""
+    daily = rollups.daily_transactions(standins.blocks(spark, sf_dir))
+    messages = feed.envelopes(daily, feed.CHANNELS["new_transactions"])
+    message = decode("value", T.StructType.fromDDL("event string, data string"))
+    row = decode("message.data", daily.schema)
+    return messages.select(message.alias("message")).select("message.event", row.alias("row")).select("event", "row.*")
+
+
+@query
+def feed_ticker(spark, sf_dir):
+    """Prices as messages of their channel, read back from the sink and opened again."""
+    root = workspace(spark, "feed_ticker")
+    prices = standins.ticker_from(_event_stream(spark, sf_dir, root))
+    feed.feed_stream(prices, "new_ticker_price", f"{root}/checkpoint", f"{root}/messages").awaitTermination()
+    message = decode("value", T.StructType.fromDDL("event string, data string"))
+    row = decode("message.data", prices.schema)
+    opened = spark.read.text(f"{root}/messages").select(message.alias("message"))
+    return opened.select("message.event", row.alias("row")).select("event", "row.*")
+
+
 @query
 def snapshot_envelopes(spark, sf_dir):
     """The three messages of a snapshot, opened into (event, position, time, number)."""
@@ -471,16 +552,29 @@ def stream_headers(spark, sf_dir):
 @query
 def stream_mempool(spark, sf_dir):
     root = workspace(spark, "stream_mempool")
-    table = tables.mempool_table(f"{root}/mempool", 8)
-    rows = standins.as_utc(standins.snapshots_from(_event_stream(spark, sf_dir).drop("seq")), "first_seen")
-    ingest.mempool_stream(rows, table, f"{root}/checkpoint").awaitTermination()
-    return _ntz(cycle.load_mempool(spark, table), "first_seen")
+    state = _streamed_mempool(spark, sf_dir, root)
+    return _ntz(state.select(*MEMPOOL_STATE.names), "first_seen")
+
+
+def _streamed_mempool(spark, sf_dir, root):
+    store = MempoolStore(f"{root}/mempool")
+    rows = standins.as_utc(standins.snapshots_from(_event_stream(spark, sf_dir, root).drop("seq")), "first_seen")
+    ingest.mempool_stream(rows, store, f"{root}/checkpoint").awaitTermination()
+    mempool_store.compact(spark, store)
+    return mempool_store.load(spark, store)
+
+
+@query
+def predict_from_store(spark, sf_dir):
+    """Several micro-batches -> stored state -> prediction, equal rates in order of first insertion."""
+    state = _streamed_mempool(spark, sf_dir, workspace(spark, "predict_from_store"))
+    return mempool.predict_block(state, 4_000, 80, ties=["place", "pos"])
 
 
 @query
 def stream_ticker(spark, sf_dir):
     root = workspace(spark, "stream_ticker")
-    prices = standins.ticker_from(_event_stream(spark, sf_dir))
+    prices = standins.ticker_from(_event_stream(spark, sf_dir, root))
     ingest.append_stream(prices, f"{root}/prices", f"{root}/checkpoint").awaitTermination()
     return spark.read.schema(prices.schema).parquet(f"{root}/prices")
 
@@ -491,7 +585,10 @@ _catalogs: dict[tuple[str, str], catalog.Catalog] = {}
 
 
 def _panel(spark: SparkSession, sf_dir: str, name: str, **params) -> DataFrame:
-    """Run a panel on a catalog whose rollups were refreshed before the last third of the blocks came."""
+    """Run a panel on a catalog whose rollups were refreshed before the last third of the blocks came.
+
+    The catalog is prepared once for each session and folder and only read by panels, so their results do
+    not depend on each other; whichever runs first spends the time (bench prepares it beforehand)."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _catalogs:
         found = catalog.apply(spark, workspace(spark, "catalog"))
@@ -531,6 +628,7 @@ def panel_sigma_daily(spark, sf_dir):
 def panel_sql_text(spark, sf_dir):
     """A panel as SQL text with the range macros, over the block table of the catalog."""
     _panel(spark, sf_dir, "block_height")
+    # Names of the table, its columns and the macros.
     text = """
         SELECT time_bucket('1 hour', timestamp) AS time, sum(ntx) AS transactions
         FROM l0_btc_blocks WHERE timestamp BETWEEN $__timeFrom() AND $__timeTo()
@@ -604,7 +702,65 @@ def blocks_ahead(spark, sf_dir):
     """All blocks from the first unread height to the newest the node reports."""
     blocks = standins.blocks(spark, sf_dir)
     info = blocks.agg(F.max("height").alias("blocks"))
-    return records.blocks_ahead(blocks, info, 0)
+    return records.blocks_ahead(blocks, info, 100)
+
+
+@query
+def headers_start(spark, sf_dir):
+    """Where headers are read from, by the newest of two landed replies."""
+    path = f"{workspace(spark, 'info')}/landed"
+    newest = standins.blocks(spark, sf_dir).agg(F.max("height").alias("blocks"))
+    for ahead, down in ((0, True), (10, False)):
+        reply = F.struct("blocks", (F.col("blocks") + ahead).alias("headers"), F.lit(down).alias("initialblockdownload"))
+        newest.select(encode(reply).alias("value")).coalesce(1).write.mode("append").text(path)
+    return records.headers_start(records.read_chain_info(spark, path), 5, 100)
+
+
+@query
+def parse_numbers(spark, sf_dir):
+    """Numbers as command output has them, with blanks and line ends around."""
+    events = standins.events(spark, sf_dir)
+    return events.select("event_id", number(F.concat(F.lit(" \t"), F.col("event_id").cast("string"), F.lit(" \n"))).alias("number"))
+
+
+@query
+def topic_landed(spark, sf_dir):
+    """Messages of the block topic, landed as JSON lines in several files, kept as rows."""
+    root = workspace(spark, "topic")
+    event = standins.headers(spark, sf_dir)
+    record = F.struct(
+        "hash",
+        F.unix_seconds(F.col("timestamp").cast("timestamp")).alias("time"),
+        (F.col("difficulty") / 100).alias("difficulty"),
+        "height",
+        (F.col("event_id") % 50).cast("int").alias("nTx"),
+    )
+    event.repartition(3).select(encode(record).alias("value")).write.text(f"{root}/landed")
+    rows = topic_stream(spark, RAW_BLOCKS, folder=f"{root}/landed", files_per_trigger=1)
+    ingest.append_stream(rows, f"{root}/rows", f"{root}/checkpoint").awaitTermination()
+    kept = spark.read.schema(rows.schema).parquet(f"{root}/rows")
+    return _ntz(records.blocks_of(kept).select("hash", "timestamp", "nTx", "height"), "timestamp")
+
+
+@query
+def height_series_today(spark, sf_dir):
+    """Split at the present day: all days but today come from the stored side."""
+    blocks = standins.as_utc(standins.blocks(spark, sf_dir))
+    return _ntz(latest.height_series(rollups.daily_height(blocks), blocks), "time")
+
+
+@query
+def drop_with_rollups(spark, sf_dir):
+    """A table with rows and rollups, dropped: nothing of it is stored or listed afterwards."""
+    found = catalog.apply(spark, workspace(spark, "dropped"))
+    tables.upsert(found.tables[panels.BLOCKS], _with_seq(standins.blocks(spark, sf_dir)))
+    for policy in found.policies.values():
+        rollup_store.run_policy(spark, found.rollups[policy.rollup], policy, RANGE[1])
+    before = tables.read(spark, found.tables[panels.BLOCKS]).count()
+    paths = [found.tables[panels.BLOCKS].path, *(r.path for r in found.rollups.values())]
+    catalog.drop_table(spark, found, panels.BLOCKS)
+    stored = any(storage.exists(spark, path) for path in paths)
+    return spark.createDataFrame([(before, stored, bool(found.rollups or found.policies))], "rows_before bigint, stored_after boolean, listed_after boolean")
 
 
 @query

@@ -71,7 +71,8 @@ def read(spark: SparkSession, rollup: Rollup) -> DataFrame:
     if reached is None:
         return rollup.of(tables.read(spark, rollup.base))
     store = rollup.store(spark)
-    stored = tables.read(spark, store).where(F.col("time") < moment(reached))
+    slices = tables.read_slices(spark, store).where(F.col(store.slice_column) <= store.unit.of(reached))
+    stored = slices.where(F.col("time") < moment(reached)).select(*store.columns.names)
     return stored.unionByName(rollup.of(_base_rows(spark, rollup, reached, None)))
 
 
@@ -103,6 +104,26 @@ def refresh(
     return start, end
 
 
+def follow(
+    spark: SparkSession, rollup: Rollup, store: KeyedTable, touched: DataFrame, first: datetime, newest: datetime, seq: int
+) -> None:
+    """Bring the stored buckets up to a change of the base: those of ``touched`` (column time, the earliest being
+    ``first``) and all from the mark to before ``newest``, the bucket of the newest row, which stays live."""
+    reached = mark(spark, rollup)
+    if reached is None:
+        _replace(spark, rollup, None, newest)
+        _set_mark(spark, rollup, newest)
+        return
+    end = max(reached, newest)
+    fresh = rollup.of(_base_rows(spark, rollup, min(first, reached), end))
+    # Buckets are few, rows are not: the aggregate comes first, the choice of buckets after it.
+    old = fresh.where(F.col("time") < moment(reached)).join(touched, "time", "left_semi")
+    changed = old.unionByName(fresh.where(F.col("time") >= moment(reached)))
+    tables.upsert(store, changed.withColumn("seq", F.lit(seq).cast("bigint")))
+    if end != reached:
+        _set_mark(spark, rollup, end)
+
+
 def run_policy(spark: SparkSession, rollup: Rollup, policy: Policy, now: datetime) -> None:
     refresh(spark, rollup, now, policy.start_offset, policy.end_offset)
 

@@ -57,9 +57,10 @@ def _hash(number):
 
 
 def versions_from(rows: DataFrame) -> DataFrame:
-    """Changes of one keyed row per user: views are header-only, the event number is the order."""
+    """Changes of one keyed row per user, over thirty days: views are header-only, the event number is the
+    order."""
     return rows.select(
-        F.timestamp_seconds(F.lit(1704067200)).cast("timestamp_ntz").alias("timestamp"),
+        F.timestamp_seconds(F.lit(1704067200) + F.col("user_id") % 30 * 86400).cast("timestamp_ntz").alias("timestamp"),
         F.col("user_id").cast("string").alias("hash"),
         F.get_json_object("props", "$.k").cast("int").alias("nTx"),
         F.round(F.col("value") * 100).cast("bigint").alias("difficulty"),

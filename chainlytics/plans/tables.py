@@ -195,12 +195,12 @@ def upsert(
     latest = _land(latest_by_key(changes, table.keys, table.values, seq, given, flags=True), table)
     known = _known(latest, table)
     if known is None:
-        return
+        return storage.drop(spark, table.incoming)
     if known:
         keys = [*table.keys, table.slice_column]
         latest = merge(_folders(spark, table, table.path, known), latest, keys, table.values)
     publish(latest.select(*table.stored.names), table)
-    storage.drop(spark, table.incoming)
+    return storage.drop(spark, table.incoming)
 
 
 def delete(table: KeyedTable, removed: DataFrame) -> None:

@@ -62,14 +62,19 @@ def read_headers(spark: SparkSession, path: str, first: int | None = None, last:
 
 
 def read_tips(spark: SparkSession, path: str) -> DataFrame:
-    """One row per landed file with its ``tips`` array in listed order. A file is one reply of the
-    node, a few tips long."""
+    """One row per landed file with its ``tips`` array in listed order, and when (``landed``) and as what
+    ``file`` it came. A file is one reply of the node, a few tips long."""
     replies = spark.read.text(path, wholetext=True)
-    return replies.select(decode("value", T.ArrayType(CHAIN_TIP)).alias("tips"))
+    return replies.select(decode("value", T.ArrayType(CHAIN_TIP)).alias("tips"), *_landed())
+
+
+def _landed() -> list[Column]:
+    return [F.col("_metadata.file_modification_time").alias("landed"), F.col("_metadata.file_name").alias("file")]
 
 
 def read_chain_info(spark: SparkSession, path: str) -> DataFrame:
-    return read_records(spark, path, CHAIN_INFO, whole_files=True)
+    """One row per landed reply, with ``landed`` and ``file``."""
+    return read_records(spark, path, CHAIN_INFO, whole_files=True).select("*", *_landed())
 
 
 def read_block_bodies(spark: SparkSession, path: str) -> DataFrame:
@@ -91,7 +96,10 @@ def blocks_ahead(blocks: DataFrame, info: DataFrame, start_block: int) -> DataFr
 
 def headers_start(info: DataFrame, start_block: int, start_header: int) -> DataFrame:
     """One row with the height headers are read from, or no row: headers must be ahead of both
-    marks and the first download must be over."""
+    marks and the first download must be over. Of several landed replies the newest counts."""
+    if "landed" in info.columns:
+        reply = F.struct("headers", "initialblockdownload")
+        info = info.agg(F.max_by(reply, F.struct("landed", "file")).alias("reply")).select("reply.*")
     return info.where(
         (F.col("headers") > start_header) & (F.col("headers") > start_block) & ~F.col("initialblockdownload")
     ).select(F.lit(max(start_block, start_header)).alias("start"))

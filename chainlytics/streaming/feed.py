@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from chainlytics.functions import encode
-from chainlytics.operators.latest import latest
+from chainlytics.operators.latest import SLICE, latest, latest_in_slices
 from chainlytics.streaming.ingest import DRAIN
 
 # Event names of the messages.
@@ -60,9 +60,14 @@ def _listed(rows: DataFrame, event: str, by: str) -> DataFrame:
 
 
 def snapshot(blocks: DataFrame, daily: DataFrame, ticker: DataFrame) -> DataFrame:
-    """What a new subscriber gets: latest blocks, daily totals and prices, one message each."""
+    """What a new subscriber gets: latest blocks, daily totals and prices, one message each. Of a block
+    table with its slice column only the slices that hold the latest blocks are read whole."""
+    if SLICE in blocks.columns:
+        newest = latest_in_slices(blocks, "height", ties=("timestamp", "hash")).drop(SLICE)
+    else:
+        newest = latest(blocks, "height", ties=("timestamp", "hash"))
     parts = [
-        _listed(latest(blocks, "height", ties=("timestamp", "hash")), INITIAL_BLOCKS, "height"),
+        _listed(newest, INITIAL_BLOCKS, "height"),
         _listed(latest(daily, "time"), INITIAL_DAILY_TRANSACTIONS, "time"),
         _listed(latest(ticker, "timestamp"), INITIAL_TICKER_PRICE, "timestamp"),
     ]

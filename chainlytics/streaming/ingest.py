@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from chainlytics import schemas
-from chainlytics.operators.mempool import mempool_state
-from chainlytics.plans import rollup_store, tables
+from chainlytics.functions import bucket_floor, time_bucket
+from chainlytics.plans import mempool_store, rollup_store, tables
+from chainlytics.plans.mempool_store import MempoolStore
 from chainlytics.plans.rollup_store import Policy, Rollup
 from chainlytics.plans.tables import KeyedTable
 from chainlytics.sources.records import CORRUPT, blocks_of, malformed, with_corrupt
@@ -80,12 +81,14 @@ def header_stream(
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
-        bad = malformed(batch)
-        if not bad.isEmpty():
-            bad.select(CORRUPT).write.mode("overwrite").text(f"{malformed_path(table)}/batch={batch_id}")
-        rows = blocks_of(batch).withColumn("kind", F.lit(kind))
-        tables.upsert(table, rows, given={"nTx": F.col("kind") != "header"})
-        batch.unpersist()
+        try:
+            bad = malformed(batch)
+            if not bad.isEmpty():
+                bad.select(CORRUPT).write.mode("overwrite").text(f"{malformed_path(table)}/batch={batch_id}")
+            rows = blocks_of(batch).withColumn("kind", F.lit(kind))
+            tables.upsert(table, rows, given={"nTx": F.col("kind") != "header"})
+        finally:
+            batch.unpersist()
 
     return _start(lines, apply, checkpoint, trigger)
 
@@ -95,39 +98,62 @@ def malformed_path(table: KeyedTable) -> str:
 
 
 def mempool_stream(
-    transactions: DataFrame, table: KeyedTable, checkpoint: str, trigger: Mapping = DRAIN
+    transactions: DataFrame, store: MempoolStore, checkpoint: str, trigger: Mapping = DRAIN
 ) -> StreamingQuery:
-    """Snapshots into the mempool state table, the latest version of a transaction winning."""
-    tables.create(transactions.sparkSession, table)
+    """Snapshots into the mempool store: a micro-batch adds its own versions and rewrites nothing."""
 
-    def apply(batch: DataFrame, _: int) -> None:
-        tables.upsert(table, mempool_state(batch), seq="place")
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        mempool_store.append(store, batch, checkpoint, batch_id)
 
     return _start(transactions, apply, checkpoint, trigger)
 
 
 def rollup_stream(
-    blocks: DataFrame, rollup: Rollup, checkpoint: str, trigger: Mapping = DRAIN, late: str | None = None
+    blocks: DataFrame,
+    rollup: Rollup,
+    checkpoint: str,
+    trigger: Mapping = DRAIN,
+    given: Mapping[str, Column] | None = None,
 ) -> StreamingQuery:
-    """Stored buckets straight from a stream of new blocks, each one once.
+    """Blocks into the base table, and the buckets they touch into the stored rollup.
 
-    State holds one running aggregate per bucket; changed buckets are written as they stand. With
-    ``late`` buckets older than that are closed and forgotten - it bounds the state, and the base
-    table still takes older rows."""
-    store = tables.create(blocks.sparkSession, rollup.store(blocks.sparkSession))
-    if late:
-        blocks = blocks.withWatermark(rollup.time, late)
+    ``blocks`` has the base table's columns and ``seq``. A micro-batch is upserted first; then the
+    buckets it touches, and those between the old mark and the newest block's bucket, are computed
+    anew from the base table, so blocks that are read twice, come late or change are counted as the
+    base has them. The mark follows the newest block, so :func:`rollup_store.read` serves what is
+    stored. A batch that is replayed after a crash gives the same tables."""
+    spark = blocks.sparkSession
+    store = tables.create(spark, rollup.store(spark))
+    tables.create(spark, rollup.base)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        tables.upsert(store, batch.withColumn("seq", F.lit(batch_id).cast("bigint")))
+        batch = batch.persist()
+        try:
+            tables.upsert(rollup.base, batch, given=given)
+            touched = batch.select(time_bucket(rollup.time, rollup.width).alias("time")).distinct()
+            span = touched.agg(F.min("time").alias("first"), F.max("time").alias("last")).select(
+                *[F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(c) for c in ("first", "last")]
+            ).first()
+            if span["last"] is None:
+                return
+            first, last = (datetime.fromisoformat(span[c]) for c in ("first", "last"))
+            rollup_store.follow(spark, rollup, store, touched, first, bucket_floor(last, rollup.width), batch_id)
+        finally:
+            batch.unpersist()
+
+    return _start(blocks, apply, checkpoint, trigger)
+
 
-    return _start(rollup.of(blocks), apply, checkpoint, trigger, "update")
+def clock(spark: SparkSession) -> DataFrame:
+    """A stream that ticks by itself, for work that must run on schedule whether rows arrive or not."""
+    return spark.readStream.format("rate").option("rowsPerSecond", 1).option("numPartitions", 1).load()
 
 
 def policy_stream(
     changes: DataFrame, rollup: Rollup, policy: Policy, checkpoint: str, trigger: Mapping | None = None, now=None
 ) -> StreamingQuery:
-    """Run a refresh policy on its schedule, driven by the arrival of base rows."""
+    """Run a refresh policy on its schedule. ``changes`` drives it: :func:`clock` ticks always, a stream of
+    base rows only while some arrive."""
     spark = changes.sparkSession
 
     def apply(_: DataFrame, __: int) -> None:

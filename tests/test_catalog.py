@@ -1,13 +1,16 @@
+import re
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from chainlytics import storage
+from chainlytics.operators import latest
 from chainlytics.plans import catalog, cycle, panels, rollup_store, tables
 from chainlytics.sources.database import jdbc_options, query, read_table
-from conftest import rows
+from conftest import physical, rows
 
 START = datetime(2024, 3, 1)
 
@@ -116,6 +119,45 @@ def test_prediction_cycle(spark, root):
     actual = spark.createDataFrame([("a",), ("z",), ("z",)], "txid string")
     cycle.save_audits(cycle.audit_next(actual, saved, 7), f"{root}/audits", datetime(2024, 1, 1, 0, 9))
     assert rows(cycle.audits(spark, f"{root}/audits")) == [(7, datetime(2024, 1, 1, 0, 9), 1, 1, 1, 1 / 3)]
+    # an empty prediction counts as the newest, and an empty block has its row
+    cycle.save_prediction(predict_block(state, 1), f"{root}/predicted", datetime(2024, 1, 1, 0, 10))
+    saved, rounds = cycle.predictions(spark, f"{root}/predicted"), cycle.rounds(spark, f"{root}/predicted")
+    assert rounds.count() == 3
+    assert rows(cycle.audit_next(actual, saved, 8, rounds)) == [(8, 0, 2, 0, 0.0)]
+    assert rows(cycle.audit_next(actual.limit(0), saved, 9, rounds)) == [(9, 0, 0, 0, 0.0)]
+
+
+def scans(df):
+    return physical(df).split("FileScan")[1:]
+
+
+def test_panels_open_only_the_days_they_show(spark, loaded):
+    day = START + timedelta(days=1)
+    hourly = panels.panel(spark, "transactions_sigma_hourly", start=day, end=day + timedelta(hours=5))
+    assert all("day" in s.split("PartitionFilters: [")[1].split("]")[0] for s in scans(hourly))
+    series = panels.panel(spark, "block_height_daily", as_of=(START + timedelta(days=4)).date())
+    filters = [s.split("PartitionFilters: [")[1].split("]")[0] for s in scans(series)]
+    assert len(filters) >= 2 and all("day" in f or "month" in f for f in filters)
+
+
+def test_the_latest_row_opens_the_newest_day_only(spark, loaded):
+    newest = latest.newest_slice(spark.table("l0_btc_blocks"))
+    assert {r["day"].isoformat() for r in newest.select("day").distinct().collect()} == {"2024-03-05"}
+    assert {m for m in (re.search("day=([^/]+)", f)[1] for f in newest.select(F.input_file_name()).distinct().toPandas().iloc[:, 0])} == {"2024-03-05"}
+    found = latest.latest_in_slices(spark.table("l0_btc_blocks"), "height", 30, ("timestamp", "hash"))
+    assert [r["height"] for r in found.collect()] == list(range(119, 89, -1))
+    last = scans(found)[-1].split("PartitionFilters: [")[1].split("]")[0]
+    assert "2024-03-04" in last and "2024-03-05" in last and "2024-03-03" not in last
+
+
+def test_a_panel_without_a_range_shows_all_rows(spark, root):
+    found = catalog.apply(spark, root)
+    late = datetime(2031, 5, 5)
+    df = spark.createDataFrame([("x", late, 3, 1, 1, 0)], "hash string, timestamp timestamp, nTx int, difficulty long, height int, seq long")
+    tables.upsert(found.tables["l0_btc_blocks"], df)
+    catalog.register_views(spark, found)
+    assert panels.panel(spark, "transactions_daily").first()["transactions"] == 3
+    assert panels.panel(spark, "transactions_daily", end=panels.DEFAULT_TO).isEmpty()
 
 
 def test_mempool_saved_and_loaded(spark, root):

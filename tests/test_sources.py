@@ -39,6 +39,22 @@ def test_tips_keep_their_order(spark, root):
     assert [t["hash"] for t in records.read_tips(spark, path).first()["tips"]] == ["b", "a"]
 
 
+def test_the_newest_reply_of_the_node_counts(spark, root):
+    import os
+    from pathlib import Path
+
+    from chainlytics.operators.chain import candidate_tip
+
+    folder = land(root, "replies", json.dumps([{"hash": "old", "height": 1, "status": "valid-headers"}]))
+    land(root, "replies", json.dumps([{"hash": "new", "height": 2, "status": "active"}]))
+    first, second = sorted(Path(folder).iterdir())
+    os.utime(first, (1000, 1000))
+    os.utime(second, (2000, 2000))
+    assert candidate_tip(records.read_tips(spark, folder)).isEmpty()
+    os.utime(first, (3000, 3000))
+    assert candidate_tip(records.read_tips(spark, folder)).first()["hash"] == "old"
+
+
 def info(spark, root, **values):
     name = f"info{sum(map(int, values.values()))}"
     return records.read_chain_info(spark, land(root, name, json.dumps(values | {"chain": "main"}, indent=1)))

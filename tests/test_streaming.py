@@ -5,7 +5,9 @@ from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from chainlytics.operators.mempool import predict_block
 from chainlytics.operators.rollups import daily_transactions
 from chainlytics.plans import rollup_store, tables
 from chainlytics.plans.rollup_store import Policy, Rollup
@@ -66,8 +68,20 @@ def stream(spark, root):
 def test_streamed_rollup_equals_batch(spark, root, arriving):
     base = tables.block_table(f"{root}/blocks")
     volume = Rollup("volume", base, "timestamp", "1 day", {"transactions": "sum(nTx)"}, f"{root}/volume")
-    ingest.rollup_stream(stream(spark, root).drop("seq"), volume, f"{root}/c").awaitTermination()
-    assert rows(rollup_store.read_stored(spark, volume)) == rows(daily_transactions(arriving))
+    ingest.rollup_stream(stream(spark, root), volume, f"{root}/c").awaitTermination()
+    assert rows(rollup_store.read(spark, volume)) == rows(daily_transactions(arriving))
+    assert rollup_store.mark(spark, volume) == datetime(2024, 1, 12)  # the newest day stays live
+    assert rollup_store.read_stored(spark, volume).count() == 11
+
+
+def test_blocks_read_twice_count_once_and_late_ones_count(spark, root, arriving):
+    base = tables.block_table(f"{root}/blocks")
+    volume = Rollup("volume", base, "timestamp", "1 day", {"transactions": "sum(nTx)"}, f"{root}/volume")
+    for again in (arriving, arriving.where("height % 3 = 0"), arriving.where("height < 5").withColumn("nTx", F.lit(50))):
+        again.coalesce(1).write.mode("append").parquet(f"{root}/arriving")
+        ingest.rollup_stream(stream(spark, root), volume, f"{root}/c").awaitTermination()
+    assert rows(rollup_store.read(spark, volume)) == rows(daily_transactions(tables.read(spark, base)))
+    assert tables.read(spark, base).count() == 40
 
 
 def test_streamed_upsert_equals_batch(spark, root, arriving):
@@ -89,17 +103,50 @@ def test_policy_runs_with_arriving_blocks(spark, root, arriving):
     assert rows(rollup_store.read(spark, volume)) == rows(daily_transactions(arriving))
 
 
-def test_streamed_mempool(spark, root):
-    table = tables.mempool_table(f"{root}/mempool", 2)
-    schema = "txid string, fee long, weight long, sigops int, first_seen timestamp"
+def test_streamed_mempool_keeps_places_and_rewrites_nothing(spark, root):
+    from chainlytics.plans import mempool_store
+
+    store = mempool_store.MempoolStore(f"{root}/mempool")
+    schema = "txid string, fee long, weight long, sigops int, first_seen timestamp, pos int"
     seen = [datetime(2024, 1, 1), datetime(2024, 1, 2)]
     for at, fee in zip(seen, (1, 2)):
-        data = [("a", fee, 4, 0, at)] + ([("b", 7, 4, 0, at)] if fee == 1 else [])
+        data = [("b", 7, 4, 0, at, 0), ("a", fee, 4, 0, at, 1)] if fee == 1 else [("c", 2, 4, 0, at, 0), ("a", fee, 4, 0, at, 1)]
         spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(f"{root}/in")
-    rows_in = landed_stream(spark, f"{root}/in", tables.MEMPOOL_STATE, "parquet", 1)
-    ingest.mempool_stream(rows_in, table, f"{root}/c").awaitTermination()
-    # what left the snapshots stays in the state
-    assert rows(tables.read(spark, table)) == [("a", 2, 4, 0, seen[1]), ("b", 7, 4, 0, seen[0])]
+        rows_in = landed_stream(spark, f"{root}/in", T.StructType.fromDDL(schema), "parquet", 1)
+        before = {p: p.stat().st_mtime_ns for p in Path(f"{root}/mempool").rglob("*") if p.is_file()}
+        ingest.mempool_stream(rows_in, store, f"{root}/c").awaitTermination()
+        assert all(p.stat().st_mtime_ns == t for p, t in before.items())
+
+    def state():
+        return sorted((r.txid, r.fee, r.first_seen, r.first_ever_seen, r.pos) for r in mempool_store.load(spark, store).collect())
+
+    # what left the snapshots stays in the state; a replaced entry keeps its place
+    want = [("a", 2, seen[1], seen[0], 1), ("b", 7, seen[0], seen[0], 0), ("c", 2, seen[1], seen[1], 0)]
+    assert state() == want
+    block = predict_block(mempool_store.load(spark, store), ties=["place", "pos"]).orderBy("position").collect()
+    assert [r.txid for r in block] == ["b", "a", "c"]
+    mempool_store.compact(spark, store)
+    assert state() == want and len(list(Path(f"{root}/mempool").iterdir())) == 1
+    mempool_store.compact(spark, store, spark.createDataFrame([("a",)], "txid string"))
+    assert [r[0] for r in state()] == ["b", "c"]
+
+
+def test_a_policy_runs_without_rows_arriving(spark, root, arriving):
+    import time
+
+    table = tables.create(spark, tables.block_table(f"{root}/blocks"))
+    tables.upsert(table, arriving.withColumn("seq", F.lit(0).cast("bigint")))
+    volume = Rollup("volume", table, "timestamp", "1 day", {"transactions": "sum(nTx)"}, f"{root}/volume")
+    policy = Policy("volume", "1 week", "1 hour", "1 second")
+    query = ingest.policy_stream(ingest.clock(spark), volume, policy, f"{root}/c2", None, lambda: datetime(2024, 1, 9))
+    try:
+        for _ in range(120):
+            if rollup_store.mark(spark, volume) is not None:
+                break
+            time.sleep(0.5)
+    finally:
+        query.stop()
+    assert rollup_store.mark(spark, volume) == datetime(2024, 1, 8)
 
 
 def test_feed_messages(spark, root, arriving):
