@@ -62,13 +62,16 @@ def landed_stream(
     fmt: str = "json",
     files_per_trigger: int | None = None,
     pattern: str | None = None,
+    places: bool = False,
 ) -> DataFrame:
-    """Files of a folder as a stream, oldest first, a bounded number of files per micro-batch."""
+    """Files of a folder as a stream, oldest first, a bounded number of files per micro-batch. With
+    ``places`` rows also carry their ``file`` and the ``block`` of it they were read from."""
     reader = spark.readStream.schema(schema).format(fmt)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    return reader.load(folder).select("*", F.unix_micros("_metadata.file_modification_time").alias("seq"))
+    where = [F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block")] if places else []
+    return reader.load(folder).select("*", F.unix_micros("_metadata.file_modification_time").alias("seq"), *where)
 
 

@@ -74,19 +74,20 @@ def header_stream(
     gets records of mined blocks, or headers that run ahead of their blocks.
 
     Lines that do not parse stop nothing: they are kept under :func:`malformed_path`, one folder per
-    micro-batch, so that a replay does not repeat them. Two versions of a key within one file have
-    no order; they must come in different files."""
+    micro-batch, so that a replay does not repeat them. Of several versions of a key the one in the
+    newest file counts, of files of one time the last by name, within a file the last line."""
     tables.create(spark, table)
-    lines = landed_stream(spark, folder, with_corrupt(schemas.HEADER_RECORD), "json", files_per_trigger)
+    lines = landed_stream(spark, folder, with_corrupt(schemas.HEADER_RECORD), "json", files_per_trigger, places=True)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        batch = batch.withColumn("line", F.monotonically_increasing_id()).persist()
         try:
             bad = malformed(batch)
             if not bad.isEmpty():
                 bad.select(CORRUPT).write.mode("overwrite").text(f"{malformed_path(table)}/batch={batch_id}")
-            rows = blocks_of(batch).withColumn("kind", F.lit(kind))
-            tables.upsert(table, rows, given={"nTx": F.col("kind") != "header"})
+            order = F.struct("seq", "file", "block", "line")
+            rows = blocks_of(batch).withColumns({"kind": F.lit(kind), "order": order})
+            tables.upsert(table, rows, "order", given={"nTx": F.col("kind") != "header"})
         finally:
             batch.unpersist()
 

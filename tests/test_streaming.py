@@ -51,6 +51,14 @@ def test_headers_then_blocks_in_small_batches(spark, root):
     assert tables.read(spark, table).where("height = 1").first()["nTx"] == 5
 
 
+def test_the_last_line_of_a_file_counts(spark, root):
+    table = tables.block_table(f"{root}/blocks")
+    land(f"{root}/in", "0.json", [record(0, 1), record(1, 2), record(0, 3), record(0, 9)], 1000)
+    land(f"{root}/in", "1.json", [record(1, 7)], 1000)  # the same time: the later name counts
+    ingest.header_stream(spark, f"{root}/in", table, f"{root}/c").awaitTermination()
+    assert {r["height"]: r["nTx"] for r in tables.read(spark, table).collect()} == {0: 9, 1: 7}
+
+
 @pytest.fixture
 def arriving(spark, root):
     """Blocks over twelve days in four files, days mixed."""
