@@ -29,15 +29,22 @@ def walk(headers: DataFrame, tip_hash: str, tip_height: int, start_height: int =
     lie between it and the next one found, until the path is whole: a walk of n steps takes
     6 log4(n) joins, and none of them a step at a time.
 
-    Levels are written to the shared folder: that ends the lineage, and their file sizes tell Spark
-    which joins are small. Hashes are unique, so no join has a hot key on its build side."""
-    spark = headers.sparkSession
+    Levels, and the path at every third of them, are written to the shared folder: that ends the
+    lineage, and their file sizes tell Spark which joins are small. Hashes are unique, so no join has a
+    hot key on its build side."""
+    near = headers.where(F.col("height").between(start_height, tip_height))
+    path = trail(near, tip_hash, tip_height, start_height)
+    return near.limit(0) if path is None else near.join(path, "hash", "left_semi")
+
+
+def trail(near: DataFrame, tip_hash: str, tip_height: int, start_height: int = 0) -> DataFrame | None:
+    """The hashes :func:`walk` meets among headers of these heights; some may name a header that is
+    missing. None where there is no step to take."""
+    spark = near.sparkSession
     steps = tip_height - start_height + 1
     if steps < 1:
-        return headers.limit(0)
+        return None
     folder = workspace(spark, "walk")
-
-    near = headers.where(F.col("height").between(start_height, tip_height))
     depth = F.lit(tip_height) - F.col("height")
     bottom = near.select("hash", F.col("previousblockhash").alias("up"), depth.alias("depth"))
     levels = [written(bottom, f"{folder}/level0")]
@@ -50,13 +57,15 @@ def walk(headers: DataFrame, tip_hash: str, tip_height: int, start_height: int =
         levels.append(written(longer, f"{folder}/level{len(levels)}"))
 
     path = spark.createDataFrame([(tip_hash,)], "hash string")
-    for level in reversed(levels):
+    for number, level in reversed(list(enumerate(levels))):
         names = ["hash", *[f"below{i}" for i in range(1, FAN)]]
         for here, below in zip(names, names[1:]):
             # A left join: the last headers of a chain have nothing that far below them, and stay.
             path = path.join(_hop(level, here, below), here, "left")
         path = path.select(F.explode(F.array(*names)).alias("hash")).where("hash IS NOT NULL")
-    return near.join(path, "hash", "left_semi")
+        if number % 3 == 0:
+            path = written(path, f"{folder}/path{number}")
+    return path
 
 
 def _hop(level: DataFrame, here: str, below: str) -> DataFrame:
@@ -73,4 +82,5 @@ def process_headers(headers: DataFrame, tips: DataFrame, start_height: int) -> D
 
 def canonical_only(blocks: DataFrame, headers: DataFrame, tip_hash: str, tip_height: int) -> DataFrame:
     """Blocks on the chain of one tip; by default forks stay in and sums count both sides."""
-    return blocks.join(walk(headers, tip_hash, tip_height).select("hash"), "hash", "left_semi")
+    path = trail(headers.where(F.col("height").between(0, tip_height)), tip_hash, tip_height)
+    return blocks.limit(0) if path is None else blocks.join(path, "hash", "left_semi")
