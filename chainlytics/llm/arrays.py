@@ -5,6 +5,8 @@ n^2 / 2^65 among n distinct ones; operators that must not err on that compare th
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,7 +14,22 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at a time within a task; a longer single text is one part.
-PART_BYTES = 2_000_000
+PART_BYTES = 600_000
+
+
+
+def _give_back_memory() -> None:
+    """Let freed arrays go back to the system at once, in the process that imports this (a driver or a Python worker).
+    glibc otherwise raises its threshold for that with every large array, and a worker keeps its highest use for good."""
+    if sys.platform == "linux":
+        try:
+            ctypes.CDLL("libc.so.6").mallopt(-3, 1 << 18)  # M_MMAP_THRESHOLD
+        except (OSError, AttributeError):
+            return  # another C library
+        pa.set_memory_pool(pa.system_memory_pool())
+
+
+_give_back_memory()
 
 #: ASCII white space that separates words: blank, tab, line feed, vertical tab, form feed, carriage return.
 SEPARATOR = np.zeros(256, dtype=bool)

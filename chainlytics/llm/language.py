@@ -15,6 +15,7 @@ gets more of one word than the rare words have."""
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -191,7 +192,7 @@ def _send(batches: Iterator[pa.RecordBatch], model: LogBilinear, buckets: int) -
             ids = rows.column("doc_id")
             raw = np.asarray(ids.fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
             absent = np.asarray(ids.is_null().to_numpy(zero_copy_only=False), dtype=np.uint8)
-            out = [[part % buckets, part, 0, raw.tobytes(), absent.tobytes(), class_scores(model, classes, text, n).tobytes(), tf.tobytes(), None, train.tobytes()]]
+            out = [[part % buckets, part, 0, raw.tobytes(), absent.tobytes(), class_scores(model, classes, text, n).tobytes(), zlib.compress(tf.tobytes(), 1), None, train.tobytes()]]
             rare = np.flatnonzero(classes[at] >= FIRST_RARE)
             if len(rare):
                 order = rare[np.lexsort((owner[rare], hashes[rare]))]
@@ -226,9 +227,9 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in batch.to_pylist():
             if row["kind"] == 0:
                 n = len(row["train"])
-                tf = np.frombuffer(row["texts"], dtype=np.uint32).reshape(n, CLASSES)
+                tf = np.frombuffer(zlib.decompress(row["texts"]), dtype=np.uint32).reshape(n, CLASSES)
                 totals += tf[np.frombuffer(row["train"], dtype=bool)].sum(axis=0, dtype=np.float64)
-                blob = np.int64(n).tobytes() + row["words"] + row["classes"] + row["holders"] + row["texts"] + row["train"]
+                blob = np.int64(n).tobytes() + row["words"] + row["classes"] + row["holders"] + row["train"] + row["texts"]
                 yield _answers([[row["part"], 0, None, None, blob]])
             else:
                 own.append(row)
@@ -295,8 +296,8 @@ def _finish(batches: Iterator[pa.RecordBatch], tokens: np.ndarray, distinct: np.
                 ids = np.frombuffer(raw, dtype=np.int64, count=n, offset=8)
                 absent = np.frombuffer(raw, dtype=np.uint8, count=n, offset=8 + 8 * n).astype(bool)
                 scores = np.frombuffer(memoryview(raw)[8 + 9 * n : 8 + 17 * n].tobytes(), dtype=np.float64)
-                tf = np.frombuffer(memoryview(raw)[8 + 17 * n : 8 + 17 * n + 4 * CLASSES * n].tobytes(), dtype=np.uint32).reshape(n, CLASSES)
-                train = np.frombuffer(memoryview(raw)[8 + 17 * n + 4 * CLASSES * n :].tobytes(), dtype=bool)
+                train = np.frombuffer(raw, dtype=bool, count=n, offset=8 + 17 * n)
+                tf = np.frombuffer(zlib.decompress(memoryview(raw)[8 + 18 * n :]), dtype=np.uint32).reshape(n, CLASSES)
                 at, state = part, [n, ids, absent, scores, tf, train, np.zeros(n), np.zeros(n)]
             else:
                 if part != at:

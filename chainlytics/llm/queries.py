@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
 from chainlytics.llm import bpe, jaccard, language, leaks, quality, repeats, search, tokens, toxicity, urls
+from chainlytics.llm.tables import small_batches
 
-QUERIES = {
+_RUNS = {
     "op1_toxicity": toxicity.op1_toxicity,
     "op2_language_model": language.op2_language_model,
     "op3_token_files": tokens.op3_token_files,
@@ -17,6 +22,14 @@ QUERIES = {
     "op10_top_k": search.op10_top_k,
 }
 
+
+
+def _prepared(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, folder: run(small_batches(spark), folder)
+
+
+QUERIES = {name: _prepared(run) for name, run in _RUNS.items()}
+
 ORACLES = {
     "op7_url_filter": urls.ORACLE,
     "op10_top_k": search.ORACLE,

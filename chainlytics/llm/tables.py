@@ -7,6 +7,18 @@ from pyspark.sql import DataFrame, SparkSession
 from chainlytics.session import workspace, written
 
 
+#: Rows and bytes that Spark hands a Python task at a time. The defaults (10,000 rows, 64 MB) are held several times over, by
+#: the JVM and by Python, which whole texts make too much for small executors.
+BATCH_ROWS, BATCH_BYTES = "1000", "8m"
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Set the session's Arrow batches to the sizes above; queries and pipeline stages begin with it."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return spark
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
