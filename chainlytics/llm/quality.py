@@ -27,8 +27,8 @@ WIDTH, DEPTH, FILTERS, HIDDEN, BLOCK, LAGS = 4, 8, 12, 16, 128, 24
 #: Labelled texts of each class to train on, and chunks taken from each of them.
 SAMPLE, CHUNKS = 1_500, 4
 
-#: Longest text, in characters, to train on; longer ones are scored like all others.
-LONGEST = 200_000
+#: Longest text to train on, in characters, and most bytes of all together; what is left out is scored like the rest.
+LONGEST, SAMPLE_BYTES = 200_000, 24_000_000
 
 #: A text is of good quality from this probability on.
 CUT = 0.3
@@ -222,7 +222,7 @@ def _calibrate(network: Network, texts: list[bytes], labels: np.ndarray, share:
 def labelled(docs: DataFrame, labels: DataFrame, label: str, held_out, sample: int = SAMPLE) -> tuple[list[bytes], np.ndarray, float | None]:
     """Texts and labels to train on, and the share of label 1 among all that may be learned from: of each class the ``sample`` rows with the smallest hash of their id, none held out.
 
-    This is the bounded sample the classifier is fitted on. Labels that are neither 0 nor 1, rows without text
+    This is the bounded sample the classifier is fitted on, up to ``SAMPLE_BYTES`` of text in the order of that hash. Labels that are neither 0 nor 1, rows without text
     and rows with more than ``LONGEST`` characters are left out; a document labelled twice counts for each label."""
     spark = docs.sparkSession
     known = labels.select("doc_id", F.col(label).cast("int").alias("label")).where(~held_out(F.col("doc_id"))).distinct()
@@ -232,8 +232,14 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, held_out, sample: i
         own = known.where(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
         picked = own if picked is None else picked.unionByName(own)
     chosen = spark.createDataFrame([tuple(r) for r in picked.collect()], "doc_id bigint, label int")
-    rows = docs.where(F.length("text") <= LONGEST).select("doc_id", "text").join(F.broadcast(chosen), "doc_id").orderBy("doc_id", "label", "text").limit(4 * sample)
-    found = [(r["text"].encode("utf-8"), r["label"]) for r in rows.toLocalIterator()]
+    rows = docs.where(F.length("text") <= LONGEST).select("doc_id", "text").join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "label", "text").limit(4 * sample)
+    found, size = [], 0
+    for row in rows.toLocalIterator():
+        raw = row["text"].encode("utf-8")
+        size += len(raw)
+        if size > SAMPLE_BYTES:
+            break
+        found.append((raw, row["label"]))
     share = counts[1] / (counts[0] + counts[1]) if len(counts) == 2 else None
     return [t for t, _ in found], np.array([y for _, y in found], dtype=np.float32), share
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chainlytics.llm.arrays import LOWER, SEPARATOR, between, parts, prefix_hash
+from chainlytics.llm.arrays import LOWER, PART_BYTES, SEPARATOR, between, parts, prefix_hash
 from chainlytics.llm.quality import labelled
 from chainlytics.llm.tables import table
 
@@ -32,8 +32,8 @@ DECAY, SPAN = 0.6, 5
 #: Characters of a word looked at together; longer words are read in pieces that overlap by half.
 LONGEST_WORD = 24
 
-#: Labelled texts of each class to train on, landmark words, turns of training.
-SAMPLE, LANDMARKS, TURNS = 3_000, 160, 5
+#: Labelled texts of each class to train on, landmark words, turns of training, machines whose mean is taken.
+SAMPLE, LANDMARKS, TURNS, FITS = 2_000, 160, 5, 4
 
 #: A text is called toxic from this probability on.
 CUT = 0.3
@@ -150,6 +150,32 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(self.scale * self.worst(data, bounds) + self.shift, -30, 30)))
 
 
+def _vocabulary(texts: list[bytes]):
+    """Distinct words of texts (codes, starts, ends) and the distinct pairs of text and word, in order of the texts. Texts
+    are read a part at a time."""
+    known, held, pairs, size, first = {}, [], [], 0, 0
+    while first < len(texts):
+        last, total = first, 0
+        while last < len(texts) and (last == first or total + len(texts[last]) <= PART_BYTES):
+            total += len(texts[last])
+            last += 1
+        own = texts[first:last]
+        codes, starts, ends, owner = units(np.frombuffer(b"".join(own), dtype=np.uint8), np.r_[0, np.cumsum([len(t) for t in own])])
+        if len(starts):
+            hashes, at, which = distinct(codes, starts, ends)
+            numbers = np.empty(len(hashes), dtype=np.int64)
+            for k, (h, a, b) in enumerate(zip(hashes.tolist(), starts[at].tolist(), ends[at].tolist())):
+                if h not in known:
+                    known[h] = len(held)
+                    held.append(codes[a:b].tobytes())
+                numbers[k] = known[h]
+            pairs.append(np.unique((owner + first) << 32 | numbers[which.ravel()]))
+        first = last
+    sizes = np.array([len(w) for w in held], dtype=np.int64)
+    both = np.concatenate(pairs) if pairs else np.zeros(0, dtype=np.int64)
+    return np.frombuffer(b"".join(held), dtype=np.uint8), np.cumsum(sizes) - sizes, np.cumsum(sizes), both >> 32, both & 0xFFFFFFFF
+
+
 def _landmark_matrix(codes, starts, ends) -> tuple[np.ndarray, np.ndarray]:
     """Triples that occur in the landmarks, and each landmark's normalised value for them."""
     found, values, owners = [], [], []
@@ -214,15 +240,8 @@ def train(texts: list[bytes], labels: np.ndarray, share: float | None = None, se
         machine.scale, machine.shift = 0.0, float(np.log(only / (1 - only)))
         return machine
     rng = np.random.default_rng(seed)
-    data = np.frombuffer(b"".join(texts), dtype=np.uint8)
-    bounds = np.r_[0, np.cumsum([len(t) for t in texts])]
-    codes, starts, ends, owner = units(data, bounds)
-    _, first, which = distinct(codes, starts, ends)
-    which = which.ravel()
-    starts, ends = starts[first], ends[first]
+    codes, starts, ends, text, word = _vocabulary(texts)
     n = len(starts)
-    pairs = np.unique(owner.astype(np.int64) * n + which)
-    text, word = pairs // n, pairs % n
     toxic = labels[text] == 1
     in_toxic = np.bincount(word[toxic], minlength=n)
     in_clean = np.bincount(word[~toxic], minlength=n)
@@ -251,38 +270,47 @@ def train(texts: list[bytes], labels: np.ndarray, share: float | None = None, se
     positive = np.unique(np.r_[shown, chosen[merit[chosen] > 0]])
     if len(positive) == 0:
         positive = np.unique(best(odds))
-    hard = np.zeros(0, dtype=np.int64)
-    common = positive[np.argsort(-in_toxic[positive], kind="stable")][: LANDMARKS // 2]
-    codes, more_starts, more_ends = _stretched(codes, starts[common], ends[common], rng)
-    stretched = n + np.arange(len(more_starts))
-    starts, ends = np.r_[starts, more_starts], np.r_[ends, more_ends]
-    for _ in range(TURNS):
-        negative = np.unique(np.r_[rng.choice(clean_words, min(6_000, len(clean_words)), replace=False), hard, clean_words[np.argsort(-in_clean[clean_words])[:500]]])
-        negative = np.setdiff1d(negative, positive)
-        by_use = positive[np.argsort(-in_toxic[positive], kind="stable")]
-        near = hard if len(hard) else negative
-        marks = np.unique(np.r_[by_use[: LANDMARKS // 2], rng.choice(near, min(LANDMARKS // 4, len(near)), replace=False), rng.choice(negative, min(LANDMARKS // 4, len(negative)), replace=False)])
-        numbers, matrix = _landmark_matrix(codes, starts[marks], ends[marks])
-        between_marks = _kernels(codes, starts[marks], ends[marks], numbers, matrix).astype(np.float64)
-        values, vectors = np.linalg.eigh((between_marks + between_marks.T) / 2)
-        good = values > values.max() * 1e-4
-        whiten = vectors[:, good] / np.sqrt(values[good])
-        wanted = np.r_[positive, stretched]
-        own = np.r_[wanted, negative]
-        x = _kernels(codes, starts[own], ends[own], numbers, matrix) @ whiten
-        y = np.r_[np.ones(len(wanted)), -np.ones(len(negative))]
-        cost = np.where(y > 0, 0.5 * len(own) / len(wanted), 0.5 * len(own) / max(1, len(negative))) * 4
-        w = _solve(np.c_[x, np.full(len(x), 3.0)], y, cost)
-        machine.weights = np.zeros(CODES**3, dtype=np.float32)
-        machine.weights[numbers] = (matrix[:-1] @ (whiten @ w[:-1])).astype(np.float32)
-        machine.weights[0] = 0
-        machine.offset = float(3.0 * w[-1])
-        margin = folded(codes, starts[:n], ends[:n], machine.weights) + machine.offset
-        positive = np.r_[positive[in_clean[positive] == 0], best(np.where(in_clean > 0.02 * (1 - labels).sum(), -9, margin))]
-        positive = np.unique(np.r_[shown, positive[margin[positive] > -0.5]])
-        if len(positive) == 0:
-            positive = np.unique(best(margin))
-        hard = clean_words[np.argsort(-margin[clean_words])[:2_000]]
+    def fit(positive: np.ndarray, rng) -> tuple[np.ndarray, float]:
+        """Weights and offset of one machine, from the first examples on."""
+        hard = np.zeros(0, dtype=np.int64)
+        common = positive[np.argsort(-in_toxic[positive], kind="stable")][: LANDMARKS // 2]
+        own_codes, more_starts, more_ends = _stretched(codes, starts[common], ends[common], rng)
+        stretched = n + np.arange(len(more_starts))
+        own_starts, own_ends = np.r_[starts, more_starts], np.r_[ends, more_ends]
+        for _ in range(TURNS):
+            negative = np.unique(np.r_[rng.choice(clean_words, min(6_000, len(clean_words)), replace=False), hard, clean_words[np.argsort(-in_clean[clean_words])[:500]]])
+            negative = np.setdiff1d(negative, positive)
+            by_use = positive[np.argsort(-in_toxic[positive], kind="stable")]
+            near = hard if len(hard) else negative
+            marks = np.unique(np.r_[by_use[: LANDMARKS // 2], rng.choice(near, min(LANDMARKS // 4, len(near)), replace=False), rng.choice(negative, min(LANDMARKS // 4, len(negative)), replace=False)])
+            numbers, matrix = _landmark_matrix(own_codes, own_starts[marks], own_ends[marks])
+            between_marks = _kernels(own_codes, own_starts[marks], own_ends[marks], numbers, matrix).astype(np.float64)
+            values, vectors = np.linalg.eigh((between_marks + between_marks.T) / 2)
+            good = values > values.max() * 1e-4
+            whiten = vectors[:, good] / np.sqrt(values[good])
+            wanted = np.r_[positive, stretched]
+            own = np.r_[wanted, negative]
+            x = _kernels(own_codes, own_starts[own], own_ends[own], numbers, matrix) @ whiten
+            y = np.r_[np.ones(len(wanted)), -np.ones(len(negative))]
+            cost = np.where(y > 0, 0.5 * len(own) / len(wanted), 0.5 * len(own) / max(1, len(negative))) * 4
+            w = _solve(np.c_[x, np.full(len(x), 3.0)], y, cost)
+            weights = np.zeros(CODES**3, dtype=np.float32)
+            weights[numbers] = (matrix[:-1] @ (whiten @ w[:-1])).astype(np.float32)
+            weights[0] = 0
+            offset = float(3.0 * w[-1])
+            margin = folded(codes, starts, ends, weights) + offset
+            positive = np.r_[positive[in_clean[positive] == 0], best(np.where(in_clean > 0.02 * (1 - labels).sum(), -9, margin))]
+            positive = np.unique(np.r_[shown, positive[margin[positive] > -0.5]])
+            if len(positive) == 0:
+                positive = np.unique(best(margin))
+            hard = clean_words[np.argsort(-margin[clean_words])[:2_000]]
+        return weights, offset
+
+    # Machines differ by the words drawn; their mean is one machine again, as margins are linear in the weights.
+    fits = [fit(positive, np.random.default_rng(seed + k)) for k in range(FITS)]
+    machine.weights = np.mean([w for w, _ in fits], axis=0, dtype=np.float32)
+    machine.offset = float(np.mean([o for _, o in fits]))
+    margin = folded(codes, starts, ends, machine.weights) + machine.offset
     top = np.full(len(texts), machine.floor)
     np.maximum.at(top, text, margin[word])
     _calibrate(machine, top, labels, labels.mean() if share is None else share)

@@ -48,7 +48,7 @@ def case(seed):
             item = rng.choice(items[:11])[1]
             text += "\n  " + edited(item, rng.randint(0, 12)).replace(" ", rng.choice([" ", "\n", " \t "])).upper() + "  " + prose(rng.randint(0, 30))
         docs.append((n, text))
-    return items, docs + [(500, None), (501, ""), (None, items[3][1]), (2, docs[2][1]), (502, prose(20_000) + items[0][1])]
+    return items, docs + [(500, None), (501, ""), (None, items[3][1]), (2, docs[2][1]), (502, prose(20_000) + max((t or "" for _, t in items[:3]), key=len))]
 
 
 def test_myers_is_the_edit_distance():
@@ -86,7 +86,8 @@ def test_all_items_and_no_others(spark):
         want = expected(items, docs)
         short = [w for w in want if w[0] != 502]
         assert sorted(((r.doc_id, r.item_id, r.distance) for r in got if r.doc_id != 502), key=str) == short and len(short) > 20
-        assert (502, 0, 0) in {(r.doc_id, r.item_id, r.distance) for r in got}
+        longest = max(items[:3], key=lambda i: len(i[1]))[0]
+        assert (502, longest, 0) in {(r.doc_id, r.item_id, r.distance) for r in got}
         by_doc = dict(docs)
         for r in got:
             if r.doc_id is not None and r.distance == 0:
