@@ -30,8 +30,8 @@ from chainlytics.session import shuffle_width
 #: Characters of a word from which on it is cut, and the most of a segment.
 LONG, SEGMENT = 8_192, 4_096
 
-#: Longest word that a task keeps the ids of, and most words of each of the two generations it keeps.
-MEMO_CHARS, MEMO_WORDS = 48, 250_000
+#: Longest word that a task keeps the ids of, and most words it keeps; when full it starts anew.
+MEMO_CHARS, MEMO_WORDS = 48, 500_000
 
 #: The word pattern for lower-cased text up to U+017F; alternatives that exclude each other by their first characters are
 #: put in order of frequency.
@@ -104,20 +104,17 @@ class Coder:
 
 
 class Words(dict):
-    """Word -> its ids as little-endian 32-bit integers. Keys are words of lower-cased plain text. When full, what has not
-    been asked for since the last time it was full is forgotten."""
+    """Word -> its ids as little-endian 32-bit integers. Keys are words of lower-cased plain text."""
 
     def __init__(self, coder: Coder):
         super().__init__()
-        self.coder, self.older = coder, {}
+        self.coder = coder
 
     def __missing__(self, word: str) -> bytes:
-        ids = self.older.get(word)
-        if ids is None:
-            ids = array("I", self.coder.merge(word.encode("utf-8").decode("latin-1").translate(self.coder.characters))).tobytes()
+        plain_word = word.isascii() and word.isalnum()
+        ids = array("I", self.coder.merge(word if plain_word else word.encode("utf-8").decode("latin-1").translate(self.coder.characters))).tobytes()
         if len(word) <= MEMO_CHARS:
             if len(self) >= MEMO_WORDS:
-                self.older = dict(self)
                 self.clear()
             self[word] = ids
         return ids

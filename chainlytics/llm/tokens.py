@@ -54,8 +54,8 @@ def byte_characters() -> dict[int, int]:
     return {b: b for b in same} | {b: 256 + k for k, b in enumerate(others)}
 
 
-#: Longest piece that a task keeps the ids of, and most pieces of each of the two generations it keeps.
-MEMO_CHARS, MEMO_PIECES = 48, 250_000
+#: Longest piece that a task keeps the ids of, and most pieces it keeps; when full it starts anew.
+MEMO_CHARS, MEMO_PIECES = 48, 500_000
 
 #: Ids, bytes: an ORC stripe and the rows a row index entry and a Bloom filter stand for.
 STRIPE_BYTES, INDEX_ROWS = 64 << 20, 1_000
@@ -64,24 +64,25 @@ STORED = "doc_id bigint, ids array<int>, n_tokens bigint"
 
 
 class Memo(dict):
-    """Piece -> its ids as little-endian 32-bit integers, by the tokenizer's model. When full, what has not been asked for
-    since the last time it was full is forgotten."""
+    """Piece -> its ids as little-endian 32-bit integers, by the tokenizer's model."""
 
     def __init__(self, tokenizer):
         super().__init__()
-        self.tokenizer, self.model, self.older = tokenizer, tokenizer.model, {}
+        self.tokenizer, self.model = tokenizer, tokenizer.model
         self.characters = byte_characters()
+        self.blank = chr(self.characters[0x20])
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self.older.get(piece)
-        if ids is None:
-            ids = array("I", [t.id for t in self.model.tokenize(piece.encode("utf-8").decode("latin-1").translate(self.characters))]).tobytes()
+        if piece.isascii() and piece[1:].isalnum() and piece[0] == " ":
+            mapped = self.blank + piece[1:]  # the usual case, without a table
+        else:
+            mapped = piece.encode("utf-8").decode("latin-1").translate(self.characters)
+        ids = array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
         if len(piece) <= MEMO_CHARS:
             if len(self) >= MEMO_PIECES:
-                self.older = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
@@ -131,13 +132,14 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int | None, f
     """Encode ``text`` of every row and write (doc_id, ids, n_tokens) as ORC files in ascending doc_id order.
 
     Null texts are empty: they hold the end id alone. A row without a doc_id comes first; rows that share a doc_id are all
-    kept, next to each other and in the order of their texts. An empty table gives files without rows. Other columns of
+    kept, next to each other and in the order of their texts' hashes. An empty table gives files without rows. Other columns of
     ``docs`` are not read.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    spread = rows.repartitionByRange(files or shuffle_width(spark), "doc_id", "text").sortWithinPartitions("doc_id", "text")
-    coded = spread.mapInArrow(lambda it: encode_batches(it, vocabulary, end_id), STORED)
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("hash"))
+    # The cuts come from a sample of the sort keys, so these are numbers, not texts.
+    spread = rows.repartitionByRange(files or shuffle_width(spark), "doc_id", "hash").sortWithinPartitions("doc_id", "hash")
+    coded = spread.select("doc_id", "text").mapInArrow(lambda it: encode_batches(it, vocabulary, end_id), STORED)
     (
         coded.write.option("compression", "zstd")
         .option("orc.stripe.size", STRIPE_BYTES)
