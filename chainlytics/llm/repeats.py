@@ -79,7 +79,8 @@ def _send(batches: Iterator[pa.RecordBatch], buckets: int, length: int) -> Itera
             if len(text) == 0:
                 continue
             keys = np.asarray(rows.column(KEY).to_numpy(zero_copy_only=False), dtype=np.int64)
-            anchor = between(sums, place, place + GRAM)
+            # Anchors have the smallest hashes around; mixed once more they are spread evenly again.
+            anchor = mix(between(sums, place, place + GRAM))
             stretch = mix(between(sums, start, start + count + length - 1) + (place - start).astype(np.uint64))
             order = np.argsort(anchor, kind="stable")
             to = ((anchor[order] >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
@@ -181,33 +182,37 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     key = np.zeros(n, dtype=np.uint64)
     for k in range(8):
         key |= wide[k : k + n] << np.uint64(8 * (7 - k))
-    order = np.argsort(key, kind="stable").astype(np.int64)
-    # Suffixes shorter than 8 bytes are filled up with zeros and told apart by their length (shorter ones come first).
-    tail = np.minimum(n - order, 8)
-    if n and (tail < 8).any():
-        order = order[np.lexsort((tail, key[order]))]
+    order = np.argsort(key).astype(np.int32)
     ordered = key[order]
-    fresh = np.r_[True, (ordered[1:] != ordered[:-1]) | (np.minimum(n - order, 8)[1:] != np.minimum(n - order, 8)[:-1])] if n else np.zeros(0, bool)
-    group = np.maximum.accumulate(np.where(fresh, np.arange(n), 0))
-    rank = np.empty(n + 1, dtype=np.int64)
-    rank[order] = group
-    rank[n] = -1
+    # Suffixes shorter than 8 bytes were filled up with zeros; equal ones are told apart by their length, shorter first.
+    size = np.minimum(n - order, 8)
+    if n:
+        alike = np.flatnonzero(np.isin(ordered, key[max(0, n - 7) :]))
+        order[alike] = order[alike][np.lexsort((size[alike], ordered[alike]))]
+        size = np.minimum(n - order, 8)
+    fresh = np.ones(n, dtype=bool)
+    fresh[1:] = (ordered[1:] != ordered[:-1]) | (size[1:] != size[:-1])
+    del key, wide
+    place = np.arange(n, dtype=np.int32)
+    # Ranks count from 1; 0 stands for what lies past the end.
+    rank = np.zeros(n + 1, dtype=np.int32)
+    rank[order] = np.maximum.accumulate(np.where(fresh, place, 0)) + 1
     step = 8
     while True:
-        size = np.diff(np.r_[np.flatnonzero(fresh), n])
-        open_at = np.flatnonzero(np.repeat(size > 1, size))
+        single = fresh.copy()
+        single[:-1] &= fresh[1:]
+        open_at = np.flatnonzero(~single).astype(np.int32)
         if len(open_at) == 0:
             return order
         own = order[open_at]
-        after = rank[np.minimum(own + step, n)]
-        before = rank[own]
-        within = np.lexsort((after, before))
-        own, after, before = own[within], after[within], before[within]
+        pair = rank[own].astype(np.uint64) << np.uint64(32) | rank[np.minimum(own + step, n)].astype(np.uint64)
+        within = np.argsort(pair)
+        own, pair = own[within], pair[within]
         order[open_at] = own
-        new = np.r_[True, (before[1:] != before[:-1]) | (after[1:] != after[:-1])]
+        new = np.ones(len(own), dtype=bool)
+        new[1:] = pair[1:] != pair[:-1]
         fresh[open_at] = new
-        start = np.maximum.accumulate(np.where(new, open_at, 0))
-        rank[own] = start
+        rank[own] = np.maximum.accumulate(np.where(new, open_at, 0)) + 1
         step *= 2
 
 
