@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,3 +27,12 @@ def holds(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """True for every key in the map, and for a few others."""
     place = keys.astype(np.int64) % BITS
     return (words[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) == 1
+
+
+def only(batches: Iterator[pa.RecordBatch], words: np.ndarray, column: str, inside: bool) -> Iterator[pa.RecordBatch]:
+    """Rows whose key is in the map, or those whose key is not (rows without a key are not)."""
+    for batch in batches:
+        keys = batch.column(column)
+        hit = holds(words, np.asarray(keys.fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64))
+        hit &= ~np.asarray(keys.is_null().to_numpy(zero_copy_only=False))
+        yield batch.filter(pa.array(hit if inside else ~hit))

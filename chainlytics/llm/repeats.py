@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chainlytics.llm.arrays import between, mix, parts, prefix_hash, ranges
-from chainlytics.llm.bitmap import bitmap, holds
+from chainlytics.llm.bitmap import bitmap, only
 from chainlytics.llm.tables import kept, table
 from chainlytics.session import shuffle_width
 
@@ -148,13 +148,6 @@ def _pair(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordB
         )
 
 
-def _only(batches: Iterator[pa.RecordBatch], words: np.ndarray, inside: bool) -> Iterator[pa.RecordBatch]:
-    """Rows whose key is in the bitmap, or those that are not."""
-    for batch in batches:
-        hit = holds(words, np.asarray(batch.column(KEY).to_numpy(zero_copy_only=False), dtype=np.int64))
-        yield batch.filter(pa.array(hit if inside else ~hit))
-
-
 PIECE = "anchor bigint, salt int, kinds int, key bigint, start bigint, windows int, alone boolean, piece binary"
 
 
@@ -387,9 +380,9 @@ def marked(docs: DataFrame, length: int = LENGTH, most: int = MOST, shard: int =
     asked = found.where("kind = 1").withColumn("salt", salt).groupBy(F.col("key").alias(KEY)).agg(F.collect_list(F.struct("anchor", "salt", "kinds", "start", "windows", "alone")).alias("asked"))
     asked = kept(asked, "asked")
     wanted = spark.sparkContext.broadcast(bitmap(asked, KEY))
-    near = texts.mapInArrow(lambda it: _only(it, wanted.value, True), texts.schema)
+    near = texts.mapInArrow(lambda it: only(it, wanted.value, KEY, True), texts.schema)
     single = near.groupBy(KEY).agg(F.first("text").alias("text"))
-    pieces = single.join(asked, KEY).mapInArrow(lambda it: _fetch(it, length), PIECE)
+    pieces = single.join(asked.hint("merge"), KEY).mapInArrow(lambda it: _fetch(it, length), PIECE)
     dealt = pieces.repartition(width, "anchor", "salt").sortWithinPartitions("anchor", "salt")
     sorted_shards = kept(dealt.mapInArrow(lambda it: _sort_shards(it, length, most, shard), RESULT), "shards")
 
@@ -401,8 +394,8 @@ def marked(docs: DataFrame, length: int = LENGTH, most: int = MOST, shard: int =
 
     hit = spark.sparkContext.broadcast(bitmap(spans, KEY))
     none = F.from_json(F.lit("[]"), "array<struct<start:bigint,end:bigint>>")
-    clear = rows.mapInArrow(lambda it: _only(it, hit.value, False), rows.schema).withColumn("spans", none)
-    touched = rows.mapInArrow(lambda it: _only(it, hit.value, True), rows.schema).join(spans, KEY, "left").withColumn("spans", F.coalesce("spans", none))
+    clear = rows.mapInArrow(lambda it: only(it, hit.value, KEY, False), rows.schema).withColumn("spans", none)
+    touched = rows.mapInArrow(lambda it: only(it, hit.value, KEY, True), rows.schema).join(spans.hint("merge"), KEY, "left").withColumn("spans", F.coalesce("spans", none))
     return clear.select(*base.columns, "spans").unionByName(touched.select(*base.columns, "spans"))
 
 
