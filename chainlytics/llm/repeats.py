@@ -36,7 +36,7 @@ from chainlytics.session import shuffle_width
 LENGTH, GRAM = 200, 24
 
 #: Bytes of a shard's stretches, and stretches of one anchor in a shard.
-SHARD, MOST = 1_500_000, 4_096
+SHARD, MOST = 400_000, 4_096
 
 KEY = "__text_key"
 STRETCH = "bucket int, anchors binary, stretches binary, texts binary, keys binary, starts binary, counts binary, leads binary"
@@ -284,13 +284,17 @@ def _sort_shards(batches: Iterator[pa.RecordBatch], length: int, most: int, shar
         shared = [n for n, h in enumerate(held) if h[2] > most]
         if shared:
             anchor, salt = held[shared[0]][:2]
+            first = np.cumsum(counts) - counts
             hashes, owners = [], []
             for n in shared:
                 raw = np.frombuffer(held[n][7], dtype=np.uint8)
                 w = np.arange(held[n][5])
                 hashes.append(between(prefix_hash(raw), w, w + length))
-                owners.append(np.c_[np.full(len(w), held[n][3]), held[n][4] + w, np.full(len(w), int(held[n][6]))])
-            out.append((None, None, None, anchor, salt, np.concatenate(hashes).tobytes(), np.concatenate(owners).astype(np.int64).tobytes()))
+                # Only windows with no equal in their own shard wait for an answer of the others.
+                asks = alone[n] & ~again[first[n] : first[n] + len(w)]
+                owners.append(np.c_[np.full(len(w), held[n][3]), held[n][4] + w, asks])
+            own, at = np.unique(np.concatenate(hashes), return_index=True)
+            out.append((None, None, None, anchor, salt, own.tobytes(), np.concatenate(owners).astype(np.int64)[at].tobytes()))
         if out:
             return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*out), kinds)], names=names)
         return None
