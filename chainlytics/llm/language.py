@@ -3,8 +3,9 @@
 Every token falls in one of ``CLASSES`` classes: the most frequent words and the text's end are classes of their own, any
 other word belongs to one of ``RARE`` classes by its last bytes. The model predicts a token's class from the classes of the
 two tokens before it: their vectors, each through a matrix for its place, add up to a prediction that is compared with
-every class's vector. It is trained by noise-contrastive estimation (the driver, a bounded sample of the training texts);
-when scoring, the distinct contexts of a part go through one matrix product and are normalised over all classes. Within a
+every class's vector. It is trained by noise-contrastive estimation on the class trigrams of all training texts, summed in
+Spark into a table whose size the number of classes bounds; the frequent words come from the words of all of them. When
+scoring, the distinct contexts of a part go through one matrix product and are normalised over all classes. Within a
 rare class a word has probability (count + 1) / (sum of the class's counts + its distinct words + 1), where the last 1 is
 for all words never seen, so the probabilities of all known tokens and of "some unknown word" add up to 1.
 
@@ -34,12 +35,14 @@ CLASSES, RARE, CONTEXT, DEPTH = 256, 64, 2, 32
 #: Class of the text's end, the first class of rare words, and the number that stands before a text's first token.
 END, FIRST_RARE, BEFORE = CLASSES - RARE - 1, CLASSES - RARE, CLASSES
 
-#: Training texts that the log-bilinear model is fitted on (expected number) and the longest of them, in characters.
-SAMPLE, LONGEST = 2_000, 100_000
+#: Noise tokens a token is told from, steps a pass, passes over all contexts.
+NOISE, STEPS, PASSES = 64, 512, 48
 
-#: Noise tokens drawn a step, tokens a step, passes over the sample.
-NOISE, STEP, PASSES = 64, 1_024, 3
+#: Contexts of one nearest class, cells of a row of counts (context and class), words held before they are sent on.
+SECOND, CELLS, HELD = CLASSES + 1, (CLASSES + 1) * CLASSES, 1 << 20
 
+WORDS = "bucket int, words binary, times binary"
+TRIGRAMS = "near int, cells binary, times binary"
 EXCHANGE = "bucket int, part bigint, kind int, words binary, classes binary, holders binary, texts binary, times binary, train binary"
 ANSWER = "part bigint, kind int, place int, value double, blob binary"
 
@@ -104,59 +107,67 @@ def contexts_of(classes: np.ndarray, text: np.ndarray) -> np.ndarray:
     return out
 
 
+def frequent(hashes: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """Places of the most frequent words, of equally frequent ones those of the smallest hashes."""
+    return np.lexsort((hashes, -times))[:END]
+
+
+def cells_of(classes: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct class trigrams as nearest class * CELLS + second * CLASSES + class, and how often each occurs."""
+    contexts = contexts_of(classes, text)
+    return np.unique((contexts[:, 0] * SECOND + contexts[:, 1]) * CLASSES + classes, return_counts=True)
+
+
 def train(texts: list[bytes], seed: int = 3) -> LogBilinear:
-    """Choose the frequent words and fit the model by noise-contrastive estimation. Without texts all classes are equal."""
+    """Choose the frequent words of texts in memory and fit the model on them; ``fitted`` does it for a table."""
     data = np.frombuffer(b"".join(texts), dtype=np.uint8)
     bounds = np.r_[0, np.cumsum([len(t) for t in texts])].astype(np.int64)
-    hashes, _, _ = tokenised(data, bounds)
-    found, times = np.unique(hashes, return_counts=True)
-    model = LogBilinear(found[np.lexsort((found, -times))][:END], seed)
+    found, times = np.unique(tokenised(data, bounds)[0], return_counts=True)
+    model = LogBilinear(found[frequent(found, times)], seed)
     classes, text, *_ = sequences(model, data, bounds)
-    if len(classes) == 0:
+    cells, times = cells_of(classes, text)
+    counts = np.zeros((SECOND * SECOND, CLASSES), dtype=np.float32)
+    counts.reshape(-1)[cells] = times
+    return fit(model, counts, seed)
+
+
+def fit(model: LogBilinear, counts: np.ndarray, seed: int = 3) -> LogBilinear:
+    """Noise-contrastive estimation from the counts of all classes (columns) after all contexts (rows). Each pass goes over
+    every context; noise is not drawn but weighed by its probability. Without counts all classes are equal."""
+    sizes = counts.sum(axis=1, dtype=np.float64)
+    held, total = np.flatnonzero(sizes), sizes.sum()
+    if len(held) == 0:
         return model
-    contexts = contexts_of(classes, text)
-    rng = np.random.default_rng(seed)
-    noise = np.bincount(classes, minlength=CLASSES) + 1.0
+    noise = counts.sum(axis=0, dtype=np.float64) + 1.0
     noise /= noise.sum()
     log_noise = np.log(noise * NOISE).astype(np.float32)
     model.bias[:] = np.log(noise)
     values = [model.given, model.places, model.wanted, model.bias]
     squares = [np.full_like(v, 1e-3) for v in values]
-    steps = len(classes) // STEP + 1
+    rng = np.random.default_rng(seed)
     for turn in range(PASSES):
-        order = rng.permutation(len(classes))
-        rate = np.float32(0.15 / (1 + turn))
-        for k in range(steps):
-            own = order[k * STEP : (k + 1) * STEP]
-            if len(own) == 0:
-                continue
-            drawn = rng.choice(CLASSES, NOISE, p=noise)
-            for value, square, slope in zip(values, squares, _slopes(model, contexts[own], classes[own], drawn, log_noise)):
+        rate = np.float32(0.1 / (1 + turn) ** 0.5)
+        for own in np.array_split(rng.permutation(held), min(STEPS, len(held))):
+            share = counts[own] * np.float32(min(STEPS, len(held)) / total)
+            for value, square, slope in zip(values, squares, _slopes(model, own, share, log_noise)):
                 square += slope * slope
                 value += rate * slope / np.sqrt(square)
     return model
 
 
-def _slopes(model: LogBilinear, contexts, classes, drawn, log_noise):
-    """Ascent directions of the mean log-likelihood of telling tokens from noise."""
-    n = len(classes)
-    given = [model.given[contexts[:, k]] for k in range(CONTEXT)]
+def _slopes(model: LogBilinear, own, share, log_noise):
+    """Ascent directions of the log-likelihood of telling the tokens after some contexts from noise."""
+    contexts = [own // SECOND, own % SECOND]
+    given = [model.given[c] for c in contexts]
     predicted = sum(g @ model.places[k] for k, g in enumerate(given))
-    true = (predicted * model.wanted[classes]).sum(axis=1) + model.bias[classes] - log_noise[classes]
-    false = predicted @ model.wanted[drawn].T + model.bias[drawn] - log_noise[drawn]
-    up = (1 / (1 + np.exp(np.clip(true, -30, 30)))) / n
-    down = -(1 / (1 + np.exp(-np.clip(false, -30, 30)))) / n
-    back = up[:, None] * model.wanted[classes] + down @ model.wanted[drawn]
-    wanted, bias = np.zeros_like(model.wanted), np.zeros_like(model.bias)
-    np.add.at(wanted, classes, up[:, None] * predicted)
-    np.add.at(wanted, drawn, down.T @ predicted)
-    np.add.at(bias, classes, up)
-    np.add.at(bias, drawn, down.sum(axis=0))
+    told = 1 / (1 + np.exp(-np.clip(predicted @ model.wanted.T + model.bias - log_noise, -30, 30)))
+    slope = share * (1 - told) - share.sum(axis=1, keepdims=True) * np.exp(log_noise) * told
+    back = slope @ model.wanted
     vectors, places = np.zeros_like(model.given), np.zeros_like(model.places)
     for k in range(CONTEXT):
         places[k] = given[k].T @ back
-        np.add.at(vectors, contexts[:, k], back @ model.places[k].T)
-    return vectors, places, wanted, bias
+        np.add.at(vectors, contexts[k], back @ model.places[k].T)
+    return vectors, places, slope.T @ predicted, slope.sum(axis=0)
 
 
 def class_scores(model: LogBilinear, classes: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
@@ -313,13 +324,103 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 7 == 2, F.lit(False))
 
 
-def fitted(docs: DataFrame, sample: int = SAMPLE) -> LogBilinear:
-    """The model, fitted on about ``sample`` of the rows by a hash of their id (all, if there are fewer)."""
-    n = docs.select("doc_id").count()
-    every = max(1, n // sample)
-    rows = docs.where((F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0) & (F.length("text") <= LONGEST))
-    texts = [r["text"].encode("utf-8") for r in rows.orderBy("doc_id", "text").select("text").limit(2 * sample).toLocalIterator()]
-    return train(texts)
+def _frame(rows: list[tuple], fields: str) -> pa.RecordBatch:
+    kinds = [pa.int32(), pa.binary(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)], names=[f.split()[0] for f in fields.split(", ")])
+
+
+def _words(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Texts to rows of WORDS: the distinct words of a task and their counts, by buckets of hashes."""
+    hashes, times = [], []
+
+    def sent():
+        found, sums = _summed(hashes, times)
+        to = ((found >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+        cuts = np.searchsorted(to, np.arange(buckets + 1, dtype=np.uint64))
+        return _frame([(b, found[cuts[b] : cuts[b + 1]].tobytes(), sums[cuts[b] : cuts[b + 1]].tobytes()) for b in np.flatnonzero(np.diff(cuts)).tolist()], WORDS)
+
+    for batch in batches:
+        for _, data, bounds in parts(batch):
+            found, sums = np.unique(tokenised(data, bounds)[0], return_counts=True)
+            if len(found):
+                hashes.append(found)
+                times.append(sums)
+            if sum(map(len, hashes)) > HELD:
+                found, sums = _summed(hashes, times)
+                hashes, times = [found], [sums]
+                if len(found) > HELD // 2:
+                    yield sent()
+                    hashes, times = [], []
+    if hashes:
+        yield sent()
+
+
+def _summed(keys: list[np.ndarray], times: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, sorted, and the sums of their counts."""
+    found, which = np.unique(np.concatenate(keys), return_inverse=True)
+    sums = np.zeros(len(found), dtype=np.int64)
+    np.add.at(sums, which.ravel(), np.concatenate(times))
+    return found, sums
+
+
+def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of WORDS, all of a bucket in one task, to one with the most frequent words of the task's buckets."""
+    rows = [(h.as_buffer(), t.as_buffer()) for batch in batches for h, t in zip(batch.column("words"), batch.column("times"))]
+    if rows:
+        found, sums = _summed([np.frombuffer(h, dtype=np.uint64) for h, _ in rows], [np.frombuffer(t, dtype=np.int64) for _, t in rows])
+        best = frequent(found, sums)
+        yield _frame([(0, found[best].tobytes(), sums[best].tobytes())], WORDS)
+
+
+def _trigrams(batches: Iterator[pa.RecordBatch], model: LogBilinear) -> Iterator[pa.RecordBatch]:
+    """Texts to rows of TRIGRAMS: a task's counts, a row for each nearest class."""
+    counts = np.zeros(SECOND * CELLS, dtype=np.int64)
+    for batch in batches:
+        for _, data, bounds in parts(batch):
+            classes, text, *_ = sequences(model, data, bounds)
+            cells, times = cells_of(classes, text)
+            counts[cells] += times
+    yield from _rows(enumerate(counts.reshape(SECOND, CELLS)))
+
+
+def _rows(counts) -> Iterator[pa.RecordBatch]:
+    for near, own in counts:
+        cells = np.flatnonzero(own)
+        if len(cells):
+            yield _frame([(near, zlib.compress(cells.astype(np.uint32).tobytes(), 1), zlib.compress(own[cells].tobytes(), 1))], TRIGRAMS)
+
+
+def _unpacked(cells: bytes, times: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(zlib.decompress(cells), dtype=np.uint32), np.frombuffer(zlib.decompress(times), dtype=np.int64)
+
+
+def _sum_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of TRIGRAMS, all of a nearest class in one task, to one row for each."""
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for near, cells, times in zip(batch.column("near").to_pylist(), batch.column("cells"), batch.column("times")):
+            at, own = _unpacked(cells.as_buffer(), times.as_buffer())
+            sums.setdefault(near, np.zeros(CELLS, dtype=np.int64))[at] += own
+    yield from _rows(sorted(sums.items()))
+
+
+def fitted(docs: DataFrame) -> LogBilinear:
+    """The model, its frequent words chosen from all words of all rows and fitted on all their class trigrams."""
+    spark = docs.sparkSession
+    buckets = shuffle_width(spark)
+    texts = docs.select("text")
+    sent = texts.mapInArrow(lambda it: _words(it, buckets), WORDS).repartition(buckets, "bucket")
+    best = sent.mapInArrow(_frequent, WORDS).collect()
+    found = np.concatenate([np.zeros(0, dtype=np.uint64), *(np.frombuffer(r["words"], dtype=np.uint64) for r in best)])
+    times = np.concatenate([np.zeros(0, dtype=np.int64), *(np.frombuffer(r["times"], dtype=np.int64) for r in best)])
+    model = LogBilinear(found[frequent(found, times)])
+    shared = spark.sparkContext.broadcast(model)
+    sums = texts.mapInArrow(lambda it: _trigrams(it, shared.value), TRIGRAMS).repartition(buckets, "near").mapInArrow(_sum_trigrams, TRIGRAMS)
+    counts = np.zeros((SECOND, CELLS), dtype=np.float32)
+    for row in sums.toLocalIterator():
+        at, own = _unpacked(row["cells"], row["times"])
+        counts[row["near"], at] = own
+    return fit(model, counts.reshape(SECOND * SECOND, CLASSES))
 
 
 def score(docs: DataFrame, is_held_out=held_out) -> DataFrame:

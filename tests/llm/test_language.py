@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from chainlytics.llm import language as M
@@ -93,6 +94,34 @@ def test_it_learns_what_follows_what():
     assert table[0][b] > 5 * table[1][b]
 
 
+def test_the_model_is_fitted_on_all_texts_whole(spark):
+    rng = random.Random(9)
+    docs = [(n, " ".join(rng.choices(["p", "q", "r", f"only{n % 700}"], k=6))) for n in range(6_000)]
+    docs += [(7_000, "long1 long2 " * 10_000), (7_001, None), (None, "no id"), (7_002, "")]
+    want = M.train([(t or "").encode() for _, t in docs])
+    got = M.fitted(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(5))
+    assert np.array_equal(got.top, want.top) and np.array_equal(got.order, want.order)
+    assert all(np.allclose(getattr(got, k), getattr(want, k), atol=1e-5) for k in ("given", "places", "wanted", "bias"))
+    raw = np.frombuffer(b"long1 long2", dtype=np.uint8)
+    a, b = M.sequences(got, raw, np.array([0, len(raw)]))[0][:2]
+    assert (10.0 ** got.log10(np.array([[a, b]])))[0][b] > 0.5
+
+
+def test_words_sent_in_several_rounds_keep_their_counts(monkeypatch):
+    texts = [t for _, t in rows()]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])
+    monkeypatch.setattr(M, "HELD", 50)
+    counts = collections.Counter()
+    sent = 0
+    for out in M._words(iter([batch.slice(k, 10) for k in range(0, len(texts), 10)]), 7):
+        sent += 1
+        for r in out.to_pylist():
+            for h, n in zip(np.frombuffer(r["words"], dtype=np.uint64).tolist(), np.frombuffer(r["times"], dtype=np.int64).tolist()):
+                counts[h] += n
+    want = collections.Counter(w for t in texts for w in WORD.findall((t or "").translate(LOW)))
+    assert sent > 1 and sorted(counts.values()) == sorted(want.values())
+
+
 def test_empty_table_and_all_held_out(spark):
     assert M.score(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
     own = [n for n in range(100) if zlib.crc32(str(n).encode()) % 7 == 2][:3]
