@@ -3,7 +3,8 @@
 A test item of m bytes may stand in a text with up to k = RATE % of m edits (insert, delete, replace one byte). Cut into
 k + 1 pieces, at least one piece then stands there unchanged, so exact hits of pieces (one automaton over all items) find
 every place in question. A place is kept if enough of the item's 4-byte strings occur around it (k edits spoil at most 4k
-of them), and is settled by Myers' bit-parallel edit distance, the item's bytes being the bits of one number.
+of them), and is settled by Myers' bit-parallel edit distance, the item's bytes being the bits of one number. Items of
+less than ``SHORT`` bytes that may have no edits are found where they stand as whole words.
 
 Texts and items are compared with A-Z lower-cased and runs of white space as one blank. Items are sent to the tasks in
 blocks of at most ``BLOCK`` bytes, one pass over the texts a block."""
@@ -22,7 +23,10 @@ from chainlytics.llm.arrays import LOWER, SEPARATOR, parts, ranges
 from chainlytics.llm.tables import table
 
 #: Edits in a hundred bytes; bytes an item must have to be looked for; bytes of items sent to the tasks at once.
-RATE, LEAST, BLOCK = 10, 20, 8 << 20
+RATE, LEAST, BLOCK = 10, 1, 8 << 20
+
+#: Items of fewer bytes must begin and end where words do, as ordinary words hold them; bytes that belong to words.
+SHORT, LETTERS = 10, frozenset(b"0123456789abcdefghijklmnopqrstuvwxyz") | frozenset(range(0x80, 0x100))
 
 #: Length of the strings counted before the edit distance, width of a band of diagonals seen as one place.
 GRAM, BAND = 4, 64
@@ -70,6 +74,18 @@ def myers(pattern: bytes, text: bytes) -> tuple[int, int]:
     return best, end
 
 
+def whole_word(item: bytes, text: bytes, first: int, last: int) -> int:
+    """Where the item first stands in text[first:last] without a word going on before or after it, or -1."""
+    at = text.find(item, first, last)
+    while at >= 0:
+        end = at + len(item)
+        inside = at > 0 and text[at - 1] in LETTERS and item[0] in LETTERS
+        if not inside and not (end < len(text) and text[end] in LETTERS and item[-1] in LETTERS):
+            return at
+        at = text.find(item, at + 1, last)
+    return -1
+
+
 class Items:
     """Normalised items, their budgets, and the automaton of their pieces; built where it is used."""
 
@@ -133,6 +149,14 @@ class Items:
             ends = np.cumsum(np.maximum(sizes, 0))
             enough = held[ends] - held[ends - np.maximum(sizes, 0)] >= need
             for t, first, last in at[enough].tolist():
+                if budget == 0 and len(item) < SHORT:
+                    a, b = int(edges[t]), int(edges[t + 1])
+                    before = max(a, first - 1)
+                    place = whole_word(item, norm[before : min(b, last + 1)].tobytes(), first - before, last - before)
+                    found = (0, before + place, before + place + len(item))
+                    if place >= 0 and ((t, n) not in best or found < best[t, n]):
+                        best[t, n] = found
+                    continue
                 window = norm[first:last].tobytes()
                 distance, end = myers(item, window)
                 if distance > budget:
@@ -187,8 +211,8 @@ def blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
 def matches(docs: DataFrame, benchmark: DataFrame, rate: int = RATE, least: int = LEAST) -> DataFrame:
     """(doc_id, item_id, distance, start, end): the best place of each item in each row's whole text, as byte offsets.
 
-    Null and empty texts match nothing; null items, and items of less than ``least`` bytes, which ordinary text may hold,
-    are not looked for. Repeated rows and repeated items are reported each; rows without a doc_id and items without an
+    Null and empty texts match nothing; null and empty items, and items of less than ``least`` bytes, are not looked
+    for; items of less than ``SHORT`` bytes are, as whole words. Repeated rows and repeated items are reported each; rows without a doc_id and items without an
     item_id are reported with null. Without texts or items the result is empty. Other columns are not read."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     out = None

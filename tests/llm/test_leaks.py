@@ -98,6 +98,19 @@ def test_all_items_and_no_others(spark):
         assert sorted(map(str, kept)) == sorted(str(d) for d, _ in docs if d not in dirty)
 
 
+def test_short_items_are_found(spark):
+    items = [(1, "Is it so?"), (2, "2 + 2 = 4"), (3, "ab"), (4, "What is pi?"), (5, "Name two gases."), (6, "a"), (7, " "), (8, "?!"), (9, "été")]
+    docs = [(1, "He asked: is\nit  SO? No."), (2, "so 2 + 2 = 4"), (3, "2 + 2 = 42 and 12 + 2 = 4"), (4, "about abs, cab"), (5, "cab about; x (AB)"), (6, "what iz pi?"), (7, "wat iz pi?"), (8, "Name two gasses."), (9, "gases, two"), (10, "ab"), (11, "word?! next"), (12, "étés"), (13, "cet été"), (14, ""), (15, None), (16, "ab" * 500 + " ab")]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(2)
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = sorted((r.doc_id, r.item_id, r.distance) for r in L.matches(frame, bench).collect())
+    assert got == [(1, 1, 0), (2, 2, 0), (5, 3, 0), (6, 4, 1), (8, 5, 1), (10, 3, 0), (11, 8, 0), (13, 9, 0), (16, 3, 0)]
+    by_id = dict(docs)
+    own = {(r.doc_id, r.item_id): by_id[r.doc_id].encode()[r.start : r.end].decode() for r in L.matches(frame, bench).collect() if r.distance == 0}
+    assert own[1, 1] == "is\nit  SO?" and own[5, 3] == "AB" and own[13, 9] == "été"
+    assert sorted(r.doc_id for r in L.clean(frame, bench).collect()) == [3, 4, 7, 9, 12, 14, 15]
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([(1, "text")], "doc_id bigint, text string")
     items = spark.createDataFrame([(1, "an item of some length here")], "item_id bigint, text string")
