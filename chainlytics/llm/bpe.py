@@ -30,6 +30,9 @@ from chainlytics.session import shuffle_width
 #: Characters of a word from which on it is cut, and the most of a segment.
 LONG, SEGMENT = 8_192, 4_096
 
+#: Most bytes that one character of a text has when it is normalised (musical notes with a flag: three characters of four).
+WIDEST = 12
+
 #: Longest word that a task keeps the ids of, and most words it keeps; when full it starts anew.
 MEMO_CHARS, MEMO_WORDS = 48, 500_000
 
@@ -222,9 +225,11 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     coded = rows.mapInArrow(lambda it: _encode(it, path), CODED)
     width = shuffle_width(spark)
-    # Texts with long words are few; they are found first, so that all others pass without being written.
-    long_words = rows.where(F.length("text") > LONG // 4).where(F.col("text").rlike(rf"[^\s]{{{LONG // 4},}}"))
-    if long_words.limit(1).count() == 0:
+    # Texts with long words are few; they are found first, so that all others pass without being written. Whether a word of
+    # the texts in question is cut is what coding them says.
+    doubtful = rows.where(F.length("text") > LONG // 4).where(F.col("text").rlike(rf"[^\s]{{{LONG // WIDEST},}}"))
+    cut_words = doubtful.mapInArrow(lambda it: _encode(it, path), CODED).where("piece is not null")
+    if cut_words.limit(1).count() == 0:
         return coded.select("doc_id", "ids")
     coded = kept(coded, "coded")
     pieces = coded.where("piece is not null")

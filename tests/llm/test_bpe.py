@@ -65,5 +65,20 @@ def test_whole_texts(spark, library, long_words):
     assert [hashlib.sha256(t.encode("utf-8")).hexdigest() for _, t in texts] == [h for *_, h in sorted((str(d), library.decode(library.encode(t or "", add_special_tokens=False).ids, skip_special_tokens=False), digest(library, t)[2]) for d, t in rows)]
 
 
+def test_no_character_is_longer_than_the_widest(library):
+    # The byte-level part makes one character a byte, so the lengths of the pieces are bytes of normalised text.
+    coder = B.coder_of(PATH)
+    sizes = [sum(len(p) for p in coder.split(chr(c)) if not isinstance(p, int)) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    assert max(sizes) == B.WIDEST
+
+
+@pytest.mark.parametrize("note, times", [(0x1D15E, 1_100), (0x1D15E, 2_000), (0x1D160, 700)])
+def test_words_that_normalising_makes_long(spark, library, note, times):
+    rows = [(1, "some words " * 200 + chr(note) * times + " end"), (2, "short"), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2)
+    got = sorted((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in B.round_trip(B.encode(docs, PATH), PATH).collect())
+    assert got == [(d, *digest(library, t)) for d, t in rows]
+
+
 def test_an_empty_table(spark):
     assert B.round_trip(B.encode(spark.createDataFrame([], "doc_id bigint, text string"), PATH), PATH).count() == 0
