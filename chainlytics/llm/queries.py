@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chainlytics.llm import bpe, jaccard, language, leaks, quality, repeats, search, tokens, toxicity, urls
+from chainlytics.llm import bpe, collocations, jaccard, language, leaks, quality, repeats, search, tokens, toxicity, urls
 from chainlytics.llm.tables import small_batches
 
 _RUNS = {
@@ -20,10 +20,10 @@ _RUNS = {
     "op8_quality": quality.op8_quality,
     "op9_jaccard_join": jaccard.op9_jaccard_join,
     "op10_top_k": search.op10_top_k,
+    "op13_collocations": collocations.op13_collocations,
 }
 
 
-
 def _prepared(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, folder: run(small_batches(spark), folder)
 
@@ -33,4 +33,5 @@ QUERIES = {name: _prepared(run) for name, run in _RUNS.items()}
 ORACLES = {
     "op7_url_filter": urls.ORACLE,
     "op10_top_k": search.ORACLE,
+    "op13_collocations": collocations.ORACLE,
 }
