@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chainlytics.llm import bpe, collocations, jaccard, language, leaks, quality, repeats, search, tokens, toxicity, urls
+from chainlytics.llm import bpe, collocations, jaccard, language, leaks, manifest, quality, repeats, search, tokens, toxicity, urls
 from chainlytics.llm.tables import small_batches
 
 _RUNS = {
@@ -20,6 +20,7 @@ _RUNS = {
     "op8_quality": quality.op8_quality,
     "op9_jaccard_join": jaccard.op9_jaccard_join,
     "op10_top_k": search.op10_top_k,
+    "op11_manifest": manifest.op11_manifest,
     "op13_collocations": collocations.op13_collocations,
 }
 
@@ -33,5 +34,6 @@ QUERIES = {name: _prepared(run) for name, run in _RUNS.items()}
 ORACLES = {
     "op7_url_filter": urls.ORACLE,
     "op10_top_k": search.ORACLE,
+    "op11_manifest": manifest.ORACLE,
     "op13_collocations": collocations.ORACLE,
 }
