@@ -25,7 +25,6 @@ from html.parser import HTMLParser
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from chainlytics.llm.tables import table
 
@@ -55,6 +54,7 @@ LAYOUT = frozenset("has no with without is not".split())
 
 WORD = re.compile(r"[a-z0-9]+")
 CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
+UNFINISHED = re.compile(r"<[!?/a-zA-Z]")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 #: Width of the smoothing in lines, and how many deviations a smoothed ratio must reach.
@@ -90,25 +90,23 @@ class Lines(HTMLParser):
             text = " ".join("".join(self._parts).split())
             if text:
                 _, container, aside, _ = self.stack[-1]
-                heading = not HEADINGS.isdisjoint(self.open) and any(self.open[h] for h in HEADINGS)
-                # The header of an article holds its heading.
-                aside = aside and not (heading and self.kinds[container] == "header" and self._in_article(container))
+                heading = any(self.open[h] for h in HEADINGS)
+                self.aside.append(aside and not (heading and self._titles(container)))
                 self.texts.append(text)
                 self.tags.append(self._tags)
                 self.linked.append(min(self._links, len(text)))
-                self.aside.append(aside)
                 self.heading.append(heading)
                 self.home.append(container)
                 self._tags = 0
             self._parts, self._links = [], 0
 
-    def _in_article(self, container: int) -> bool:
-        container = self.parents[container]
+    def _titles(self, container: int) -> bool:
+        """True in the header of an article, which holds its heading."""
+        above = []
         while container > 0 and self.kinds[container] not in ("article", "main"):
-            if self.kinds[container] in ("aside", "header"):
-                return False
+            above.append(self.kinds[container])
             container = self.parents[container]
-        return container > 0
+        return container > 0 and above.count("header") == 1 and "aside" not in above
 
     def handle_starttag(self, tag, attrs):
         if tag == "br":
@@ -119,15 +117,12 @@ class Lines(HTMLParser):
         block = tag in BLOCKS
         if block:
             self.flush()
-            if tag not in HEADINGS or not self.open["p"]:
-                self._end_implied(tag)
-            else:
-                self._close("p")
+            self._end_implied(tag)
         self._tags += 1
         if tag in VOID:
             return
         _, container, aside, silent = self.stack[-1]
-        kind = judged(tag, attrs) if attrs or tag in ASIDE else ("article" if tag in ("article", "main") and tag == "article" else tag)
+        kind = judged(tag, attrs) if attrs or tag in ASIDE else tag
         silent = silent or tag in SILENT
         if block:
             self.parents.append(container)
@@ -175,6 +170,8 @@ class Lines(HTMLParser):
                 self._links += len(data.strip())
 
     def close(self):
+        if UNFINISHED.match(self.rawdata):  # markup that the page breaks off in
+            self.rawdata = ""
         super().close()
         self.flush()
 
@@ -270,7 +267,8 @@ def region(page: Lines) -> np.ndarray:
         for c in range(1, len(weight)):  # parents come before their children
             if page.parents[c] == best and weight[c] >= HOLDS * weight[0]:
                 best = c
-        core &= _within(page, {best}) if best else ~aside
+        if best:
+            core &= _within(page, {best})
         own = {page.home[line] for line in np.flatnonzero(core).tolist()}
         beside = {page.parents[c] for c in own if page.kinds[c] not in ("html", "body")} - {0}
         beside = {c for c in beside if page.kinds[c] not in ("html", "body")}
@@ -324,7 +322,7 @@ def extracted(pages: DataFrame, html: str = "html") -> DataFrame:
 
 def op12_main_text(spark: SparkSession, folder: str) -> DataFrame:
     """The main text of every page."""
-    return extracted(table(spark, folder, "pages").select("page_id", "url", F.col("html")))
+    return extracted(table(spark, folder, "pages").select("page_id", "url", "html"))
 
 
 #: For pages that are built like those of the tables: one article element of headings and paragraphs.

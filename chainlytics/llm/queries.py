@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chainlytics.llm import bpe, collocations, jaccard, language, leaks, manifest, quality, repeats, search, tokens, toxicity, urls
+from chainlytics.llm import articles, bpe, collocations, jaccard, language, leaks, manifest, quality, repeats, search, tokens, toxicity, urls
 from chainlytics.llm.tables import small_batches
 
 _RUNS = {
@@ -21,6 +21,7 @@ _RUNS = {
     "op9_jaccard_join": jaccard.op9_jaccard_join,
     "op10_top_k": search.op10_top_k,
     "op11_manifest": manifest.op11_manifest,
+    "op12_main_text": articles.op12_main_text,
     "op13_collocations": collocations.op13_collocations,
 }
 
@@ -35,5 +36,6 @@ ORACLES = {
     "op7_url_filter": urls.ORACLE,
     "op10_top_k": search.ORACLE,
     "op11_manifest": manifest.ORACLE,
+    "op12_main_text": articles.ORACLE,
     "op13_collocations": collocations.ORACLE,
 }
