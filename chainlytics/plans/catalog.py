@@ -39,7 +39,9 @@ def build(root: str, defs: Mapping | None = None) -> Catalog:
     catalog = Catalog(root)
     for t in defs["tables"]:
         schema = struct(**{name: COLUMN_TYPES[kind] for name, kind in t["columns"].items()})
-        catalog.tables[t["name"]] = KeyedTable.by_time(f"{root}/{t['name']}", schema, t["unique"], t["time"])
+        catalog.tables[t["name"]] = KeyedTable.by_time(
+            f"{root}/{t['name']}", schema, t["unique"], t["time"], partial=t.get("partial", ())
+        )
     times = {t["name"]: t["time"] for t in defs["tables"]}
     for r in defs["rollups"]:
         base = r["base"]
@@ -89,5 +91,4 @@ def drop_table(spark: SparkSession, catalog: Catalog, name: str) -> None:
             del catalog.aliases[alias]
             spark.catalog.dropTempView(alias)
     spark.catalog.dropTempView(name)
-    for path in (table.path, table.staging, table.incoming, table.ready):
-        storage.drop(spark, path)
+    storage.drop(spark, table.path)

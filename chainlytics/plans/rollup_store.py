@@ -9,7 +9,8 @@ older than the window stay invisible until a full refresh, as the policy never l
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,7 +41,7 @@ class Rollup:
 
     def store(self, spark: SparkSession) -> KeyedTable:
         schema = self.of(spark.createDataFrame([], self.base.columns)).schema
-        return KeyedTable.by_time(self.path, schema, ("time",), "time", MONTH)
+        return KeyedTable.by_time(self.path, schema, ("time",), "time", MONTH, versioned=False)
 
 
 @dataclass(frozen=True)
@@ -104,23 +105,26 @@ def refresh(
     return start, end
 
 
-def follow(
-    spark: SparkSession, rollup: Rollup, store: KeyedTable, touched: DataFrame, first: datetime, newest: datetime, seq: int
-) -> None:
-    """Bring the stored buckets up to a change of the base: those of ``touched`` (column time, the earliest being
-    ``first``) and all from the mark to before ``newest``, the bucket of the newest row, which stays live."""
-    reached = mark(spark, rollup)
+def follow(spark: SparkSession, rollup: Rollup, store: KeyedTable, touched: list[datetime]) -> None:
+    """Bring the stored buckets up to a change of the base: those of ``touched`` (bucket starts) and all from the mark to
+    before the newest of them, which stays live. Of the base the slices of touched buckets are read and those from the mark on,
+    so one old block costs one old slice. Buckets are put in place of stored ones: doing it again gives the same."""
+    reached, newest = mark(spark, rollup), max(touched)
     if reached is None:
         _replace(spark, rollup, None, newest)
         _set_mark(spark, rollup, newest)
         return
-    end = max(reached, newest)
-    fresh = rollup.of(_base_rows(spark, rollup, min(first, reached), end))
-    # Buckets are few, rows are not: the aggregate comes first, the choice of buckets after it.
-    old = fresh.where(F.col("time") < moment(reached)).join(touched, "time", "left_semi")
-    changed = old.unionByName(fresh.where(F.col("time") >= moment(reached)))
-    tables.upsert(store, changed.withColumn("seq", F.lit(seq).cast("bigint")))
-    if end != reached:
+    old, end = [t for t in touched if t < reached], max(reached, newest)
+    changed = []
+    if old:
+        spans = tables.read_spans(spark, rollup.base, old, _offset(rollup.width))
+        wanted = spark.createDataFrame([(t.replace(tzinfo=timezone.utc),) for t in old], "time timestamp")
+        changed.append(rollup.of(spans).join(wanted, "time", "left_semi"))
+    if end > reached:
+        changed.append(rollup.of(_base_rows(spark, rollup, reached, end)))
+    if changed:
+        tables.replace(store, reduce(DataFrame.unionByName, changed))
+    if end > reached:
         _set_mark(spark, rollup, end)
 
 
@@ -136,7 +140,6 @@ def drop(spark: SparkSession, rollup: Rollup) -> None:
 
 def _replace(spark: SparkSession, rollup: Rollup, start: datetime | None, end: datetime) -> None:
     store = tables.create(spark, rollup.store(spark))
-    tables.finish_publish(spark, store)
     fresh = rollup.of(_base_rows(spark, rollup, start, end))
     if start is None:
         kept = tables.read(spark, store).where(F.col("time") >= moment(end))

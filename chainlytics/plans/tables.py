@@ -1,11 +1,14 @@
-"""Keyed Parquet tables: create, read, upsert, delete, and a publish step that survives a crash."""
+"""Keyed Parquet tables in slices: create, read, upsert, replace, delete.
+
+A change is merged in the workspace and written from there with Spark's dynamic partition overwrite, which replaces the slices it
+covers and no other. Upserts keep the winning ``seq`` beside the values (hidden columns), so the table is the same whatever
+the order the changes arrive in, and however often: one that was cut off is simply made again."""
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +16,9 @@ from pyspark.sql import types as T
 
 from chainlytics import storage
 from chainlytics.functions import moment
-from chainlytics.operators.changes import latest_by_key, merge
+from chainlytics.operators.changes import CHANGE, REGISTER, merge, register_of, registered
 from chainlytics.schemas import BLOCKS, MEMPOOL_STATE
+from chainlytics.session import workspace, written
 
 
 @dataclass(frozen=True)
@@ -26,30 +30,44 @@ class Unit:
     rule: str
     kind: T.DataType
     of: Callable[[datetime], object]
+    step: timedelta = timedelta.max
 
 
-MONTH = Unit("month", "cast(date_trunc('MONTH', {}) as date)", T.DateType(), lambda m: m.date().replace(day=1))
-DAY = Unit("day", "cast({} as date)", T.DateType(), lambda m: m.date())
-HOUR = Unit("hour", "date_format({}, 'yyyy-MM-dd-HH')", T.StringType(), lambda m: m.strftime("%Y-%m-%d-%H"))
+# A step is no longer than any slice.
+MONTH = Unit("month", "cast(date_trunc('MONTH', {}) as date)", T.DateType(), lambda m: m.date().replace(day=1), timedelta(days=28))
+DAY = Unit("day", "cast({} as date)", T.DateType(), lambda m: m.date(), timedelta(days=1))
+HOUR = Unit("hour", "date_format({}, 'yyyy-MM-dd-HH')", T.StringType(), lambda m: m.strftime("%Y-%m-%d-%H"), timedelta(hours=1))
 
 
 @dataclass(frozen=True)
 class KeyedTable:
     """A table unique on ``keys`` and stored in slices: partitions derived from a key column, the
     unit that an upsert rewrites and a range read skips. Choose it by the size of one slice: days
-    as a rule, hours where a day is too much to rewrite."""
+    as a rule, hours where a day is too much to rewrite.
+
+    ``partial`` names the columns that a change may leave out: each has a register of its own. A table that is not
+    ``versioned`` has no registers; it can be replaced, not upserted."""
 
     path: str
     columns: T.StructType
     keys: tuple[str, ...]
     unit: Unit
     source: str
+    partial: tuple[str, ...] = ()
+    versioned: bool = True
 
     @classmethod
     def by_time(
-        cls, path: str, columns: T.StructType, keys: Sequence[str], time: str, unit: Unit = DAY
+        cls,
+        path: str,
+        columns: T.StructType,
+        keys: Sequence[str],
+        time: str,
+        unit: Unit = DAY,
+        partial: Sequence[str] = (),
+        versioned: bool = True,
     ) -> KeyedTable:
-        return cls(path, columns, tuple(keys), unit, time)
+        return cls(path, columns, tuple(keys), unit, time, tuple(partial), versioned)
 
     @classmethod
     def by_hash(cls, path: str, columns: T.StructType, keys: Sequence[str], slices: int = 64) -> KeyedTable:
@@ -65,21 +83,13 @@ class KeyedTable:
         return [c for c in self.columns.names if c not in self.keys]
 
     @property
-    def stored(self) -> T.StructType:
-        return T.StructType([*self.columns.fields, T.StructField(self.slice_column, self.unit.kind)])
-
-    @property
-    def staging(self) -> str:
-        return f"{self.path}__staging"
-
-    @property
-    def incoming(self) -> str:
-        return f"{self.path}__incoming"
+    def registers(self) -> list[str]:
+        return [REGISTER, *[register_of(c, self.partial) for c in self.partial]] if self.versioned else []
 
     @property
-    def ready(self) -> str:
-        """Marks a staged change as complete and names its slices."""
-        return f"{self.path}__ready"
+    def stored(self) -> T.StructType:
+        hidden = [T.StructField(r, T.LongType()) for r in self.registers]
+        return T.StructType([*self.columns.fields, *hidden, T.StructField(self.slice_column, self.unit.kind)])
 
     @property
     def order(self) -> list[str]:
@@ -98,21 +108,8 @@ def create(spark: SparkSession, table: KeyedTable) -> KeyedTable:
 
 
 def read_slices(spark: SparkSession, table: KeyedTable) -> DataFrame:
-    """All columns and the slice column. A change that was staged, but not yet published when its
-    writer stopped, is read as if it had been: whole."""
-    rows = spark.read.schema(table.stored).parquet(table.path)
-    change = _ready(spark, table)
-    if change is None:
-        return rows
-    staged = [name for name in change["slices"] if storage.exists(spark, f"{table.staging}/{name}")]
-    covered = [name.partition("=")[2] for name in staged + change["emptied"]]
-    kept = rows.where(~F.col(table.slice_column).cast("string").isin(covered))
-    return kept.unionByName(_folders(spark, table, table.staging, staged)) if staged else kept
-
-
-def _ready(spark: SparkSession, table: KeyedTable) -> dict | None:
-    text = storage.read_text(spark, table.ready)
-    return None if text is None else json.loads(text)
+    """All columns and the slice column."""
+    return spark.read.schema(table.stored).parquet(table.path).select(*table.columns.names, table.slice_column)
 
 
 def _folders(spark: SparkSession, table: KeyedTable, root: str, names: Sequence[str]) -> DataFrame:
@@ -138,89 +135,109 @@ def read_range(
     return rows.select(*table.columns.names)
 
 
+def read_spans(spark: SparkSession, table: KeyedTable, starts: Sequence[datetime], width: timedelta) -> DataFrame:
+    """Whole slices that spans of one width touch, of a table sliced by time; no other folder is opened."""
+    names = set()
+    for start in starts:
+        at, end = start, start + width
+        while at < end:
+            names.add(table.folder(table.unit.of(at)))
+            at += table.unit.step
+        names.add(table.folder(table.unit.of(end - timedelta(microseconds=1))))
+    known = sorted(names & storage.children(spark, table.path))
+    return _folders(spark, table, table.path, known).select(*table.columns.names)
+
+
 def with_slice(df: DataFrame, table: KeyedTable) -> DataFrame:
     return df.withColumn(table.slice_column, F.expr(table.unit.rule.format(table.source)))
 
 
 def publish(rows: DataFrame, table: KeyedTable, may_empty: Sequence = ()) -> None:
-    """Make ``rows`` the whole content of every slice they cover, and of the slices ``may_empty``
-    even if no row is left for one of those.
-
-    Rows are written once, to a staging folder; a marker then names the staged and the emptied slices,
-    and the folders are moved into the table. A crash before the marker leaves the table as it was; one
-    after it is made good by :func:`finish_publish`, which the next change begins with, and reads take
-    what is still staged into account. ``REBALANCE`` is the one shuffle of the touched slices: it packs
-    each into files of the advisory size, so small batches do not pile up small files, and it splits a
-    hot slice over tasks. While folders are moved, a query that has already been planned may fail
-    on a file that is gone; run it again."""
+    """Make ``rows`` the whole content of every slice they cover, and of the slices ``may_empty`` even if no row is left for
+    one of those. ``rows`` may read the table itself: they are written to the workspace first."""
     spark = rows.sparkSession
-    finish_publish(spark, table)
-    packed = rows.hint("rebalance", table.slice_column).sortWithinPartitions(*table.order)
-    packed.write.mode("overwrite").partitionBy(table.slice_column).parquet(table.staging)
-    staged = {name for name in storage.children(spark, table.staging) if "=" in name}
-    emptied = {table.folder(value) for value in may_empty} - staged
-    storage.write_text(spark, table.ready, json.dumps({"slices": sorted(staged), "emptied": sorted(emptied)}))
-    finish_publish(spark, table)
-
-
-def finish_publish(spark: SparkSession, table: KeyedTable) -> None:
-    """Move a completely staged change into the table, if there is one. Safe to repeat after a crash
-    at any of its steps: a slice is either still staged, or in place."""
-    change = _ready(spark, table)
-    if change is None:
-        return
-    for name in change["slices"]:
-        if storage.exists(spark, f"{table.staging}/{name}"):
-            storage.drop(spark, f"{table.path}/{name}")
-            storage.move(spark, f"{table.staging}/{name}", f"{table.path}/{name}")
-    for name in change["emptied"]:
-        storage.drop(spark, f"{table.path}/{name}")
-    storage.drop(spark, table.ready)
-    storage.drop(spark, table.staging)
+    root = workspace(spark, "publish")
+    merged = written(rows.select(*table.stored.names), f"{root}/merged")
+    _overwrite(merged, table)
+    if may_empty:
+        covered = {r[0] for r in merged.select(F.col(table.slice_column).cast("string")).distinct().collect()}
+        for value in may_empty:
+            if str(value) not in covered:
+                storage.drop(spark, f"{table.path}/{table.folder(value)}")
+    storage.drop(spark, root)
+
+
+def _overwrite(rows: DataFrame, table: KeyedTable) -> None:
+    """Put whole slices in place of the stored ones. ``REBALANCE`` packs each into files of the advisory size, so small
+    batches do not pile up small files, and splits a hot slice over tasks. While folders are replaced, a query that has already
+    been planned may fail on a file that is gone; run it again."""
+    packed = rows.select(*table.stored.names).hint("rebalance", table.slice_column).sortWithinPartitions(*table.order)
+    writer = packed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(table.slice_column).parquet(table.path)
 
 
 def upsert(
-    table: KeyedTable, changes: DataFrame, seq: str = "seq", given: Mapping[str, Column] | None = None
+    table: KeyedTable,
+    changes: DataFrame,
+    seq: str = "seq",
+    given: Mapping[str, Column] | None = None,
+    within: str | None = None,
+    then: Callable[[DataFrame], None] | None = None,
 ) -> None:
-    """Lay changes over the table, the last one per key (by ``seq``) and column winning.
-
-    ``given`` marks the change rows that provide a column; see ``latest_by_key``. Applying the
-    same changes again gives the same table. One writer at a time per table.
-
-    Changes are reduced to one row per key and written out, so that Spark knows their size for the
-    join and never computes them twice. Only the slices they touch are read and rewritten. Slices
-    that are new hold nothing to merge with, which makes a first load or a backfill a write without
-    a join."""
-    spark = changes.sparkSession
-    latest = _land(latest_by_key(changes, table.keys, table.values, seq, given, flags=True), table)
-    known = _known(latest, table)
+    """Lay changes over the table: per key and column the value of the greatest ``seq`` that provided it, over all changes
+    ever made; of equal ones the one that arrives last, and within one call the one with the greatest ``within``.
+
+    ``given`` marks the change rows that provide a column, one of ``table.partial``; see ``latest_by_key``. The order of
+    calls does not matter, and a call may be repeated at any time. One writer at a time per table.
+
+    Changes are reduced to one row per key and written to the workspace, so they are never computed twice. Only the slices
+    they touch are read and rewritten, through one aggregate over stored and arriving rows; new slices hold nothing to merge
+    with. ``then`` is handed the rows that were really inserted or changed (``_change`` says which), before the
+    table shows them: a caller that is cut off later finds them there again."""
+    unknown = set(given or {}) - set(table.partial)
+    if unknown or not table.versioned:
+        raise ValueError(f"{table.path}: columns without a register: {sorted(unknown) or table.values}")
+    _lay_over(table, registered(changes, table.keys, table.values, table.partial, seq, given, within), then)
+
+
+def replace(table: KeyedTable, rows: DataFrame, then: Callable[[DataFrame], None] | None = None) -> None:
+    """Put ``rows`` (unique on the keys) in place of stored rows of the same keys, whatever those hold. In a versioned table
+    they have no register: any later change wins over them."""
+    hidden = [F.lit(None).cast("bigint").alias(r) for r in table.registers]
+    _lay_over(table, rows.select(*table.columns.names, *hidden), then, False)
+
+
+def _lay_over(table: KeyedTable, latest: DataFrame, then: Callable[[DataFrame], None] | None, by_register: bool = True) -> None:
+    spark = latest.sparkSession
+    root = workspace(spark, "change")
+    landed = written(with_slice(latest, table), f"{root}/incoming")
+    known = _known(landed, table)
     if known is None:
-        return storage.drop(spark, table.incoming)
+        return storage.drop(spark, root)
+    keys, partial = [*table.keys, table.slice_column], table.partial if by_register else None
     if known:
-        keys = [*table.keys, table.slice_column]
-        latest = merge(_folders(spark, table, table.path, known), latest, keys, table.values)
-    publish(latest.select(*table.stored.names), table)
-    return storage.drop(spark, table.incoming)
+        merged = merge(_folders(spark, table, table.path, known), landed, keys, table.values, partial)
+        hidden = [] if by_register else [F.lit(None).cast("bigint").alias(r) for r in table.registers]
+        rows = written(merged.select("*", *hidden), f"{root}/merged")
+    else:
+        rows = landed.withColumn(CHANGE, F.lit("insert"))
+    if then is not None:
+        then(rows.where(F.col(CHANGE).isNotNull()).select(*table.columns.names, CHANGE))
+    _overwrite(rows, table)
+    return storage.drop(spark, root)
 
 
 def delete(table: KeyedTable, removed: DataFrame) -> None:
     """Remove rows by key. Keys that are not stored are ignored."""
     spark = removed.sparkSession
-    gone = _land(removed.select(*table.keys).distinct(), table)
+    root = workspace(spark, "delete")
+    gone = written(with_slice(removed.select(*table.keys).distinct(), table), f"{root}/keys")
     known = _known(gone, table)
     if known:
         stored = _folders(spark, table, table.path, known)
         kept = stored.join(gone, [*table.keys, table.slice_column], "left_anti")
         publish(kept.select(*table.stored.names), table, [name.partition("=")[2] for name in known])
-    storage.drop(spark, table.incoming)
-
-
-def _land(batch: DataFrame, table: KeyedTable) -> DataFrame:
-    spark = batch.sparkSession
-    finish_publish(spark, table)
-    batch = with_slice(batch, table)
-    batch.write.mode("overwrite").parquet(table.incoming)
-    return spark.read.schema(batch.schema).parquet(table.incoming)
+    storage.drop(spark, root)
 
 
 def _known(batch: DataFrame, table: KeyedTable) -> list[str] | None:
@@ -238,7 +255,6 @@ def _known(batch: DataFrame, table: KeyedTable) -> list[str] | None:
 
 def newest(spark: SparkSession, table: KeyedTable) -> DataFrame:
     """Rows of the newest slice of a table sliced by time: all that a "latest row" needs to open."""
-    finish_publish(spark, table)
     names = sorted(name for name in storage.children(spark, table.path) if name.startswith(f"{table.slice_column}="))
     return _folders(spark, table, table.path, names[-1:])
 
@@ -249,7 +265,8 @@ def append(rows: DataFrame, path: str) -> None:
 
 
 def block_table(path: str) -> KeyedTable:
-    return KeyedTable.by_time(path, BLOCKS, ("timestamp", "hash"), "timestamp")
+    """Blocks by the day of their time; headers leave the number of transactions out."""
+    return KeyedTable.by_time(path, BLOCKS, ("timestamp", "hash"), "timestamp", partial=("nTx",))
 
 
 def mempool_table(path: str, slices: int = 64) -> KeyedTable:

@@ -64,7 +64,8 @@ def landed_stream(
     pattern: str | None = None,
     places: bool = False,
 ) -> DataFrame:
-    """Files of a folder as a stream, oldest first, a bounded number of files per micro-batch. With
+    """Files of a folder as a stream, a bounded number of files per micro-batch: older files first, files of one time in
+    any order. What is kept of the rows must therefore not depend on the order of micro-batches. With
     ``places`` rows also carry their ``file`` and the ``block`` of it they were read from."""
     reader = spark.readStream.schema(schema).format(fmt)
     if files_per_trigger:

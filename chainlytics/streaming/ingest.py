@@ -6,16 +6,17 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from chainlytics import schemas
-from chainlytics.functions import bucket_floor, time_bucket
+from chainlytics import schemas, storage
+from chainlytics.functions import time_bucket
 from chainlytics.plans import mempool_store, rollup_store, tables
 from chainlytics.plans.mempool_store import MempoolStore
 from chainlytics.plans.rollup_store import Policy, Rollup
 from chainlytics.plans.tables import KeyedTable
+from chainlytics.session import workspace, written
 from chainlytics.sources.records import CORRUPT, blocks_of, malformed, with_corrupt
 from chainlytics.sources.topics import landed_stream
 
@@ -44,7 +45,7 @@ def upsert_stream(
     trigger: Mapping = DRAIN,
 ) -> StreamingQuery:
     """Upsert every micro-batch. ``stream`` has the table's columns and ``seq``; no watermark, as the
-    table takes rows of any age."""
+    table takes rows of any age, and micro-batches may come in any order and again."""
     tables.create(stream.sparkSession, table)
 
     def apply(batch: DataFrame, _: int) -> None:
@@ -74,22 +75,24 @@ def header_stream(
     gets records of mined blocks, or headers that run ahead of their blocks.
 
     Lines that do not parse stop nothing: they are kept under :func:`malformed_path`, one folder per
-    micro-batch, so that a replay does not repeat them. Of several versions of a key the one in the
-    newest file counts, of files of one time the last by name, within a file the last line."""
+    micro-batch, so that a replay does not repeat them, and counted in the query's progress (metrics ``headers``: rows,
+    malformed). A micro-batch is parsed once, into the workspace. Of several versions of a key the one in the newest file
+    counts, whatever the order files are read in; of files of one time in a micro-batch the last by name, else the one read
+    last; within a file the last line."""
     tables.create(spark, table)
     lines = landed_stream(spark, folder, with_corrupt(schemas.HEADER_RECORD), "json", files_per_trigger, places=True)
+    broken = F.count(F.when(F.col(CORRUPT).isNotNull(), 1)).alias("malformed")
+    lines = lines.observe("headers", F.count(F.lit(1)).alias("rows"), broken)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.withColumn("line", F.monotonically_increasing_id()).persist()
-        try:
-            bad = malformed(batch)
-            if not bad.isEmpty():
-                bad.select(CORRUPT).write.mode("overwrite").text(f"{malformed_path(table)}/batch={batch_id}")
-            order = F.struct("seq", "file", "block", "line")
-            rows = blocks_of(batch).withColumns({"kind": F.lit(kind), "order": order})
-            tables.upsert(table, rows, "order", given={"nTx": F.col("kind") != "header"})
-        finally:
-            batch.unpersist()
+        root, seen = workspace(spark, "lines"), Observation()
+        parsed = written(batch.withColumn("line", F.monotonically_increasing_id()).observe(seen, broken), root)
+        if seen.get["malformed"]:
+            bad = malformed(parsed).select(CORRUPT)
+            bad.write.mode("overwrite").text(f"{malformed_path(table)}/batch={batch_id}")
+        rows = blocks_of(parsed).withColumns({"kind": F.lit(kind), "within": F.struct("file", "block", "line")})
+        tables.upsert(table, rows, given={"nTx": F.col("kind") != "header"}, within="within")
+        storage.drop(spark, root)
 
     return _start(lines, apply, checkpoint, trigger)
 
@@ -127,18 +130,15 @@ def rollup_stream(
     store = tables.create(spark, rollup.store(spark))
     tables.create(spark, rollup.base)
 
-    def apply(batch: DataFrame, batch_id: int) -> None:
+    def apply(batch: DataFrame, _: int) -> None:
         batch = batch.persist()
         try:
             tables.upsert(rollup.base, batch, given=given)
             touched = batch.select(time_bucket(rollup.time, rollup.width).alias("time")).distinct()
-            span = touched.agg(F.min("time").alias("first"), F.max("time").alias("last")).select(
-                *[F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(c) for c in ("first", "last")]
-            ).first()
-            if span["last"] is None:
-                return
-            first, last = (datetime.fromisoformat(span[c]) for c in ("first", "last"))
-            rollup_store.follow(spark, rollup, store, touched, first, bucket_floor(last, rollup.width), batch_id)
+            text = F.date_format("time", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+            times = [datetime.fromisoformat(r[0]) for r in touched.where("time IS NOT NULL").select(text).collect()]
+            if times:
+                rollup_store.follow(spark, rollup, store, sorted(times))
         finally:
             batch.unpersist()
 

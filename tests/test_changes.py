@@ -146,7 +146,6 @@ def test_an_upsert_survives_a_crash_at_every_step(spark, table, monkeypatch, at)
     assert stored(spark, table) in (before, after)  # a read sees all of the change or nothing
     tables.upsert(table, change)
     assert stored(spark, table) == after
-    assert not storage.exists(spark, table.staging) and not storage.exists(spark, table.ready)
 
 
 @pytest.mark.parametrize("at", range(1, 8))
@@ -232,13 +231,78 @@ def test_reduction_is_a_hash_aggregate(spark):
     assert "SortAggregate" not in plan and "partial_max_by" in plan
 
 
-def test_a_small_batch_does_not_move_stored_rows(spark, table):
-    """Stored rows are the left of broadcast joins: no exchange above their scan."""
+def test_merging_is_one_aggregate_over_one_read_of_the_stored_rows(spark, table):
     tables.upsert(table, batch(spark, *[(f"h{i}", T1, 1, 1, i, 1, "block") for i in range(50)]))
-    latest = changes.latest_by_key(batch(spark, BLOCK), table.keys, table.values, flags=True)
-    merged = changes.merge(tables.read(spark, table), spark.createDataFrame(latest.collect(), latest.schema), table.keys, table.values)
-    merged.collect()
-    assert "BroadcastHashJoin" in physical(merged) and "SortMergeJoin" not in physical(merged).split("Initial Plan")[0]
+    latest = changes.registered(batch(spark, BLOCK), table.keys, table.values, table.partial, given=given())
+    latest = spark.createDataFrame(latest.collect(), latest.schema)
+    merged = changes.merge(spark.read.schema(table.stored).parquet(table.path), latest, table.keys, table.values, table.partial)
+    plan = physical(merged)
+    assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") == 1
+    assert "Join" not in plan and "SortAggregate" not in plan
+
+
+def test_an_older_change_that_comes_later_loses(spark, table):
+    for seq, n in ((2, 20), (1, 10), (2, 20)):
+        tables.upsert(table, batch(spark, ("a", T1, n, n, n, seq, "block")))
+    assert stored(spark, table) == [("a", T1, 20, 20, 20)]
+    tables.upsert(table, batch(spark, ("a", T1, 21, 21, 21, 2, "block")))  # of equal ones the arriving one
+    assert stored(spark, table) == [("a", T1, 21, 21, 21)]
+
+
+def test_columns_win_on_their_own(spark, table):
+    """The newest header and the newest block each bring what they have, also when the block comes last."""
+    tables.upsert(table, batch(spark, ("a", T1, None, 50, 5, 5, "header")), given=given())
+    tables.upsert(table, batch(spark, ("a", T1, 3, 30, 3, 3, "block")), given=given())
+    assert stored(spark, table) == [("a", T1, 3, 50, 5)]
+    tables.upsert(table, batch(spark, ("a", T1, 2, 20, 2, 2, "block")), given=given())
+    assert stored(spark, table) == [("a", T1, 3, 50, 5)]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_any_order_and_any_number_of_times(spark, root, seed):
+    """Batches shuffled, cut anew, some repeated: always what one batch gives. Full and partial columns, NULLs, negative seqs."""
+    rng = random.Random(seed)
+    records = [
+        (rng.choice("abcdef"), rng.choice([T1, T2]), rng.choice([None, 1, 2, 3]), rng.choice([None, 4, 5]), i, s, rng.choice(["header", "block"]))
+        for i, s in enumerate(rng.sample(range(-50, 50), 60))
+    ]
+    whole, parts = (tables.create(spark, tables.block_table(f"{root}/{n}")) for n in ("whole", "parts"))
+    tables.upsert(whole, batch(spark, *records), given=given())
+    rng.shuffle(records)
+    cuts = sorted(rng.sample(range(1, 60), 3))
+    groups = [records[a:b] for a, b in zip([0, *cuts], [*cuts, 60])]
+    groups += [rng.choice(groups), rng.sample(records, 15)]
+    rng.shuffle(groups)
+    seen = {r for g in groups for r in g}
+    assert seen == set(records)
+    for group in groups:
+        tables.upsert(parts, batch(spark, *group), given=given())
+    assert stored(spark, whole) == stored(spark, parts)
+
+
+def test_only_real_changes_are_handed_on(spark, table):
+    seen = []
+
+    def note(rows):
+        seen.append(sorted((r["hash"], r["nTx"], r["_change"]) for r in rows.collect()))
+
+    for rows in ((BLOCK, ("b", T2, 1, 1, 2, 1, "block")), (BLOCK,), (("a", T1, 1, 1, 1, 1, "block"),), (("a", T1, 8, 6, 1, 3, "block"), ("c", T1, 1, 1, 1, 1, "block")), (("a", T1, 8, 6, 1, 4, "block"),)):
+        tables.upsert(table, batch(spark, *rows), given=given(), then=note)
+    insert, update = "insert", "update"
+    assert seen == [[("a", 7, insert), ("b", 1, insert)], [], [], [("a", 8, update), ("c", 1, insert)], []]
+
+
+def test_replacing_goes_without_registers(spark, root, table):
+    tables.upsert(table, batch(spark, BLOCK, ("b", T1, 1, 1, 2, 1, "block")))
+    tables.replace(table, batch(spark, ("a", T1, 0, 0, 0, 0, "block")))
+    assert stored(spark, table) == [("a", T1, 0, 0, 0), ("b", T1, 1, 1, 2)]
+    tables.upsert(table, batch(spark, ("a", T1, 9, 9, 9, -5, "block")))
+    assert stored(spark, table) == [("a", T1, 9, 9, 9), ("b", T1, 1, 1, 2)]
+
+
+def test_only_columns_with_a_register_may_be_left_out(spark, table):
+    with pytest.raises(ValueError, match="register"):
+        tables.upsert(table, batch(spark, BLOCK), given={"height": F.lit(False)})
 
 
 def test_range_read_skips_slices(spark, table):
