@@ -71,11 +71,12 @@ def audited_blocks(mined: DataFrame, predictions: DataFrame) -> DataFrame:
     )
 
 
-def audit_history(mined: DataFrame, actual: DataFrame, predicted: DataFrame) -> DataFrame:
+def audit_history(mined: DataFrame, actual: DataFrame, predicted: DataFrame, rounds: DataFrame | None = None) -> DataFrame:
     """Audit every block the cycle sees. ``actual`` has block and txid, ``predicted`` has
-    prediction_time and txid."""
+    prediction_time and txid; ``rounds`` (default: the times of ``predicted``) has the times of all
+    predictions, the empty ones too."""
     # One row per prediction round, read three times below.
-    pairs = written(audited_blocks(mined, predicted), workspace(mined.sparkSession, "pairs"))
+    pairs = written(audited_blocks(mined, predicted if rounds is None else rounds), workspace(mined.sparkSession, "pairs"))
     seen = actual.join(pairs.select("block"), "block", "left_semi")
     expected = predicted.join(pairs, "prediction_time").select("block", "txid")
     # A block that lists no transaction has no row above; it still gets its audit, with accuracy 0.

@@ -311,6 +311,19 @@ FROM versions""",
     "stream_mempool": _with(SNAPSHOTS)
     + """SELECT txid, arg_max(fee, seq) AS fee, arg_max(weight, seq) AS weight, arg_max(sigops, seq) AS sigops,
        max(first_seen) AS first_seen FROM snapshots GROUP BY txid""",
+    "stream_mempool_mined": _with(SNAPSHOTS)
+    + """SELECT txid, arg_max(fee, seq) AS fee, arg_max(weight, seq) AS weight, arg_max(sigops, seq) AS sigops,
+       max(first_seen) AS first_seen FROM snapshots
+WHERE txid NOT IN (SELECT 'tx' || user_id FROM events WHERE event_type = 'error' AND user_id % 2 = 0) GROUP BY txid""",
+    "stream_late": _with(BLOCKS)
+    + """, marked AS (
+    SELECT *, height % 10 = 0 AND time_bucket(INTERVAL '1 day', "timestamp") + INTERVAL '1 day'
+              <= (SELECT date_trunc('milliseconds', max("timestamp")) FROM blocks WHERE height % 10 <> 0) - INTERVAL '3 days' AS behind
+    FROM blocks)
+SELECT 'bucket' AS kind, CAST(date_trunc('day', "timestamp") AS TIMESTAMP) AS time, CAST(sum(nTx) AS BIGINT) AS total, count(*) AS rows
+FROM marked WHERE NOT behind GROUP BY 2
+UNION ALL SELECT 'late', "timestamp", nTx, 1 FROM marked WHERE behind""",
+    "feed_changes": _with(BLOCKS) + "SELECT 'blocks_new_row' AS event, * FROM blocks",
     "stream_ticker": _with(TICKER) + "SELECT * FROM ticker",
     "saved_prediction": _with(MEMPOOL, f"block AS ({_greedy('mempool', 4_000_000, 80_000, 'txid')})")
     + "SELECT TIMESTAMP '2024-01-05' AS prediction_time, txid, position, fee, weight FROM block",
@@ -329,3 +342,5 @@ FROM versions""",
     + 'SELECT arg_max(difficulty, "timestamp") AS difficulty FROM blocks',
     "panel_block_difficulty_daily": SERIES.format("difficulty"),
 }
+
+ORACLES["stream_cycle"] = ORACLES["audit_rounds"]

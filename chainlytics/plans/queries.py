@@ -14,14 +14,13 @@ from chainlytics.functions import decode, encode, number, time_bucket
 from chainlytics.operators import audit, chain, changes, latest, mempool, rollups
 from chainlytics.operators.asof import asof, audit_history
 from chainlytics.operators.sigma import sigma_histogram
-from chainlytics.plans import catalog, cycle, mempool_store, panels, rollup_store, standins, tables
-from chainlytics.plans.mempool_store import MempoolStore
+from chainlytics.plans import catalog, cycle, panels, rollup_store, standins, tables
 from chainlytics.plans.rollup_store import Rollup
 from chainlytics.schemas import MEMPOOL_STATE
 from chainlytics.session import configure, workspace
 from chainlytics.sources import records
 from chainlytics.sources.topics import RAW_BLOCKS, landed_stream, topic_stream
-from chainlytics.streaming import feed, ingest
+from chainlytics.streaming import feed, ingest, late, mempool_state, rounds
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -316,8 +315,7 @@ def asof_prediction(spark, sf_dir):
     return asof(blocks, "mined_at", made, "ts", "prediction")
 
 
-@query
-def audit_rounds(spark, sf_dir):
+def _daily_rounds(spark, sf_dir):
     """A prediction at the start of every month, a block every day; parts are the transactions."""
     lines = standins.table(spark, sf_dir, "lineitem")
     rows = lines.select(
@@ -327,9 +325,31 @@ def audit_rounds(spark, sf_dir):
         "l_linestatus",
         F.date_trunc("month", "l_shipdate").cast("timestamp_ntz").alias("prediction_time"),
     )
-    mined = rows.select("block", "mined_at").distinct()
     foreseen = rows.where("l_linestatus = 'O'").select("prediction_time", "txid")
-    found = audit_history(mined, rows.select("block", "txid"), foreseen)
+    return rows.select("block", "mined_at").distinct(), rows.select("block", "txid"), foreseen
+
+
+@query
+def audit_rounds(spark, sf_dir):
+    found = audit_history(*_daily_rounds(spark, sf_dir))
+    return found.withColumn("accuracy", F.round("accuracy", 9))
+
+
+@query
+def stream_cycle(spark, sf_dir):
+    """The same rounds, with the heights coming in three micro-batches and the predictions saved beforehand."""
+    root = workspace(spark, "stream_cycle")
+    mined, bodies, foreseen = _daily_rounds(spark, sf_dir)
+    mined = standins.as_utc(mined, "mined_at")
+    mined.repartition(3, "block").write.parquet(f"{root}/heights")
+    saved = standins.as_utc(foreseen, "prediction_time")
+    blank = {"position": F.lit(0), "fee": F.lit(0).cast("bigint"), "weight": F.lit(0).cast("bigint")}
+    tables.append(saved.withColumns(blank), f"{root}/predictions")
+    tables.append(saved.select("prediction_time").distinct(), cycle.rounds_path(f"{root}/predictions"))
+    heights = landed_stream(spark, f"{root}/heights", mined.schema, "parquet", 1)
+    audits = rounds.audit_table(f"{root}/audits")
+    rounds.cycle_stream(heights, bodies, f"{root}/predictions", audits, f"{root}/checkpoint", trigger=ingest.DRAIN).awaitTermination()
+    found = _ntz(rounds.audits_of(spark, audits), "prediction_time").withColumnRenamed("block_height", "block")
     return found.withColumn("accuracy", F.round("accuracy", 9))
 
 
@@ -470,6 +490,25 @@ def stream_upsert(spark, sf_dir):
     return _ntz(tables.read(spark, table), "timestamp")
 
 
+@query
+def stream_late(spark, sf_dir):
+    """The blocks come in two halves, and every tenth only after both: of these the ones whose day lies three days behind
+    the newest block are late."""
+    root = workspace(spark, "stream_late")
+    blocks = standins.blocks(spark, sf_dir)
+    half = blocks.agg(F.floor(F.max("height") / 2)).first()[0]
+    table, schema = late.bucket_table(f"{root}/days"), tables.BLOCKS
+    for part in (f"height % 10 <> 0 AND height < {half}", f"height % 10 <> 0 AND height >= {half}", "height % 10 = 0"):
+        standins.as_utc(blocks.where(part)).select(*schema.names).coalesce(1).write.mode("append").parquet(f"{root}/landed")
+        rows = landed_stream(spark, f"{root}/landed", schema, "parquet", 1).drop("seq")
+        late.late_stream(rows, table, f"{root}/checkpoint", "timestamp", "nTx", "1 day", "3 days").awaitTermination()
+    days = late.buckets(spark, table).select(F.lit("bucket").alias("kind"), "time", "total", "rows")
+    behind = late.late_rows(spark, table, schema).select(
+        F.lit("late").alias("kind"), F.col("timestamp").alias("time"), F.col("nTx").cast("bigint").alias("total"), F.lit(1).cast("bigint").alias("rows")
+    )
+    return _ntz(days.unionByName(behind), "time")
+
+
 @query
 def feed_envelopes(spark, sf_dir):
     """Every block as a message of the feed, read back from the sink and opened again."""
@@ -482,6 +521,19 @@ def feed_envelopes(spark, sf_dir):
     return _ntz(opened.select("message.event", row.alias("row")).select("event", "row.*"), "timestamp")
 
 
+@query
+def feed_changes(spark, sf_dir):
+    """Every block landed twice, in other files: it is told once, when it is new."""
+    root = workspace(spark, "feed_changes")
+    blocks = _with_seq(standins.blocks_from(_event_stream(spark, sf_dir, root, 2)))
+    table = tables.block_table(f"{root}/blocks")
+    feed.change_stream(blocks, table, "new_block", f"{root}/checkpoint", f"{root}/messages").awaitTermination()
+    message = decode("value", T.StructType.fromDDL("event string, data string"))
+    row = decode("message.data", tables.BLOCKS)
+    opened = spark.read.text(f"{root}/messages").select(message.alias("message"))
+    return _ntz(opened.select("message.event", row.alias("row")).select("event", "row.*"), "timestamp")
+
+
 @query
 def feed_transactions(spark, sf_dir):
     """Daily totals as messages of their channel, opened again."""
@@ -556,12 +608,21 @@ def stream_mempool(spark, sf_dir):
     return _ntz(state.select(*MEMPOOL_STATE.names), "first_seen")
 
 
-def _streamed_mempool(spark, sf_dir, root):
-    store = MempoolStore(f"{root}/mempool")
+def _streamed_mempool(spark, sf_dir, root, mined=None):
     rows = standins.as_utc(standins.snapshots_from(_event_stream(spark, sf_dir, root).drop("seq")), "first_seen")
-    ingest.mempool_stream(rows, store, f"{root}/checkpoint").awaitTermination()
-    mempool_store.compact(spark, store)
-    return mempool_store.load(spark, store)
+    mempool_state.mempool_stream(rows, f"{root}/checkpoint", mined).awaitTermination()
+    return mempool_state.load(spark, f"{root}/checkpoint")
+
+
+@query
+def stream_mempool_mined(spark, sf_dir):
+    """Transactions that a second stream says are mined stay away, also those that are seen again later."""
+    root = workspace(spark, "stream_mempool_mined")
+    events = standins.events(spark, sf_dir).where("event_type = 'error' AND user_id % 2 = 0")
+    events.select(F.concat(F.lit("tx"), "user_id").alias("txid")).repartition(2).write.parquet(f"{root}/mined")
+    mined = landed_stream(spark, f"{root}/mined", T.StructType.fromDDL("txid string"), "parquet", 1)
+    state = _streamed_mempool(spark, sf_dir, root, mined)
+    return _ntz(state.select(*MEMPOOL_STATE.names), "first_seen")
 
 
 @query

@@ -38,9 +38,6 @@ BLOCK_BODY = struct(height=INT, hash=STRING, tx=T.ArrayType(STRING))
 MEMPOOL_ENTRY = struct(fee=DOUBLE, weight=LONG, sigops=INT)
 MEMPOOL_SNAPSHOT = T.MapType(STRING, MEMPOOL_ENTRY)
 MEMPOOL_STATE = struct(txid=STRING, fee=LONG, weight=LONG, sigops=INT, first_seen=TIME)
-MEMPOOL_VERSIONS = T.StructType(
-    [*MEMPOOL_STATE.fields, *struct(first_ever_seen=TIME, place=LONG, pos=INT, last=LONG).fields]
-)
 PREDICTED_BLOCKS = struct(prediction_time=TIME, txid=STRING, position=INT, fee=LONG, weight=LONG)
 PREDICTION_ROUNDS = struct(prediction_time=TIME)
 BLOCK_AUDITS = struct(

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from chainlytics.functions import encode
+from chainlytics.operators.changes import CHANGE
 from chainlytics.operators.latest import SLICE, latest, latest_in_slices
+from chainlytics.plans import tables
+from chainlytics.plans.tables import KeyedTable
 from chainlytics.streaming.ingest import DRAIN
 
 # Event names of the messages.
@@ -52,6 +55,35 @@ def feed_stream(
     return writer.trigger(**trigger).start()
 
 
+def change_stream(
+    rows: DataFrame,
+    table: KeyedTable,
+    channel: str,
+    checkpoint: str,
+    folder: str,
+    given: Mapping[str, Column] | None = None,
+    trigger: Mapping = DRAIN,
+) -> StreamingQuery:
+    """Upsert a stream and send a message for every row that was really inserted or changed, and for no other: a block
+    that is read twice is told once. ``rows`` has the table's columns and ``seq``.
+
+    Messages are text files, a folder for each micro-batch, written before the table shows the change. A batch that is cut off
+    before runs again and writes the same folder; one that is cut off after finds nothing changed and leaves it as it is."""
+    spark = rows.sparkSession
+    tables.create(spark, table)
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        def tell(changed: DataFrame) -> None:
+            if not changed.isEmpty():
+                messages = envelopes(changed.drop(CHANGE), CHANNELS[channel])
+                messages.write.mode("overwrite").text(f"{folder}/batch={batch_id}")
+
+        tables.upsert(table, batch, given=given, then=tell)
+
+    writer = rows.writeStream.option("checkpointLocation", checkpoint)
+    return writer.trigger(**trigger).foreachBatch(apply).start()
+
+
 def _listed(rows: DataFrame, event: str, by: str) -> DataFrame:
     """The rows (a top-10) as one JSON array, newest first."""
     newest_first = F.sort_array(F.collect_list(F.struct(F.col(by).alias("_by"), F.struct(*rows.columns).alias("row"))), False)

@@ -9,11 +9,11 @@ from pyspark.sql import types as T
 
 from chainlytics.operators.mempool import predict_block
 from chainlytics.operators.rollups import daily_transactions
-from chainlytics.plans import rollup_store, tables
+from chainlytics.plans import cycle, rollup_store, tables
 from chainlytics.plans.rollup_store import Policy, Rollup
 from chainlytics.schemas import BLOCKS
 from chainlytics.sources.topics import landed_stream
-from chainlytics.streaming import feed, ingest
+from chainlytics.streaming import feed, ingest, late, mempool_state, rounds
 from conftest import rows
 
 START = 1704067200  # 2024-01-01
@@ -41,7 +41,8 @@ def test_headers_then_blocks_in_small_batches(spark, root):
     land(f"{root}/blocks_in", "1.json", [record(1, 5), record(2)], 2001)  # the boundary block again
     query = ingest.header_stream(spark, f"{root}/blocks_in", table, f"{root}/c2", "block", 1)
     query.awaitTermination()
-    assert len(query.recentProgress) >= 2
+    seen = [p["observedMetrics"]["headers"] for p in query.recentProgress if "headers" in p["observedMetrics"]]
+    assert [(m["rows"], m["malformed"]) for m in seen] == [(3, 1), (2, 0)]  # counted in the one read of each batch
     found = {r["height"]: r["nTx"] for r in tables.read(spark, table).collect()}
     assert found == {0: 1, 1: 5, 2: 1, 3: None, 4: None, 5: None}
     assert [r["value"] for r in spark.read.text(ingest.malformed_path(table)).collect()] == ["{broken"]
@@ -111,32 +112,64 @@ def test_policy_runs_with_arriving_blocks(spark, root, arriving):
     assert rows(rollup_store.read(spark, volume)) == rows(daily_transactions(arriving))
 
 
-def test_streamed_mempool_keeps_places_and_rewrites_nothing(spark, root):
-    from chainlytics.plans import mempool_store
+SIGHTING = "txid string, fee long, weight long, sigops int, first_seen timestamp, pos int"
+SEEN = [datetime(2024, 1, 1), datetime(2024, 1, 2)]
 
-    store = mempool_store.MempoolStore(f"{root}/mempool")
-    schema = "txid string, fee long, weight long, sigops int, first_seen timestamp, pos int"
-    seen = [datetime(2024, 1, 1), datetime(2024, 1, 2)]
-    for at, fee in zip(seen, (1, 2)):
-        data = [("b", 7, 4, 0, at, 0), ("a", fee, 4, 0, at, 1)] if fee == 1 else [("c", 2, 4, 0, at, 0), ("a", fee, 4, 0, at, 1)]
-        spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(f"{root}/in")
-        rows_in = landed_stream(spark, f"{root}/in", T.StructType.fromDDL(schema), "parquet", 1)
-        before = {p: p.stat().st_mtime_ns for p in Path(f"{root}/mempool").rglob("*") if p.is_file()}
-        ingest.mempool_stream(rows_in, store, f"{root}/c").awaitTermination()
-        assert all(p.stat().st_mtime_ns == t for p, t in before.items())
 
-    def state():
-        return sorted((r.txid, r.fee, r.first_seen, r.first_ever_seen, r.pos) for r in mempool_store.load(spark, store).collect())
+def sight(spark, root, data, schema=SIGHTING, folder="in"):
+    spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(f"{root}/{folder}")
+    return landed_stream(spark, f"{root}/{folder}", T.StructType.fromDDL(schema), "parquet", 1)
 
+
+def state_of(spark, root, batch=None):
+    found = mempool_state.load(spark, f"{root}/c", batch).collect()
+    return sorted((r.txid, r.fee, r.first_seen, r.first_ever_seen, r.pos) for r in found)
+
+
+def test_streamed_mempool_keeps_places(spark, root):
+    query = mempool_state.mempool_stream(sight(spark, root, [("b", 7, 4, 0, SEEN[0], 0), ("a", 1, 4, 0, SEEN[0], 1)]), f"{root}/c")
+    query.awaitTermination()
+    assert "rocksdbPutCount" in query.lastProgress["stateOperators"][0]["customMetrics"]
+    # a restart goes on from the checkpoint
+    mempool_state.mempool_stream(sight(spark, root, [("c", 2, 4, 0, SEEN[1], 0), ("a", 2, 4, 0, SEEN[1], 1)]), f"{root}/c").awaitTermination()
     # what left the snapshots stays in the state; a replaced entry keeps its place
-    want = [("a", 2, seen[1], seen[0], 1), ("b", 7, seen[0], seen[0], 0), ("c", 2, seen[1], seen[1], 0)]
-    assert state() == want
-    block = predict_block(mempool_store.load(spark, store), ties=["place", "pos"]).orderBy("position").collect()
+    assert state_of(spark, root) == [("a", 2, SEEN[1], SEEN[0], 1), ("b", 7, SEEN[0], SEEN[0], 0), ("c", 2, SEEN[1], SEEN[1], 0)]
+    assert state_of(spark, root, 0) == [("a", 1, SEEN[0], SEEN[0], 1), ("b", 7, SEEN[0], SEEN[0], 0)]
+    block = predict_block(mempool_state.load(spark, f"{root}/c"), ties=["place", "pos"]).orderBy("position").collect()
     assert [r.txid for r in block] == ["b", "a", "c"]
-    mempool_store.compact(spark, store)
-    assert state() == want and len(list(Path(f"{root}/mempool").iterdir())) == 1
-    mempool_store.compact(spark, store, spark.createDataFrame([("a",)], "txid string"))
-    assert [r[0] for r in state()] == ["b", "c"]
+    assert all(spark.conf.get(key, "unset") != value for key, value in mempool_state.SETTINGS.items())
+
+
+def test_mined_transactions_stay_away_after_a_crash(spark, root):
+    first = [("b", 7, 4, 0, SEEN[0], 0), ("a", 1, 4, 0, SEEN[0], 1), ("c", 1, 4, 0, SEEN[0], 2)]
+
+    def run(seen):
+        mined = landed_stream(spark, f"{root}/mined", T.StructType.fromDDL("txid string"), "parquet", 1)
+        mempool_state.mempool_stream(seen, f"{root}/c", mined).awaitTermination()
+
+    seen = sight(spark, root, first)
+    sight(spark, root, [("z",)], "txid string", "mined")
+    run(seen)
+    sight(spark, root, [("a",), ("a",), ("never seen",)], "txid string", "mined")
+    run(seen)
+    want = [("b", 7, SEEN[0], SEEN[0], 0), ("c", 1, SEEN[0], SEEN[0], 2)]
+    assert state_of(spark, root) == want
+    # the batch was cut off before it was noted as complete: it runs again, from the version before it
+    for name in max(Path(f"{root}/c/commits").glob("[0-9]*"), key=lambda p: int(p.name)), :
+        name.unlink()
+        (name.parent / f".{name.name}.crc").unlink(missing_ok=True)
+    run(sight(spark, root, first))  # and all is sighted once more, later
+    assert [r[0] for r in state_of(spark, root)] == ["b", "c"]
+
+
+def test_sightings_in_any_order(spark, root):
+    schema = SIGHTING + ", seq long"
+    data = [("a", s, 4, 0, SEEN[0] + timedelta(hours=s), s + 10, s) for s in (3, 1, 2)]
+    for row in data:
+        rows_in = sight(spark, root, [row], schema).drop("seq")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    mempool_state.mempool_stream(stream, f"{root}/c").awaitTermination()
+    assert rows_in.isStreaming and state_of(spark, root) == [("a", 3, data[0][4], data[1][4], 11)]
 
 
 def test_a_policy_runs_without_rows_arriving(spark, root, arriving):
@@ -199,3 +232,77 @@ def test_appended_rows_are_committed_once(spark, root, arriving):
 def test_triggers():
     assert ingest.every(ingest.BLOCK_POLL) == {"processingTime": "2 seconds"}
     assert ingest.every(ingest.HEIGHT_POLL) == {"processingTime": "10 seconds"}
+
+
+def test_an_old_block_reads_and_writes_old_slices_only(spark, root, arriving, monkeypatch):
+    base = tables.block_table(f"{root}/blocks")
+    volume = Rollup("volume", base, "timestamp", "1 day", {"transactions": "sum(nTx)"}, f"{root}/volume")
+    ingest.rollup_stream(stream(spark, root), volume, f"{root}/c").awaitTermination()
+    opened = []
+    real = tables._folders
+    monkeypatch.setattr(tables, "_folders", lambda *args: opened.append(args[3]) or real(*args))
+    arriving.where("height = 2").withColumn("nTx", F.lit(50)).coalesce(1).write.mode("append").parquet(f"{root}/arriving")
+    ingest.rollup_stream(stream(spark, root), volume, f"{root}/c").awaitTermination()
+    assert {name for names in opened for name in names} == {"day=2024-01-01", "month=2024-01-01"}
+    assert rows(rollup_store.read(spark, volume)) == rows(daily_transactions(tables.read(spark, base)))
+
+
+def test_rows_behind_the_mark_go_to_the_side(spark, root):
+    schema = T.StructType.fromDDL("at timestamp, n int, name string")
+    table, day = late.bucket_table(f"{root}/days"), datetime(2024, 1, 1)
+
+    def run(*data):
+        spark.createDataFrame(list(data), schema).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        rows_in = landed_stream(spark, f"{root}/in", schema, "parquet", 1).drop("seq")
+        late.late_stream(rows_in, table, f"{root}/c", "at", "n", "1 day", "1 day").awaitTermination()
+
+    run((day, 1, "a"), (day, None, "b"), (None, 9, "no time"), (day + timedelta(days=1, hours=5), 2, "c"))
+    run((day + timedelta(hours=1), 4, "not behind yet"))  # the mark is at 05:00 of the day
+    run((day + timedelta(days=3), 8, "d"))
+    run((day + timedelta(hours=2), 16, "late"), (day + timedelta(days=1), 32, "late too"), (day + timedelta(days=2), None, "in time"))
+    found = {r["time"].day: (r["total"], r["rows"]) for r in late.buckets(spark, table).collect()}
+    assert found == {1: (5, 3), 2: (2, 1), 3: (0, 1), 4: (8, 1)}
+    behind = late.late_rows(spark, table, schema)
+    assert {tuple(r) for r in behind.collect()} == {(day + timedelta(days=1), 32, "late too"), (day + timedelta(hours=2), 16, "late")}
+    assert late.late_rows(spark, late.bucket_table(f"{root}/none"), schema).isEmpty()
+
+
+def test_each_round_audits_the_highest_block_it_sees(spark, root):
+    t = [datetime(2024, 1, 1, h) for h in range(10)]
+    path, audits = f"{root}/predictions", rounds.audit_table(f"{root}/audits")
+    pick = "txid string, position int, fee long, weight long"
+    heights = T.StructType.fromDDL("block int, mined_at timestamp")
+    bodies = spark.createDataFrame([(1, "x"), (2, "x"), (3, "a"), (3, "z"), (5, "c")], "block int, txid string")
+    again = []
+
+    def run(*mined):
+        spark.createDataFrame(list(mined), heights).coalesce(1).write.mode("append").parquet(f"{root}/heights")
+        new = landed_stream(spark, f"{root}/heights", heights, "parquet", 1)
+        rounds.cycle_stream(new, bodies, path, audits, f"{root}/c", lambda: again.append(1) or spark.createDataFrame([], pick), ingest.DRAIN).awaitTermination()
+        return sorted((r["prediction_time"].hour, r["block_height"], r["matches"], r["added"], r["missing"], r["accuracy"]) for r in tables.read(spark, audits).where("prediction_time < '2024-01-02'").collect())
+
+    assert run((1, t[0])) == [] and len(again) == 1  # no prediction before the block, one after it
+    for at, names in ((t[1], "ab"), (t[5], "")):
+        cycle.save_prediction(spark.createDataFrame([(n, 0, 1, 4) for n in names], pick), path, at)
+    assert run((3, t[3])) == [(1, 3, 1, 1, 1, 0.5)]
+    assert run((2, t[2]), (2, t[2])) == [(1, 3, 1, 1, 1, 0.5)]  # a lower one that comes later is passed over
+    assert run((5, t[6]), (4, t[5])) == [(1, 3, 1, 1, 1, 0.5), (5, 5, 0, 1, 0, 0.0)]
+    assert len(again) == 4
+
+
+def test_a_block_that_is_read_twice_is_told_once(spark, root, arriving):
+    table = tables.block_table(f"{root}/blocks")
+
+    def run():
+        feed.change_stream(stream(spark, root), table, "new_block", f"{root}/c", f"{root}/out").awaitTermination()
+        return sorted(json.loads(json.loads(r["value"])["data"])["height"] for r in spark.read.text(f"{root}/out").collect())
+
+    assert run() == list(range(40))
+    arriving.where("height < 9").coalesce(1).write.mode("append").parquet(f"{root}/arriving")
+    assert run() == list(range(40))
+    arriving.where("height = 4").withColumn("nTx", F.lit(99)).coalesce(1).write.mode("append").parquet(f"{root}/arriving")
+    assert run() == sorted([*range(40), 4])
+    last = max(Path(f"{root}/c/commits").glob("[0-9]*"), key=lambda p: int(p.name))  # cut off before it was complete
+    last.unlink()
+    (last.parent / f".{last.name}.crc").unlink(missing_ok=True)
+    assert run() == sorted([*range(40), 4])
