@@ -1,11 +1,14 @@
 """Exact top-k inner products with one KD-tree a shard.
 
-Vectors are dealt to shards by a hash of their id. A shard's tree splits at the median of the widest dimension down to
+Vectors are dealt to shards by a hash of their row. A shard's tree splits at the median of the widest dimension down to
 leaves of ``LEAF`` vectors; every node keeps the tight box of its vectors. The best product a box can give is an upper
 bound: the sum over dimensions of max(q*low, q*high). A query visits nodes best bound first and stops when no bound
-reaches its kth score. It first searches its own shard; the kth score found there goes with it to the other shards, where
-it cuts branches from the start. Products are whole numbers and every cut keeps bounds equal to the kth score, so ties
-fall to the smaller id exactly."""
+reaches its kth score.
+
+A query first searches its own shard. With the kth score found there it is held against the root boxes of the other shards, which
+are kept in blocks, and goes on only to those whose bound reaches that score; there the score cuts branches from the start. A
+shard's tree is sent once, ahead of the blocks of queries that ask it, and these pass through the task one after another.
+Products are whole numbers and every cut keeps bounds equal to the kth score, so ties fall to the smaller id exactly."""
 
 from __future__ import annotations
 
@@ -24,8 +27,13 @@ from chainlytics.llm.tables import kept, table
 SHARD, LEAF = 16_384, 256
 
 SCALE = 64
-TREE = "shard int, dims int, ids binary, points binary, lows binary, highs binary, nodes binary, query_ids binary, queries binary, kth binary, found binary"
-HITS = "query_id bigint, vec_id bigint, score bigint"
+
+#: Root boxes a block holds, and queries that travel together.
+BOXES, TOGETHER = 512, 512
+
+TREE = "shard int, ids binary, rows binary, points binary, lows binary, highs binary, nodes binary, asked binary, queries binary, kth binary, found binary"
+ASKS = "shard int, asked binary, queries binary, kth binary"
+HITS = "query_row bigint, query_id bigint, vec_id bigint, score bigint"
 
 
 def whole_vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,8 +85,8 @@ def grow(points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     return order, np.array(lows), np.array(highs), np.array(nodes, dtype=np.int64).reshape(-1, 4)
 
 
-def traverse(bounds: np.ndarray, nodes: np.ndarray, scores, ids: np.ndarray, own: int, kth: int | None, k: int) -> tuple[list, int | None]:
-    """One query: its hits [(score, -id)] of at least ``kth`` in a tree, and the kth score then known."""
+def traverse(bounds: np.ndarray, nodes: np.ndarray, scores, ids: np.ndarray, rows: np.ndarray, own: int, kth: int | None, k: int) -> tuple[list, int | None]:
+    """One query: its hits [(score, -id)] of at least ``kth`` in a tree, but for its own row, and the kth score then known."""
     best: list[tuple[int, int]] = []
     waiting = [(-int(bounds[0]), 0)] if len(nodes) else []
     while waiting:
@@ -91,7 +99,7 @@ def traverse(bounds: np.ndarray, nodes: np.ndarray, scores, ids: np.ndarray, own
             heapq.heappush(waiting, (-int(bounds[right]), int(right)))
             continue
         s, i = scores(first, last), ids[first:last]
-        good = i != own if kth is None else (i != own) & (s >= kth)
+        good = rows[first:last] != own if kth is None else (rows[first:last] != own) & (s >= kth)
         best += zip(s[good].tolist(), (-i[good]).tolist())
         if len(best) > k:
             best = heapq.nlargest(k, best)
@@ -101,31 +109,37 @@ def traverse(bounds: np.ndarray, nodes: np.ndarray, scores, ids: np.ndarray, own
     return best, kth
 
 
-def search(ids, points, lows, highs, nodes, query_ids, queries, kth, k) -> tuple[list, list]:
-    """All queries of a block against one tree: hits (query, id, score) and the new kth scores."""
+def reach(queries: np.ndarray, lows: np.ndarray, highs: np.ndarray) -> np.ndarray:
+    """The best product each query can have with a vector in each box."""
+    return products(np.maximum(queries, 0), highs) + products(np.minimum(queries, 0), lows)
+
+
+def search(ids, rows, points, lows, highs, nodes, asked, queries, kth, k) -> tuple[np.ndarray, list]:
+    """A block of queries, ``asked`` being their (row, id), against one tree: hits (query row, query id, id, score) and the
+    new kth scores."""
     hits, new = [], []
-    if not len(nodes):
-        return hits, list(kth)
-    up, down = np.maximum(queries, 0), np.minimum(queries, 0)
-    bounds = products(up, highs) + products(down, lows)
-    for n, own in enumerate(query_ids.tolist()):
-        q = queries[n : n + 1]
-        best, low = traverse(bounds[n], nodes, lambda a, b: products(q, points[a:b])[0], ids, own, kth[n], k)
-        hits += [(own, -i, s) for s, i in best]
-        new.append(low)
-    return hits, new
+    if len(nodes):
+        bounds = reach(queries, lows, highs)
+        for n, (own, query_id) in enumerate(asked.tolist()):
+            q = queries[n : n + 1]
+            best, low = traverse(bounds[n], nodes, lambda a, b: products(q, points[a:b])[0], ids, rows, own, kth[n], k)
+            hits += [(own, query_id, -i, s) for s, i in best]
+            new.append(low)
+    else:
+        new = list(kth)
+    return np.array(hits, dtype=np.int64).reshape(-1, 4), new
 
 
 def _build(frame: pd.DataFrame, k: int, every: int, dims: int) -> pd.DataFrame:
-    ids = frame["vec_id"].to_numpy(np.int64)
+    ids, rows = frame["vec_id"].to_numpy(np.int64), frame["row"].to_numpy(np.int64)
     points = np.zeros((len(ids), dims), dtype=np.int64)
     for n, vector in enumerate(frame["vector"]):
         points[n, : len(vector)] = vector
-    by_id = np.argsort(ids, kind="stable")
-    ids, points = ids[by_id], points[by_id]
-    asked = ids % every == 0
-    query_ids, queries = ids[asked], points[asked]
-    # Of equal vectors only the k + 1 smallest ids can ever be among a query's k best.
+    by_id = np.lexsort((rows, ids))
+    ids, rows, points = ids[by_id], rows[by_id], points[by_id]
+    of_query = ids % every == 0
+    asked, queries = np.stack([rows[of_query], ids[of_query]], axis=1), points[of_query]
+    # Of equal vectors only the k + 1 rows with the smallest ids can ever be among a query's k best.
     if dims and len(points):
         _, group = np.unique(points, axis=0, return_inverse=True)
         group = group.ravel()
@@ -133,66 +147,106 @@ def _build(frame: pd.DataFrame, k: int, every: int, dims: int) -> pd.DataFrame:
         first = np.r_[True, np.diff(group[sorted_at]) != 0]
         rank = np.arange(len(ids)) - np.maximum.accumulate(np.where(first, np.arange(len(ids)), 0))
         keep = np.sort(sorted_at[rank <= k])
-        ids, points = ids[keep], points[keep]
+        ids, rows, points = ids[keep], rows[keep], points[keep]
     order, lows, highs, nodes = grow(points)
-    ids, points = ids[order], points[order]
-    hits, kth = search(ids, points, lows, highs, nodes, query_ids, queries, [None] * len(query_ids), k)
-    known = np.array([[low is not None, low or 0] for low in kth], dtype=np.int64).reshape(-1, 2)
-    raw = [x.astype(np.int64).tobytes() for x in (ids, points, lows, highs, nodes, query_ids, queries, known, np.array(hits, dtype=np.int64).reshape(-1, 3))]
-    return pd.DataFrame([[int(frame["shard"].iloc[0]), dims, *raw]], columns=[c.split()[0] for c in TREE.split(", ")])
+    ids, rows, points = ids[order], rows[order], points[order]
+    hits, kth = search(ids, rows, points, lows, highs, nodes, asked, queries, [None] * len(asked), k)
+    raw = [x.astype(np.int64).tobytes() for x in (ids, rows, points, lows, highs, nodes, asked, queries, _known(kth), hits)]
+    return pd.DataFrame([[int(frame["shard"].iloc[0]), *raw]], columns=_names(TREE))
+
+
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
+def _known(kth: list) -> np.ndarray:
+    return np.array([[low is not None, low or 0] for low in kth], dtype=np.int64).reshape(-1, 2)
+
+
+def _kth(known: np.ndarray) -> list:
+    return [int(low) if has else None for has, low in known.tolist()]
 
 
 def _array(raw, *shape) -> np.ndarray:
     return np.frombuffer(raw, dtype=np.int64).reshape(*shape)
 
 
+def _hits(hits: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(hits[:, c])) for c in range(4)], names=_names(HITS))
+
+
 def _own_hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for raw in batch.column("found"):
-            yield pa.RecordBatch.from_arrays(list(_columns(_array(raw.as_py(), -1, 3))), names=["query_id", "vec_id", "score"])
-
+            yield _hits(_array(raw.as_py(), -1, 4))
 
-def _columns(hits: np.ndarray):
-    return (pa.array(np.ascontiguousarray(hits[:, c])) for c in range(3))
 
-
-def _other_hits(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+def _send(batches: Iterator[pa.RecordBatch], dims: int) -> Iterator[pa.RecordBatch]:
+    """A shard's queries and a block of root boxes to the queries that go on, for each shard whose box they reach."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            asked, known = _array(row["asked"], -1, 2), _array(row["kth"], -1, 2)
+            queries = _array(row["queries"], len(asked), dims)
+            corners = [(s, np.frombuffer(b["low"], dtype=np.int64), np.frombuffer(b["high"], dtype=np.int64)) for b in row["boxes"] for s in [b["shard"]] if s != row["home"]]
+            if not corners or not len(asked):
+                continue
+            bounds = reach(queries, np.stack([c[1] for c in corners]), np.stack([c[2] for c in corners]))
+            goes = (known[:, :1] == 0) | (bounds >= known[:, 1:])
+            for n, (shard, _, _) in enumerate(corners):
+                at = np.flatnonzero(goes[:, n])
+                for first in range(0, len(at), TOGETHER):
+                    own = at[first : first + TOGETHER]
+                    raw = [np.ascontiguousarray(x[own]).tobytes() for x in (asked, queries, known)]
+                    yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), *[pa.array([r], pa.binary()) for r in raw]], names=_names(ASKS))
+
+
+def _other_hits(batches: Iterator[pa.RecordBatch], k: int, dims: int) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by shard, the tree before the queries that ask it."""
+    tree = None
     for batch in batches:
-        for row in range(batch.num_rows):
-            get = {name: batch.column(name)[row].as_py() for name in batch.schema.names}
-            d = get["dims"]
-            known = _array(get["kth"], -1, 2)
-            kth = [int(low) if has else None for has, low in known.tolist()]
-            queries = _array(get["queries"], len(known), d)
-            hits, _ = search(
-                _array(get["ids"], -1), _array(get["points"], len(get["ids"]) // 8, d), _array(get["lows"], len(get["nodes"]) // 32, d),
-                _array(get["highs"], len(get["nodes"]) // 32, d), _array(get["nodes"], -1, 4), _array(get["query_ids"], -1), queries, kth, k,
-            )
-            yield pa.RecordBatch.from_arrays(list(_columns(np.array(hits, dtype=np.int64).reshape(-1, 3))), names=["query_id", "vec_id", "score"])
+        for number in range(batch.num_rows):
+            row = {name: batch.column(name)[number].as_py() for name in batch.schema.names}
+            if row["kind"] == 0:
+                nodes = _array(row["nodes"], -1, 4)
+                boxes = [_array(row[c], len(nodes), dims) for c in ("lows", "highs")]
+                ids = _array(row["ids"], -1)
+                tree = (ids, _array(row["rows"], -1), _array(row["points"], len(ids), dims), *boxes, nodes)
+                continue
+            asked = _array(row["asked"], -1, 2)
+            hits, _ = search(*tree, asked, _array(row["queries"], len(asked), dims), _kth(_array(row["kth"], -1, 2)), k)
+            yield _hits(hits)
 
 
 def nearest(vectors: DataFrame, k: int = 20, every: int = 20, shard_rows: int = SHARD) -> DataFrame:
     """The k highest products of each query, ties to the smaller id: query_id, rank, vec_id, score.
 
     ``vectors`` has vec_id and embedding (array of numbers); queries are the rows whose vec_id is divisible by ``every``,
-    candidates all rows with another vec_id. Rows without a vec_id, without a vector or with a null, infinite or NaN
-    component take no part. vec_id is a key: of rows that share one the smallest vector counts. Shorter vectors count as
-    filled up with zeros, so an empty vector has product 0 with all. A lone row has no result; an empty table gives an
-    empty result. Products must fit 64 bits. Other columns are not read.
+    candidates all rows but the query's own. Rows that share a vec_id are queries and candidates of their own each, so a
+    query_id may have several lists, and one may hold its own id. Rows without a vec_id, without a vector or with a null,
+    infinite or NaN component take no part. Shorter vectors count as filled up with zeros, so an empty vector has product 0 with all.
+    A lone row has no result; an empty table gives an empty result. Products must fit 64 bits. Other columns are not read.
     """
     spark = vectors.sparkSession
     whole = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), "embedding").mapInArrow(whole_vectors, "vec_id bigint, vector array<bigint>")
-    single = kept(whole.groupBy("vec_id").agg(F.min("vector").alias("vector")), "vectors")
+    single = kept(whole.withColumn("row", F.monotonically_increasing_id()), "vectors")
     size = single.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("dims")).first()
     if not size["n"]:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
     dims, shards = size["dims"], -(-size["n"] // shard_rows)
-    dealt = single.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
+    dealt = single.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int"))
     trees = kept(dealt.groupBy("shard").applyInPandas(lambda frame: _build(frame, k, every, dims), TREE), "trees")
-    asked = trees.select("query_ids", "queries", "kth", F.col("shard").alias("home"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")).where("home <> shard")
-    met = trees.select("shard", "dims", "ids", "points", "lows", "highs", "nodes").join(asked, "shard").drop("home")
-    hits = trees.select("found").mapInArrow(_own_hits, HITS).unionByName(met.mapInArrow(lambda it: _other_hits(it, k), HITS))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    hits = trees.select("found").mapInArrow(_own_hits, HITS)
+    if shards > 1:
+        corner = F.struct("shard", F.expr(f"substring(lows, 1, {8 * dims})").alias("low"), F.expr(f"substring(highs, 1, {8 * dims})").alias("high"))
+        boxes = trees.select(F.floor(F.col("shard") / BOXES).cast("int").alias("block"), corner.alias("box"))
+        boxes = boxes.groupBy("block").agg(F.collect_list("box").alias("boxes"))  # BOXES of them at most
+        blocks = F.explode(F.sequence(F.lit(0), F.lit((shards - 1) // BOXES))).alias("block")
+        asking = trees.select(F.col("shard").alias("home"), "asked", "queries", "kth", blocks).join(boxes, "block")
+        asks = asking.mapInArrow(lambda it: _send(it, dims), ASKS).withColumn("kind", F.lit(1))
+        sent = trees.select("shard", "ids", "rows", "points", "lows", "highs", "nodes", F.lit(0).alias("kind"))
+        met = sent.unionByName(asks, allowMissingColumns=True).repartitionById(shards, "shard").sortWithinPartitions("shard", "kind")
+        hits = hits.unionByName(met.mapInArrow(lambda it: _other_hits(it, k, dims), HITS))
+    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
@@ -202,9 +256,9 @@ def op10_top_k(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLE = """
-    WITH whole AS (SELECT vec_id, [floor(64 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
+    WITH whole AS (SELECT row_number() OVER () AS row, vec_id, [floor(64 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
                    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
-    scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
-               FROM whole q JOIN whole c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
-    ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+    scored AS (SELECT q.row, q.vec_id AS query_id, c.vec_id, list_dot_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+               FROM whole q JOIN whole c ON q.vec_id % 20 = 0 AND c.row <> q.row),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
     SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20"""
