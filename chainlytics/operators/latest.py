@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
@@ -44,9 +43,9 @@ def latest_in_slices(df: DataFrame, by: str, rows: int = SNAPSHOT_ROWS, ties: tu
 
 
 def newest_slice(df: DataFrame, slices: str = SLICE) -> DataFrame:
-    """Rows of the newest slice of a table, found by the names of its files; they are not opened."""
-    values = {m[1] for m in (re.search(rf"/{slices}=([^/]+)/", name) for name in df.inputFiles()) if m}
-    return df.where(F.col(slices).cast("string") == max(values)) if values else df
+    """Rows of the newest slice of a sliced table. Which one that is comes from the slice column alone, as a subquery that
+    prunes the scan; where the table itself is at hand, :func:`chainlytics.plans.tables.newest` lists folders instead."""
+    return df.where(F.col(slices) == df.agg(F.max(slices)).scalar())
 
 
 def latest_difficulty(blocks: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from datetime import datetime
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -28,13 +29,19 @@ class Catalog:
         return self.rollups[self.aliases.get(name, name)]
 
 
-def definitions() -> dict:
-    """Fixed values, names and offsets that must be as they are in ``definitions.json``: the block table, its three daily rollups and their refresh policies."""
-    return json.loads(Path(__file__).with_name("definitions.json").read_text())
+def definitions(*more: str) -> dict:
+    """Fixed values, names and offsets that must be as they are in ``definitions.json``: the block table, its three daily rollups
+    and their refresh policies. ``more`` names further groups of it: ``cascade`` has hours, days of hours and weeks of days."""
+    defs = json.loads(Path(__file__).with_name("definitions.json").read_text())
+    groups = defs.pop("more")
+    for group in more:
+        for kind, entries in groups[group].items():
+            defs[kind] += entries
+    return defs
 
 
 def build(root: str, defs: Mapping | None = None) -> Catalog:
-    """Definitions -> objects; nothing is written."""
+    """Definitions -> objects, rollups in the order of their dependencies; nothing is written."""
     defs = definitions() if defs is None else defs
     catalog = Catalog(root)
     for t in defs["tables"]:
@@ -43,12 +50,18 @@ def build(root: str, defs: Mapping | None = None) -> Catalog:
             f"{root}/{t['name']}", schema, t["unique"], t["time"], partial=t.get("partial", ())
         )
     times = {t["name"]: t["time"] for t in defs["tables"]}
-    for r in defs["rollups"]:
-        base = r["base"]
-        catalog.rollups[r["name"]] = Rollup(
-            r["name"], catalog.tables[base], times[base], r["width"], r["measures"], f"{root}/{r['name']}"
-        )
-        catalog.aliases.update({alias: r["name"] for alias in r.get("aliases", [])})
+    waiting = list(defs["rollups"])
+    while waiting:  # bases before what is built on them
+        ready = [r for r in waiting if r["base"] in catalog.tables or r["base"] in catalog.rollups]
+        if not ready:
+            raise ValueError(f"rollups on unknown bases: {sorted(r['name'] for r in waiting)}")
+        for r in ready:
+            base = catalog.tables.get(r["base"]) or catalog.rollups[r["base"]]
+            catalog.rollups[r["name"]] = Rollup(
+                r["name"], base, times.get(r["base"], "time"), r["width"], r["measures"], f"{root}/{r['name']}"
+            )
+            catalog.aliases.update({alias: r["name"] for alias in r.get("aliases", [])})
+        waiting = [r for r in waiting if r not in ready]
     for p in defs["policies"]:
         catalog.policies[p["rollup"]] = Policy(**p)
     return catalog
@@ -67,6 +80,13 @@ def apply(spark: SparkSession, root: str, defs: Mapping | None = None) -> Catalo
     return catalog
 
 
+def refresh(spark: SparkSession, catalog: Catalog, now: datetime) -> None:
+    """Run all refresh policies, those of a rollup after those of its base."""
+    for name, rollup in catalog.rollups.items():
+        if name in catalog.policies:
+            rollup_store.run_policy(spark, rollup, catalog.policies[name], now)
+
+
 def register_views(spark: SparkSession, catalog: Catalog) -> None:
     """Make tables and real-time rollups, with their aliases, queryable by name.
 
@@ -80,9 +100,9 @@ def register_views(spark: SparkSession, catalog: Catalog) -> None:
 
 
 def drop_table(spark: SparkSession, catalog: Catalog, name: str) -> None:
-    """Drop a table together with the rollups built on it, their policies and views."""
+    """Drop a table together with the rollups built on it, directly or over others, their policies and views."""
     table = catalog.tables.pop(name)
-    for rollup in [r for r in catalog.rollups.values() if r.base is table]:
+    for rollup in [r for r in reversed(catalog.rollups.values()) if r.table is table]:
         rollup_store.drop(spark, rollup)
         del catalog.rollups[rollup.name]
         catalog.policies.pop(rollup.name, None)

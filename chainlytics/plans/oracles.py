@@ -253,6 +253,10 @@ FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1""",
     "rollup_stale": _with(BLOCKS)
     + f"""SELECT {_bucket('1 day')} AS time,
        CAST(sum(nTx + CAST("timestamp" >= TIMESTAMP '2024-01-24' AS INTEGER)) AS BIGINT) AS transactions
+FROM blocks GROUP BY 1""",
+    "rollup_cascade": _with(BLOCKS)
+    + f"""SELECT {_bucket('7 days')} AS time,
+       CAST(sum(nTx + CAST("timestamp" >= TIMESTAMP '2024-01-24' AS INTEGER)) AS BIGINT) AS transactions
 FROM blocks GROUP BY 1""",
     "stream_daily": DAILY,
     "stream_upsert": PARTIAL,

@@ -12,6 +12,8 @@ from chainlytics.functions import moment, register_sql
 from chainlytics.operators.latest import height_series, in_range, latest_difficulty, max_height, newest_slice
 from chainlytics.operators.rollups import last_not_null, rebucket, transactions_per
 from chainlytics.operators.sigma import sigma_histogram
+from chainlytics.plans import tables
+from chainlytics.plans.tables import KeyedTable
 
 # Names of the views, macros of the range, and the range a dashboard shows at first. A
 # panel without a range shows all rows; pass these two to see what the dashboard starts with.
@@ -46,20 +48,29 @@ def _height_series(spark: SparkSession, as_of: date | None = None) -> DataFrame:
     return height_series(spark.table(HEIGHT), spark.table(BLOCKS), as_of)
 
 
+def _height(spark: SparkSession, blocks: KeyedTable | None = None) -> DataFrame:
+    return max_height(spark.table(BLOCKS) if blocks is None else tables.read_footers(spark, blocks))
+
+
+def _difficulty(spark: SparkSession, blocks: KeyedTable | None = None) -> DataFrame:
+    return latest_difficulty(newest_slice(spark.table(BLOCKS)) if blocks is None else tables.newest(spark, blocks))
+
+
 PANELS: dict[str, Callable[..., DataFrame]] = {
     "transactions_daily": _series(VOLUME, "transactions"),
     "transactions_sigma_hourly": _sigma_hourly,
     "transactions_sigma_daily": _sigma_daily,
-    "block_height": lambda spark: max_height(spark.table(BLOCKS)),
+    "block_height": _height,
     "block_height_daily": _height_series,
-    "block_difficulty": lambda spark: latest_difficulty(newest_slice(spark.table(BLOCKS))),
+    "block_difficulty": _difficulty,
     "block_difficulty_daily": _series(DIFFICULTY, "difficulty"),
 }
 
 
 def panel(spark: SparkSession, name: str, **params) -> DataFrame:
     """Run one panel, e.g. ``panel(spark, "transactions_daily", start=..., end=...)``. Either end may be
-    left out: the range is then open there."""
+    left out: the range is then open there. The single numbers of the block table are polled; given the table as
+    ``blocks`` they come from file footers and from its newest folder."""
     return PANELS[name](spark, **params)
 
 

@@ -450,6 +450,20 @@ def rollup_stale(spark, sf_dir):
     return _ntz(rollup_store.read(spark, volume), "time")
 
 
+@query
+def rollup_cascade(spark, sf_dir):
+    """Weeks of days of hours, each refreshed after its base; then every block changes and all are refreshed again: what hours
+    and days no longer follow does not reach the weeks either, though these look back a month."""
+    found = catalog.apply(spark, workspace(spark, "rollup_cascade"), catalog.definitions("cascade"))
+    blocks, now = standins.blocks(spark, sf_dir), datetime(2024, 1, 31)
+    base = found.tables[panels.BLOCKS]
+    tables.upsert(base, _with_seq(blocks))
+    catalog.refresh(spark, found, now)
+    tables.upsert(base, _with_seq(blocks.withColumn("nTx", F.col("nTx") + 1)))
+    catalog.refresh(spark, found, now)
+    return _ntz(rollup_store.read(spark, found.rollup("l2_transactions_weekly")), "time")
+
+
 # --- streams ------------------------------------------------------------------------------------
 
 
@@ -661,6 +675,8 @@ def _panel(spark: SparkSession, sf_dir: str, name: str, **params) -> DataFrame:
         tables.upsert(found.tables[panels.BLOCKS], _with_seq(blocks.where(~early)))
         _catalogs[key] = found
     catalog.register_views(spark, _catalogs[key])
+    if name in ("block_height", "block_difficulty"):
+        params["blocks"] = _catalogs[key].tables[panels.BLOCKS]
     rows = panels.panel(spark, name, **params)
     return _ntz(rows, "time") if "time" in rows.columns else rows
 

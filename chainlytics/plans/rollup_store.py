@@ -24,23 +24,35 @@ from chainlytics.plans.tables import MONTH, KeyedTable
 
 @dataclass(frozen=True)
 class Rollup:
+    """Buckets of a base table, or of another rollup: its buckets are then the rows, with their ``time``."""
+
     name: str
-    base: KeyedTable
+    base: KeyedTable | Rollup
     time: str
     width: str
     measures: dict[str, str]
     path: str
 
+    def __post_init__(self):
+        if isinstance(self.base, Rollup) and (self.time != "time" or width_micros(self.width) % width_micros(self.base.width)):
+            raise ValueError(f"{self.name}: buckets must be made of whole buckets of {self.base.name}, by their time")
+
     @property
     def mark_path(self) -> str:
         return f"{self.path}__mark"
 
+    @property
+    def table(self) -> KeyedTable:
+        """The table at the bottom of all rollups below."""
+        return self.base.table if isinstance(self.base, Rollup) else self.base
+
     def of(self, rows: DataFrame) -> DataFrame:
-        """The rollup of any rows shaped like the base table."""
+        """The rollup of any rows shaped like the base."""
         return aggregate(rows, self.time, self.width, **{n: F.expr(e) for n, e in self.measures.items()})
 
     def store(self, spark: SparkSession) -> KeyedTable:
-        schema = self.of(spark.createDataFrame([], self.base.columns)).schema
+        base = self.base.store(spark) if isinstance(self.base, Rollup) else self.base
+        schema = self.of(spark.createDataFrame([], base.columns)).schema
         return KeyedTable.by_time(self.path, schema, ("time",), "time", MONTH, versioned=False)
 
 
@@ -65,16 +77,19 @@ def _set_mark(spark: SparkSession, rollup: Rollup, at: datetime) -> None:
     storage.write_text(spark, rollup.mark_path, at.isoformat())
 
 
-def read(spark: SparkSession, rollup: Rollup) -> DataFrame:
-    """Stored buckets below the mark, live ones from it on. The mark is a literal in the plan, so it
-    prunes stored slices on one side and base slices on the other."""
+def read(spark: SparkSession, rollup: Rollup, start: datetime | None = None, end: datetime | None = None) -> DataFrame:
+    """Stored buckets below the mark, live ones from it on; only those from ``start`` to before ``end`` (bucket starts), if
+    given. The bounds are literals in the plan, so they prune stored slices on one side and base slices on the other."""
     reached = mark(spark, rollup)
     if reached is None:
-        return rollup.of(tables.read(spark, rollup.base))
+        return rollup.of(_base_rows(spark, rollup, start, end))
     store = rollup.store(spark)
-    slices = tables.read_slices(spark, store).where(F.col(store.slice_column) <= store.unit.of(reached))
-    stored = slices.where(F.col("time") < moment(reached)).select(*store.columns.names)
-    return stored.unionByName(rollup.of(_base_rows(spark, rollup, reached, None)))
+    upto = reached if end is None else min(reached, end)
+    stored = tables.read_slices(spark, store).where(F.col(store.slice_column) <= store.unit.of(upto)).where(F.col("time") < moment(upto))
+    if start is not None:
+        stored = stored.where(F.col(store.slice_column) >= store.unit.of(start)).where(F.col("time") >= moment(start))
+    live = _base_rows(spark, rollup, reached if start is None else max(reached, start), end)
+    return stored.select(*store.columns.names).unionByName(rollup.of(live))
 
 
 def read_stored(spark: SparkSession, rollup: Rollup) -> DataFrame:
@@ -117,7 +132,11 @@ def follow(spark: SparkSession, rollup: Rollup, store: KeyedTable, touched: list
     old, end = [t for t in touched if t < reached], max(reached, newest)
     changed = []
     if old:
-        spans = tables.read_spans(spark, rollup.base, old, _offset(rollup.width))
+        width = _offset(rollup.width)
+        if isinstance(rollup.base, Rollup):
+            spans = read(spark, rollup.base, min(old), max(old) + width)
+        else:
+            spans = tables.read_spans(spark, rollup.base, old, width)
         wanted = spark.createDataFrame([(t.replace(tzinfo=timezone.utc),) for t in old], "time timestamp")
         changed.append(rollup.of(spans).join(wanted, "time", "left_semi"))
     if end > reached:
@@ -157,7 +176,10 @@ def _replace(spark: SparkSession, rollup: Rollup, start: datetime | None, end: d
 
 
 def _base_rows(spark: SparkSession, rollup: Rollup, start: datetime | None, end: datetime | None) -> DataFrame:
-    """Base rows with ``start <= time < end``, by slices where the base is sliced by time."""
+    """Base rows with ``start <= time < end``, by slices where the base is sliced by time. The base of a rollup on a rollup
+    is what reading that one gives, stored and live."""
+    if isinstance(rollup.base, Rollup):
+        return read(spark, rollup.base, start, end)
     rows = (
         tables.read(spark, rollup.base)
         if start is None

@@ -169,3 +169,52 @@ def test_mempool_saved_and_loaded(spark, root):
     cycle.save_mempool(state, table)
     cycle.save_mempool(state.where("txid = 'a'").selectExpr("txid", "9L AS fee", "weight", "sigops", "first_seen"), table)
     assert rows(cycle.load_mempool(spark, table).select("txid", "fee")) == [("a", 9), ("b", 1)]
+
+
+def test_the_highest_block_comes_from_footers(spark, loaded):
+    found, _ = loaded
+    plan = panels.panel(spark, "block_height", blocks=found.tables["l0_btc_blocks"])
+    assert plan.first()["height"] == 119
+    assert "PushedAggregation: [MAX(height)]" in physical(plan)
+    newest = panels.panel(spark, "block_difficulty", blocks=found.tables["l0_btc_blocks"])
+    assert newest.first()["difficulty"] == 219 == panels.panel(spark, "block_difficulty").first()["difficulty"]
+    (file,) = newest.inputFiles()
+    assert "day=2024-03-05" in file
+
+
+def test_rollups_are_built_after_their_bases_and_dropped_with_the_table(spark, root):
+    found = catalog.apply(spark, root, catalog.definitions("cascade"))
+    names = list(found.rollups)
+    assert names.index("l1_transactions_hourly") < names.index("l2_transactions_daily") < names.index("l2_transactions_weekly")
+    weekly = found.rollups["l2_transactions_weekly"]
+    assert weekly.table is found.tables["l0_btc_blocks"]
+    data = [(f"h{i}", START + timedelta(hours=i), i % 7, 1, i, 0) for i in range(24 * 20)]
+    schema = "hash string, timestamp timestamp, nTx int, difficulty long, height int, seq long"
+    tables.upsert(found.tables["l0_btc_blocks"], spark.createDataFrame(data, schema))
+
+    def weeks():
+        return {r["time"].date().isoformat(): r["transactions"] for r in rollup_store.read(spark, weekly).collect()}
+
+    want = {}
+    for row in data:
+        day = (row[1] - timedelta(days=row[1].weekday())).date().isoformat()
+        want[day] = want.get(day, 0) + row[2]
+    assert weeks() == want  # nothing is stored: all live, through three rollups
+    catalog.refresh(spark, found, START + timedelta(days=12))
+    assert [rollup_store.mark(spark, found.rollups[n]) for n in names[-3:]] == [datetime(2024, 3, 12, 23), datetime(2024, 3, 12), datetime(2024, 3, 11)]
+    assert weeks() == want
+    part = rollup_store.read(spark, weekly, datetime(2024, 3, 4), datetime(2024, 3, 18))
+    assert {r["time"].day: r["transactions"] for r in part.collect()} == {4: want["2024-03-04"], 11: want["2024-03-11"]}
+    catalog.drop_table(spark, found, "l0_btc_blocks")
+    assert not found.rollups and not found.policies and not storage.exists(spark, weekly.path) and not storage.exists(spark, weekly.mark_path)
+
+
+def test_a_rollup_on_nothing_known_or_on_parts_of_buckets_is_refused(root):
+    defs = catalog.definitions("cascade")
+    defs["rollups"] = [r for r in defs["rollups"] if r["name"] != "l1_transactions_hourly"]
+    with pytest.raises(ValueError, match="l2_transactions_daily"):
+        catalog.build(root, defs)
+    defs = catalog.definitions("cascade")
+    next(r for r in defs["rollups"] if r["name"] == "l2_transactions_daily")["width"] = "90 minutes"
+    with pytest.raises(ValueError, match="whole buckets"):
+        catalog.build(root, defs)
