@@ -278,6 +278,9 @@ WHERE n <= 10""",
 {BLOCKS}
 SELECT CAST(date_trunc('day', b."timestamp") AS TIMESTAMP) AS time, CAST(sum(nTx) AS BIGINT) AS transactions
 FROM blocks b JOIN trail ON trail.hash = b.hash GROUP BY 1""",
+    "chain_reorg": """SELECT CASE WHEN event_id % 2 = 1 THEN 'leaving' ELSE 'entering' END AS side,
+       sha256(CAST(event_id AS VARCHAR)) AS hash, (event_id + 1) // 2 AS height
+FROM events WHERE event_id > (SELECT max(event_id) // 4 * 2 FROM events)""",
     "parse_headers": _with(HEADERS)
     + """SELECT hash, date_trunc('second', "timestamp") AS "timestamp", CAST(event_id % 50 AS INTEGER) AS nTx,
        CAST(round(difficulty / 100) AS BIGINT) AS difficulty, height, previousblockhash FROM headers""",

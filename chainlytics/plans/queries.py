@@ -14,7 +14,7 @@ from chainlytics.functions import decode, encode, number, time_bucket
 from chainlytics.operators import audit, chain, changes, latest, mempool, rollups
 from chainlytics.operators.asof import asof, audit_history
 from chainlytics.operators.sigma import sigma_histogram
-from chainlytics.plans import catalog, cycle, panels, rollup_store, standins, tables
+from chainlytics.plans import catalog, chain_index, cycle, panels, rollup_store, standins, tables
 from chainlytics.plans.rollup_store import Rollup
 from chainlytics.schemas import MEMPOOL_STATE
 from chainlytics.session import configure, workspace
@@ -754,6 +754,19 @@ def canonical_transactions(spark, sf_dir):
     return rollups.daily_transactions(kept)
 
 
+@query
+def chain_reorg(spark, sf_dir):
+    """The tip changes from one long branch to the other; the headers came as a stream of files, heights mixed."""
+    root = workspace(spark, "chain_reorg")
+    headers = standins.forked_headers(spark, sf_dir)
+    headers.repartition(3, "event_id").write.parquet(f"{root}/landed")
+    arriving = landed_stream(spark, f"{root}/landed", headers.schema, "parquet", 1)
+    index = chain_index.chain_index(f"{root}/index")
+    chain_index.chain_stream(arriving, index, f"{root}/checkpoint").awaitTermination()
+    old, new = (headers.where(F.col("event_id") % 2 == odd).agg(F.max_by(F.struct("hash", "height"), "event_id")).first()[0] for odd in (1, 0))
+    return chain_index.reorganisation(spark, index, tuple(old), tuple(new))
+
+
 @query
 def parse_headers(spark, sf_dir):
     """Header records as landed JSON lines, read back as block rows."""

@@ -51,6 +51,20 @@ def headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def forked_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`headers`, but the dead ends after the middle of the events follow each other: two long branches."""
+    rows = events(spark, sf_dir)
+    fork = 2 * (rows.agg(F.max("event_id")).first()[0] // 4)
+    number = F.col("event_id")
+    parent = F.when((number % 2 == 1) & (number <= fork + 1), number - 1).otherwise(number - 2)
+    return rows.select(
+        _hash("event_id").alias("hash"),
+        F.when(parent >= 0, _hash(parent)).alias("previousblockhash"),
+        F.ceil(number / 2).cast("int").alias("height"),
+        "event_id",
+    )
+
+
 def _hash(number):
     number = F.col(number) if isinstance(number, str) else number
     return F.sha2(number.cast("string").cast("binary"), 256)

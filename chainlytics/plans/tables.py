@@ -119,6 +119,11 @@ def _folders(spark: SparkSession, table: KeyedTable, root: str, names: Sequence[
     return spark.read.schema(table.stored).option("basePath", root).parquet(*[f"{root}/{name}" for name in names])
 
 
+def read_named(spark: SparkSession, table: KeyedTable, names: Sequence[str]) -> DataFrame:
+    """Rows of some slices, by the names of their folders."""
+    return _folders(spark, table, table.path, names).select(*table.columns.names)
+
+
 def read(spark: SparkSession, table: KeyedTable) -> DataFrame:
     return read_slices(spark, table).select(*table.columns.names)
 
