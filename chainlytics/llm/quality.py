@@ -6,7 +6,7 @@ places before it is the same, averaged over a block, which shows what repeats. O
 neighbouring blocks, so chunks overlap by half and cover the text to its last byte. A hidden layer gives each chunk a
 logit; the logit of a text is the mean of its chunks' logits.
 
-Training (on the driver) uses a bounded sample of labelled texts and a bounded number of chunks of each; scoring uses every
+Training (on the driver) uses a bounded sample of labelled rows and every chunk of their texts; scoring uses every
 byte of every text. A filter's response to a byte at a place is a table lookup, so scoring needs no matrix of windows."""
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chainlytics.llm.arrays import parts
@@ -24,11 +24,8 @@ from chainlytics.llm.tables import table
 #: Bytes a filter sees, size of a byte's vector, filters, hidden units, bytes of a block, lags compared.
 WIDTH, DEPTH, FILTERS, HIDDEN, BLOCK, LAGS = 4, 8, 12, 16, 128, 24
 
-#: Labelled texts of each class to train on, and chunks taken from each of them.
-SAMPLE, CHUNKS = 1_500, 4
-
-#: Longest text to train on, in characters, and most bytes of all together; what is left out is scored like the rest.
-LONGEST, SAMPLE_BYTES = 200_000, 24_000_000
+#: Labelled texts of each class to train on, whole; chunks of a step; chunks of a text in a turn, if it has as many.
+SAMPLE, STEP, CHUNKS = 1_500, 64, 4
 
 #: A text is of good quality from this probability on.
 CUT = 0.3
@@ -117,24 +114,34 @@ def probabilities(data: np.ndarray, bounds: np.ndarray, network: Network) -> np.
     return 1 / (1 + np.exp(-np.clip(network.scale * logit + network.shift, -30, 30)))
 
 
-def _windows(texts: list[bytes], labels: np.ndarray, rng) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Chunks for training, zero-padded, with their lengths' share of padding marked by -1."""
-    rows, marks = [], []
-    size = 2 * BLOCK
-    for raw, label in zip(texts, labels):
-        starts = np.arange(0, max(1, len(raw) - BLOCK), BLOCK)
-        for s in rng.permutation(starts)[:CHUNKS]:
-            piece = np.full(size + WIDTH - 1 + LAGS, -1, dtype=np.int16)
-            left = max(0, s - LAGS)
-            own = np.frombuffer(raw[left : s + size + WIDTH - 1], dtype=np.uint8)
-            piece[LAGS - (s - left) : LAGS - (s - left) + len(own)] = own
-            rows.append(piece)
-            marks.append(label)
-    return np.array(rows).reshape(-1, size + WIDTH - 1 + LAGS), np.array(marks, dtype=np.float32), rng
+def _windows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All bytes, and for every chunk of every text the number of its text, its start, and the text's end."""
+    sizes = np.array([len(t) for t in texts], dtype=np.int64)
+    bounds = np.r_[0, np.cumsum(sizes)]
+    chunks = np.maximum(1, -(-(sizes - BLOCK) // BLOCK))
+    owner = np.repeat(np.arange(len(texts)), chunks)
+    starts = bounds[owner] + BLOCK * (np.arange(len(owner)) - np.repeat(np.cumsum(chunks) - chunks, chunks))
+    return np.frombuffer(b"".join(texts), dtype=np.uint8), owner, starts, bounds
+
+
+def _pieces(data: np.ndarray, first: np.ndarray, starts: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of some chunks with what lies LAGS before and WIDTH - 1 after them in their text (-1: nothing), and the shares of
+    bytes that are equal at each lag."""
+    span = 2 * BLOCK
+    at = starts[:, None] + np.arange(-LAGS, span + WIDTH - 1)[None]
+    there = (at >= first[:, None]) & (at < last[:, None])
+    pieces = np.where(there, data[np.clip(at, 0, max(0, len(data) - 1))] if len(data) else 0, -1).astype(np.int16)
+    now = pieces[:, LAGS : LAGS + span]
+    known = np.maximum(1, (now >= 0).reshape(-1, 2, BLOCK).sum(axis=2))
+    lags = np.empty((len(pieces), LAGS), dtype=np.float32)
+    for lag in range(1, LAGS + 1):
+        same = (now == pieces[:, LAGS - lag : LAGS - lag + span]) & (now >= 0)
+        lags[:, lag - 1] = (same.reshape(-1, 2, BLOCK).sum(axis=2) / known).max(axis=1)
+    return pieces[:, LAGS:], lags
 
 
 def train(texts: list[bytes], labels: np.ndarray, share: float | None = None, seed: int = 11, rounds: int = 6) -> Network:
-    """Fit by Adam on the cross entropy of single chunks, then scale the texts' mean logits to probabilities for a share of
+    """Fit by Adam on the cross entropy of single chunks in ``rounds`` turns, in which every chunk of every text has its turn; then scale the texts' mean logits to probabilities for a share of
     label 1 as given (default: as in the labels).
 
     Without both labels among the texts the network gives their share of label 1 to every text (0.5 without texts)."""
@@ -146,23 +153,29 @@ def train(texts: list[bytes], labels: np.ndarray, share: float | None = None, se
         network.shift = float(np.log(only / (1 - only)))
         return network
     rng = np.random.default_rng(seed)
-    pieces, marks, _ = _windows(texts, labels, rng)
-    span = 2 * BLOCK
-    now = pieces[:, LAGS : LAGS + span]
-    lags = np.empty((len(pieces), LAGS), dtype=np.float32)
-    for lag in range(1, LAGS + 1):
-        same = (now == pieces[:, LAGS - lag : LAGS - lag + span]) & (now >= 0)
-        halves = same.reshape(len(pieces), 2, BLOCK).sum(axis=2) / np.maximum(1, (now >= 0).reshape(len(pieces), 2, BLOCK).sum(axis=2))
-        lags[:, lag - 1] = halves.max(axis=1)
-    weight = np.where(marks == 1, 0.5 / marks.mean(), 0.5 / (1 - marks.mean())).astype(np.float32)
+    data, owner, starts, bounds = _windows(texts)
+    marks = labels[owner]
+    # Each turn takes the next chunks of every text in an order drawn once: CHUNKS, or so many more that all have their turn;
+    # together these weigh as CHUNKS would.
+    chunks = np.bincount(owner)
+    usual = np.minimum(CHUNKS, chunks)
+    taken = np.maximum(usual, -(-chunks // rounds))
+    drawn, base = np.lexsort((rng.random(len(owner)), owner)), np.cumsum(chunks) - chunks
+    weight = (usual / taken)[owner]
+    for value in (0, 1):
+        weight[marks == value] *= 0.5 * usual.sum() / usual[labels == value].sum()
+    weight = weight.astype(np.float32)
     moments = [(np.zeros_like(w), np.zeros_like(w)) for w in network.weights()]
     step = 0
-    for _ in range(rounds):
-        order = rng.permutation(len(pieces))
-        for first in range(0, len(order), 64):
-            own = order[first : first + 64]
+    for turn in range(rounds):
+        text = np.repeat(np.arange(len(texts)), taken)
+        place = np.arange(len(text)) - np.repeat(np.cumsum(taken) - taken, taken)
+        order = rng.permutation(drawn[base[text] + (turn * taken[text] + place) % chunks[text]])
+        for first in range(0, len(order), STEP):
+            own = order[first : first + STEP]
             step += 1
-            for (m, v), w, g in zip(moments, network.weights(), _gradients(network, pieces[own, LAGS:], lags[own], marks[own], weight[own])):
+            pieces, lags = _pieces(data, bounds[owner[own]], starts[own], bounds[owner[own] + 1])
+            for (m, v), w, g in zip(moments, network.weights(), _gradients(network, pieces, lags, marks[own], weight[own])):
                 m *= 0.9
                 m += 0.1 * g
                 v *= 0.999
@@ -222,8 +235,9 @@ def _calibrate(network: Network, texts: list[bytes], labels: np.ndarray, share:
 def labelled(docs: DataFrame, labels: DataFrame, label: str, held_out, sample: int = SAMPLE) -> tuple[list[bytes], np.ndarray, float | None]:
     """Texts and labels to train on, and the share of label 1 among all that may be learned from: of each class the ``sample`` rows with the smallest hash of their id, none held out.
 
-    This is the bounded sample the classifier is fitted on, up to ``SAMPLE_BYTES`` of text in the order of that hash. Labels that are neither 0 nor 1, rows without text
-    and rows with more than ``LONGEST`` characters are left out; a document labelled twice counts for each label."""
+    This bounded sample of rows is all that is fitted on, with their whole texts. Labels that are neither 0 nor 1 and rows without
+    text are left out; a document labelled twice counts for each label. Of rows that share a doc_id first one counts, for every
+    id, then a second one, and so on, up to four times ``sample`` rows in all."""
     spark = docs.sparkSession
     known = labels.select("doc_id", F.col(label).cast("int").alias("label")).where(~held_out(F.col("doc_id"))).distinct()
     counts = {r["label"]: r["count"] for r in known.where("label in (0, 1)").groupBy("label").count().collect()}
@@ -232,14 +246,10 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, held_out, sample: i
         own = known.where(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
         picked = own if picked is None else picked.unionByName(own)
     chosen = spark.createDataFrame([tuple(r) for r in picked.collect()], "doc_id bigint, label int")
-    rows = docs.where(F.length("text") <= LONGEST).select("doc_id", "text").join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "label", "text").limit(4 * sample)
-    found, size = [], 0
-    for row in rows.toLocalIterator():
-        raw = row["text"].encode("utf-8")
-        size += len(raw)
-        if size > SAMPLE_BYTES:
-            break
-        found.append((raw, row["label"]))
+    rows = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    one = Window.partitionBy("doc_id", "label").orderBy(F.xxhash64("text"), "text")
+    rows = rows.withColumn("_n", F.row_number().over(one)).orderBy("_n", F.xxhash64("doc_id"), "doc_id", "label").limit(4 * sample)
+    found = [(row["text"].encode("utf-8"), row["label"]) for row in rows.select("text", "label").toLocalIterator()]
     share = counts[1] / (counts[0] + counts[1]) if len(counts) == 2 else None
     return [t for t, _ in found], np.array([y for _, y in found], dtype=np.float32), share
 

@@ -6,6 +6,7 @@ from pathlib import Path
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from chainlytics.llm import quality as Q
 from chainlytics.llm import toxicity as X
@@ -139,3 +140,54 @@ def test_rejected_rows_go_with_all_their_columns(spark):
     net = Q.train([b"good words here " * 20, b"bad!! bad!! " * 30] * 10, np.array([1, 0] * 10))
     docs = spark.createDataFrame([(1, "good words here " * 30, "s"), (2, "bad!! bad!! " * 30, "t")], "doc_id bigint, text string, score string")
     assert [tuple(r) for r in Q.accepted(docs, net).collect()] == [(1, "good words here " * 30, "s")]
+
+
+def plain_probability(raw, net):
+    """The forward pass of the quality network, byte by byte."""
+    blocks = [raw[k : k + Q.BLOCK] for k in range(0, max(1, len(raw)), Q.BLOCK)]
+    features = []
+    for n, block in enumerate(blocks):
+        first, row = n * Q.BLOCK, [0.0] * (Q.FILTERS + Q.LAGS)
+        for i in range(first, first + len(block)):
+            for f in range(Q.FILTERS):
+                response = float(net.bias[f])
+                for k in range(Q.WIDTH):
+                    if i + k < len(raw):
+                        response += sum(float(net.byte[raw[i + k], d]) * float(net.filters[k, d, f]) for d in range(Q.DEPTH))
+                row[f] = max(row[f], response)
+        for lag in range(1, Q.LAGS + 1):
+            same = sum(i >= lag and raw[i] == raw[i - lag] for i in range(first, first + len(block)))
+            row[Q.FILTERS + lag - 1] = same / max(1, len(block))
+        features.append(row)
+    chunks = [[max(a, b) for a, b in zip(x, y)] for x, y in zip(features, features[1:])] or features
+    logits = []
+    for chunk in chunks:
+        hidden = [max(0.0, sum(c * float(net.hidden[j, h]) for j, c in enumerate(chunk)) + float(net.hidden_bias[h])) for h in range(Q.HIDDEN)]
+        logits.append(sum(a * float(o) for a, o in zip(hidden, net.out)) + float(net.out_bias[0]))
+    return 1 / (1 + np.exp(-(net.scale * sum(logits) / len(logits) + net.shift)))
+
+
+@pytest.mark.parametrize("raw", [b"", b"a", b"abcabcabc " * 9, bytes(range(256)) * 2, b"x" * 128, b"y" * 129, "long text é ".encode() * 40])
+def test_quality_forward_pass_as_plain_python(raw):
+    net = Q.Network(3)
+    net.scale, net.shift = 0.7, -0.1
+    found = Q.probabilities(np.frombuffer(raw, dtype=np.uint8), np.array([0, len(raw)]), net)[0]
+    assert abs(found - plain_probability(raw, net)) < 1e-4
+
+
+def test_every_chunk_has_its_turn_in_training(monkeypatch):
+    seen = []
+    real = Q._pieces
+    monkeypatch.setattr(Q, "_pieces", lambda data, first, starts, last: seen.extend(starts.tolist()) or real(data, first, starts, last))
+    texts = [b"good words " * 700, b"bad!", b"", b"more " * 90]
+    Q.train(texts, np.array([1, 0, 0, 1]))
+    _, _, starts, _ = Q._windows(texts)
+    assert set(seen) == set(starts.tolist())
+
+
+def test_long_texts_are_learned_from_and_no_id_fills_the_sample(spark):
+    long = "word " * 60_000
+    docs = spark.createDataFrame([(1, long), (2, "b"), (2, "c"), (2, None), (3, "d")] + [(4, f"t{k}") for k in range(300)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (2, 1), (3, 0), (4, 1)], "doc_id bigint, quality int")
+    texts, y, _ = Q.labelled(docs, labels, "quality", lambda c: F.lit(False), sample=5)
+    assert long.encode() in texts and b"d" in texts and {b"b", b"c"} <= set(texts) and len(texts) == 20 and sorted(y.tolist())[:2] == [0, 0]
