@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chainlytics.llm.arrays import parts
@@ -236,8 +236,8 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, held_out, sample: i
     """Texts and labels to train on, and the share of label 1 among all that may be learned from: of each class the ``sample`` rows with the smallest hash of their id, none held out.
 
     This bounded sample of rows is all that is fitted on, with their whole texts. Labels that are neither 0 nor 1 and rows without
-    text are left out; a document labelled twice counts for each label. Of rows that share a doc_id first one counts, for every
-    id, then a second one, and so on, up to four times ``sample`` rows in all."""
+    text are left out; a document labelled twice counts for each label. Rows that share a doc_id all count, up to four times
+    ``sample`` rows in all, in the order of that hash."""
     spark = docs.sparkSession
     known = labels.select("doc_id", F.col(label).cast("int").alias("label")).where(~held_out(F.col("doc_id"))).distinct()
     counts = {r["label"]: r["count"] for r in known.where("label in (0, 1)").groupBy("label").count().collect()}
@@ -247,8 +247,7 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, held_out, sample: i
         picked = own if picked is None else picked.unionByName(own)
     chosen = spark.createDataFrame([tuple(r) for r in picked.collect()], "doc_id bigint, label int")
     rows = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    one = Window.partitionBy("doc_id", "label").orderBy(F.xxhash64("text"), "text")
-    rows = rows.withColumn("_n", F.row_number().over(one)).orderBy("_n", F.xxhash64("doc_id"), "doc_id", "label").limit(4 * sample)
+    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "label", "text").limit(4 * sample)
     found = [(row["text"].encode("utf-8"), row["label"]) for row in rows.select("text", "label").toLocalIterator()]
     share = counts[1] / (counts[0] + counts[1]) if len(counts) == 2 else None
     return [t for t, _ in found], np.array([y for _, y in found], dtype=np.float32), share
