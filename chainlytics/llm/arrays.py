@@ -31,6 +31,14 @@ def _give_back_memory() -> None:
 
 _give_back_memory()
 
+
+def give_back() -> None:
+    """Give what was freed back to the machine, where the C library can."""
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        return
+
 #: ASCII white space that separates words: blank, tab, line feed, vertical tab, form feed, carriage return.
 SEPARATOR = np.zeros(256, dtype=bool)
 SEPARATOR[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True

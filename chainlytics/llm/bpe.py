@@ -10,6 +10,7 @@ neighbours does so is the one the merges give for the whole word, so the result
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import re
@@ -22,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chainlytics.llm.arrays import parts
+from chainlytics.llm.arrays import give_back, parts
 from chainlytics.llm.tables import kept, table
 from chainlytics.llm.tokens import LETTER, NUMBER, SPACE, byte_characters, load, plain
 from chainlytics.session import shuffle_width
@@ -123,7 +124,7 @@ class Words(dict):
         return ids
 
 
-#: A worker process keeps its tokenizers and memos from task to task.
+#: The tokenizers and memos of a task.
 _coders: dict[str, Coder] = {}
 
 
@@ -133,6 +134,13 @@ def coder_of(path: str) -> Coder:
     return _coders[path]
 
 
+def _forget() -> None:
+    """Give back the tokenizers and memos of a task: Spark's Python workers outlive it, and later stages need the memory."""
+    _coders.clear()
+    gc.collect()
+    give_back()
+
+
 def segments(word: str, size: int = SEGMENT) -> list[str]:
     """A word cut in halves, and those again, until none is longer than ``size``."""
     if len(word) <= size:
@@ -182,6 +190,8 @@ def _encode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordB
                 ],
                 names=["row", "doc_id", "ids", "word", "segment", "place", "piece"],
             )
+    del coder, words
+    _forget()
 
 
 def _merge_segments(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
@@ -190,6 +200,8 @@ def _merge_segments(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa
         last = batch.column("last").to_pylist()
         ids = [coder.merge(p, end) for p, end in zip(batch.column("piece").to_pylist(), last)]
         yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("row", "word", "segment", "place")] + [pa.array(ids, pa.list_(pa.int32()))], names=["row", "word", "segment", "place", "ids"])
+    del coder
+    _forget()
 
 
 def _join_words(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
@@ -263,6 +275,8 @@ def _decode(batches: Iterator[pa.RecordBatch], path: str, digests: bool, with_id
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept_too), *made], names=[*kept_too, "n_tokens", "ids_sha256", "decoded_sha256"])
         else:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(columns[0], pa.string())], names=["doc_id", "text"])
+    del tokenizer, names
+    give_back()
 
 
 def decode(coded: DataFrame, path: str) -> DataFrame:
