@@ -1,7 +1,7 @@
 """Keyed Parquet tables in slices: create, read, upsert, replace, delete.
 
-A change is merged in the workspace and written from there with Spark's dynamic partition overwrite, which replaces the slices it
-covers and no other. Upserts keep the winning ``seq`` beside the values (hidden columns), so the table is the same whatever
+A change is merged with the slices it touches and written with Spark's dynamic partition overwrite, which replaces the slices it
+covers and no other, once all rows are written: until then the stored files stay, so what is written may read them. Upserts keep the winning ``seq`` beside the values (hidden columns), so the table is the same whatever
 the order the changes arrive in, and however often: one that was cut off is simply made again."""
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -159,17 +160,19 @@ def with_slice(df: DataFrame, table: KeyedTable) -> DataFrame:
 
 def publish(rows: DataFrame, table: KeyedTable, may_empty: Sequence = ()) -> None:
     """Make ``rows`` the whole content of every slice they cover, and of the slices ``may_empty`` even if no row is left for
-    one of those. ``rows`` may read the table itself: they are written to the workspace first."""
+    one of those: its files are then still the old ones. ``rows`` may read the table itself."""
     spark = rows.sparkSession
-    root = workspace(spark, "publish")
-    merged = written(rows.select(*table.stored.names), f"{root}/merged")
-    _overwrite(merged, table)
-    if may_empty:
-        covered = {r[0] for r in merged.select(F.col(table.slice_column).cast("string")).distinct().collect()}
-        for value in may_empty:
-            if str(value) not in covered:
-                storage.drop(spark, f"{table.path}/{table.folder(value)}")
-    storage.drop(spark, root)
+    paths = [f"{table.path}/{name}" for name in sorted({table.folder(value) for value in may_empty} & _slices(spark, table))]
+    before = {path: storage.children(spark, path) for path in paths}
+    _overwrite(rows, table)
+    for path, files in before.items():
+        if storage.children(spark, path) == files:
+            storage.drop(spark, path)
+
+
+def _slices(spark: SparkSession, table: KeyedTable) -> set[str]:
+    """Folders of the slices the table has."""
+    return {name for name in storage.children(spark, table.path) if name.startswith(f"{table.slice_column}=")}
 
 
 def _overwrite(rows: DataFrame, table: KeyedTable) -> None:
@@ -197,7 +200,7 @@ def upsert(
 
     Changes are reduced to one row per key and written to the workspace, so they are never computed twice. Only the slices
     they touch are read and rewritten, through one aggregate over stored and arriving rows; new slices hold nothing to merge
-    with. ``then`` is handed the rows that were really inserted or changed (``_change`` says which), before the
+    with, and an empty table is written at once. ``then`` is handed the rows that were really inserted or changed (``_change`` says which), before the
     table shows them: a caller that is cut off later finds them there again."""
     unknown = set(given or {}) - set(table.partial)
     if unknown or not table.versioned:
@@ -214,6 +217,8 @@ def replace(table: KeyedTable, rows: DataFrame, then: Callable[[DataFrame], None
 
 def _lay_over(table: KeyedTable, latest: DataFrame, then: Callable[[DataFrame], None] | None, by_register: bool = True) -> None:
     spark = latest.sparkSession
+    if then is None and not _slices(spark, table):
+        return _fill(with_slice(latest, table), table)
     root = workspace(spark, "change")
     landed = written(with_slice(latest, table), f"{root}/incoming")
     known = _known(landed, table)
@@ -223,24 +228,40 @@ def _lay_over(table: KeyedTable, latest: DataFrame, then: Callable[[DataFrame],
     if known:
         merged = merge(_folders(spark, table, table.path, known), landed, keys, table.values, partial)
         hidden = [] if by_register else [F.lit(None).cast("bigint").alias(r) for r in table.registers]
-        rows = written(merged.select("*", *hidden), f"{root}/merged")
+        rows = merged.select("*", *hidden)
     else:
         rows = landed.withColumn(CHANGE, F.lit("insert"))
     if then is not None:
+        rows = written(rows, f"{root}/merged") if known else rows  # read twice
         then(rows.where(F.col(CHANGE).isNotNull()).select(*table.columns.names, CHANGE))
     _overwrite(rows, table)
     return storage.drop(spark, root)
 
 
+def _fill(rows: DataFrame, table: KeyedTable) -> None:
+    """Write the first rows of an empty table, or none if one has no slice."""
+    value, refused = F.col(table.slice_column), f"{table.path}: key columns {table.keys} must not be NULL"
+    checked = F.when(value.isNull(), F.raise_error(F.lit(refused))).otherwise(value)
+    try:
+        _overwrite(rows.withColumn(table.slice_column, checked), table)
+    except PySparkException as error:
+        if refused in str(error):
+            raise ValueError(refused) from error
+        raise
+
+
 def delete(table: KeyedTable, removed: DataFrame) -> None:
-    """Remove rows by key. Keys that are not stored are ignored."""
+    """Remove rows by key. Keys that are not stored are ignored.
+
+    The keys are written as they come, to tell the slices they touch. Repeated ones fall away on their way to the join, whose
+    shuffle they share, so a key costs one shuffle, and a hot one a row a task."""
     spark = removed.sparkSession
     root = workspace(spark, "delete")
-    gone = written(with_slice(removed.select(*table.keys).distinct(), table), f"{root}/keys")
+    gone = written(with_slice(removed.select(*table.keys), table), f"{root}/keys")
     known = _known(gone, table)
     if known:
         stored = _folders(spark, table, table.path, known)
-        kept = stored.join(gone, [*table.keys, table.slice_column], "left_anti")
+        kept = stored.join(gone.distinct(), [*table.keys, table.slice_column], "left_anti")
         publish(kept.select(*table.stored.names), table, [name.partition("=")[2] for name in known])
     storage.drop(spark, root)
 
@@ -255,7 +276,7 @@ def _known(batch: DataFrame, table: KeyedTable) -> list[str] | None:
         raise ValueError(f"{table.path}: key columns {table.keys} must not be NULL")
     if not touched:
         return None
-    return sorted({table.folder(value) for value in touched} & storage.children(batch.sparkSession, table.path))
+    return sorted({table.folder(value) for value in touched} & _slices(batch.sparkSession, table))
 
 
 def newest(spark: SparkSession, table: KeyedTable) -> DataFrame:

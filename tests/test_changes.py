@@ -313,3 +313,53 @@ def test_range_read_skips_slices(spark, table):
     scan = plan[plan.rindex("FileScan") :]
     assert "day" in scan.split("PartitionFilters: [")[1].split("]")[0]
     assert "GreaterThanOrEqual(timestamp" in scan
+
+
+def staged(monkeypatch):
+    """Names of the workspace tables that the store writes from now on."""
+    names, real = [], tables.written
+
+    def noted(df, path):
+        names.append(path.rpartition("/")[2])
+        return real(df, path)
+
+    monkeypatch.setattr(tables, "written", noted)
+    return names
+
+
+def test_rows_are_written_to_the_workspace_only_where_they_are_read_again(spark, table, monkeypatch):
+    names = staged(monkeypatch)
+    tables.upsert(table, batch(spark, BLOCK, ("b", T2, 1, 1, 2, 1, "block")), given=given())
+    assert names == []  # the first rows of a table
+    tables.upsert(table, batch(spark, ("a", T1, 8, 6, 1, 3, "block")), given=given())
+    assert names == ["incoming"]
+    tables.upsert(table, batch(spark, ("a", T1, 9, 6, 1, 4, "block")), given=given(), then=lambda rows: None)
+    assert names == ["incoming", "incoming", "merged"]
+    tables.delete(table, batch(spark, BLOCK, BLOCK))
+    assert names == ["incoming", "incoming", "merged", "keys"]
+    assert stored(spark, table) == [("b", T2, 1, 1, 2)]
+    assert not storage.exists(spark, f"{table.path}/day=2024-01-01")
+
+
+def test_keys_to_delete_are_shuffled_once(spark, root, monkeypatch):
+    table = tables.create(spark, tables.mempool_table(f"{root}/mempool", 4))
+    df = spark.range(50).selectExpr("'t' || id AS txid", "id AS fee", "id AS weight", "1 AS sigops", "timestamp'2024-01-01' AS first_seen", "id AS seq")
+    tables.upsert(table, df)
+    plans, real = [], tables.written
+    monkeypatch.setattr(tables, "written", lambda rows, path: plans.append(physical(rows)) or real(rows, path))
+    removed = df.where("fee < 30").unionAll(df.where("fee < 20"))
+    tables.delete(table, removed)
+    assert len(plans) == 1 and "Exchange" not in plans[0]
+    assert {r["txid"] for r in tables.read(spark, table).collect()} == {f"t{i}" for i in range(30, 50)}
+
+
+def test_the_first_rows_go_in_all_or_none(spark, table):
+    with pytest.raises(ValueError, match="must not be NULL"):
+        tables.upsert(table, batch(spark, BLOCK, ("b", None, 1, 1, 1, 1, "block")), given=given())
+    assert tables.read(spark, table).isEmpty()
+    with pytest.raises(ValueError, match="must not be NULL"):
+        tables.replace(table, batch(spark, BLOCK, ("b", None, 1, 1, 1, 1, "block")))
+    tables.upsert(table, batch(spark))
+    assert tables.read(spark, table).isEmpty()
+    tables.upsert(table, batch(spark, BLOCK, BLOCK, HEADER), given=given())
+    assert stored(spark, table) == [("a", T1, 7, 6, 1)]
