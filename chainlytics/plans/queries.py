@@ -467,11 +467,15 @@ def rollup_cascade(spark, sf_dir):
 # --- streams ------------------------------------------------------------------------------------
 
 
+#: Bytes of a row group of a landed file: a row group is read by one task, so a file is read by as many as it has.
+LANDED_GROUP = 4 << 20
+
+
 def _event_stream(spark: SparkSession, sf_dir: str, root: str, times: int = 1) -> DataFrame:
     """The events landed in three files (``times`` over), which come as a micro-batch each."""
     for _ in range(times):
-        events = standins.events(spark, sf_dir)
-        events.repartitionByRange(3, "event_id").write.mode("append").parquet(f"{root}/events")
+        landed = standins.events(spark, sf_dir).repartitionByRange(3, "event_id").write.mode("append")
+        landed.option("parquet.block.size", LANDED_GROUP).parquet(f"{root}/events")
     schema = T.StructType.fromDDL(standins.EVENTS_SCHEMA)
     return landed_stream(spark, f"{root}/events", schema, "parquet", 1)
 

@@ -306,3 +306,22 @@ def test_a_block_that_is_read_twice_is_told_once(spark, root, arriving):
     last.unlink()
     (last.parent / f".{last.name}.crc").unlink(missing_ok=True)
     assert run() == sorted([*range(40), 4])
+
+
+def test_a_landed_file_is_read_by_several_tasks(spark, root):
+    """A micro-batch is one file; with one row group it would be one task's work."""
+    from glob import glob
+
+    from pyarrow import parquet
+
+    from chainlytics.plans import queries
+
+    events = spark.range(900_000).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id) AS ts", "hash(id) % 1000L AS user_id",
+        "'view' AS event_type", "rand(1) AS value", "'{\"k\": ' || id % 100 || '}' AS props",
+    )
+    events.write.parquet(f"{root}/tables/events.parquet")
+    queries._event_stream(spark, f"{root}/tables", root)
+    files = [parquet.ParquetFile(path).metadata for path in glob(f"{root}/events/*.parquet")]
+    assert len(files) == 3 and sum(f.num_rows for f in files) == 900_000
+    assert min(f.num_row_groups for f in files) > 1
