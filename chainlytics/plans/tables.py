@@ -1,7 +1,7 @@
 """Keyed Parquet tables in slices: create, read, upsert, replace, delete.
 
-A change is merged with the slices it touches and written with Spark's dynamic partition overwrite, which replaces the slices it
-covers and no other, once all rows are written: until then the stored files stay, so what is written may read them. Upserts keep the winning ``seq`` beside the values (hidden columns), so the table is the same whatever
+A change is merged in the workspace and written from there with Spark's dynamic partition overwrite, which replaces the slices it
+covers and no other. Upserts keep the winning ``seq`` beside the values (hidden columns), so the table is the same whatever
 the order the changes arrive in, and however often: one that was cut off is simply made again."""
 
 from __future__ import annotations
@@ -160,14 +160,17 @@ def with_slice(df: DataFrame, table: KeyedTable) -> DataFrame:
 
 def publish(rows: DataFrame, table: KeyedTable, may_empty: Sequence = ()) -> None:
     """Make ``rows`` the whole content of every slice they cover, and of the slices ``may_empty`` even if no row is left for
-    one of those: its files are then still the old ones. ``rows`` may read the table itself."""
+    one of those. ``rows`` may read the table itself: they are written to the workspace first."""
     spark = rows.sparkSession
-    paths = [f"{table.path}/{name}" for name in sorted({table.folder(value) for value in may_empty} & _slices(spark, table))]
-    before = {path: storage.children(spark, path) for path in paths}
-    _overwrite(rows, table)
-    for path, files in before.items():
-        if storage.children(spark, path) == files:
-            storage.drop(spark, path)
+    root = workspace(spark, "publish")
+    merged = written(rows.select(*table.stored.names), f"{root}/merged")
+    _overwrite(merged, table)
+    if may_empty:
+        covered = {r[0] for r in merged.select(F.col(table.slice_column).cast("string")).distinct().collect()}
+        for value in may_empty:
+            if str(value) not in covered:
+                storage.drop(spark, f"{table.path}/{table.folder(value)}")
+    storage.drop(spark, root)
 
 
 def _slices(spark: SparkSession, table: KeyedTable) -> set[str]:
@@ -200,8 +203,8 @@ def upsert(
 
     Changes are reduced to one row per key and written to the workspace, so they are never computed twice. Only the slices
     they touch are read and rewritten, through one aggregate over stored and arriving rows; new slices hold nothing to merge
-    with, and an empty table is written at once. ``then`` is handed the rows that were really inserted or changed (``_change`` says which), before the
-    table shows them: a caller that is cut off later finds them there again."""
+    with, and the first rows of a table are written at once. ``then`` is handed the rows that were really inserted or changed
+    (``_change`` says which), before the table shows them: a caller that is cut off later finds them there again."""
     unknown = set(given or {}) - set(table.partial)
     if unknown or not table.versioned:
         raise ValueError(f"{table.path}: columns without a register: {sorted(unknown) or table.values}")
@@ -228,11 +231,11 @@ def _lay_over(table: KeyedTable, latest: DataFrame, then: Callable[[DataFrame],
     if known:
         merged = merge(_folders(spark, table, table.path, known), landed, keys, table.values, partial)
         hidden = [] if by_register else [F.lit(None).cast("bigint").alias(r) for r in table.registers]
-        rows = merged.select("*", *hidden)
+        told = [] if then is None else [CHANGE]
+        rows = written(merged.select("*", *hidden).select(*table.stored.names, *told), f"{root}/merged")
     else:
         rows = landed.withColumn(CHANGE, F.lit("insert"))
     if then is not None:
-        rows = written(rows, f"{root}/merged") if known else rows  # read twice
         then(rows.where(F.col(CHANGE).isNotNull()).select(*table.columns.names, CHANGE))
     _overwrite(rows, table)
     return storage.drop(spark, root)
